@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import features as feature_columns
 from wardline.functions import fixed_values as fv
-from wardline.functions.rules import adjusted_score, literal_map, or_default
+from wardline.functions.rules import adjusted_score, literal_map, number_array, or_default
 from wardline.operators.training import ThreatModel, assembler, scaler
 
 
@@ -24,10 +24,6 @@ def distance(vector: Column, centre: Column) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, s: total + s))
 
 
-def number_array(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
 def nearest_centre(vector: Column, centres) -> Column:
     """Struct of the distance to the nearest of a few fixed centres, and its id."""
     options = [
