@@ -9,26 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
-
-
-def sql_literal(value) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, str):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(value, float):
-        return f"double('{value!r}')"
-    return str(value)
-
-
-def literal_map(values: dict) -> Column:
-    """A constant map, from one expression text: cheaper to build than a literal per entry."""
-    pairs = [f"{sql_literal(k)}, {sql_literal(v)}" for k, v in values.items()]
-    return F.expr(f"map({', '.join(pairs)})")
-
-
-def number_array(values) -> Column:
-    return F.expr(f"array({', '.join(sql_literal(float(v)) for v in values)})")
+from wardline.functions.literals import literal_map
 
 
 def or_default(column: Column, default) -> Column:

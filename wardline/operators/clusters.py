@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
 from wardline.functions.rules import or_default
-from wardline.operators.recent import has_rows, latest
+from wardline.operators.recent import latest
 from wardline.operators.training import fit_kmeans
+from wardline.sources.store import stage
 
 SPLITS = 2
 
@@ -27,9 +28,11 @@ def split_by_score(
     """
     value = or_default(F.col(score), 0).cast("double")
     scored = latest(events, n).select(F.col(id_column).alias("id"), value.alias("score"))
-    assembled = VectorAssembler(inputCols=["score"], outputCol="features")
-    if not has_rows(scored, fv.SPLIT_MIN_ROWS):
-        return scored.select(F.lit(0).alias("cluster"), "id", "score").limit(0)
     counts = scored.groupBy("score").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    model = fit_kmeans(assembled.transform(counts), SPLITS, ["score"], "cluster")
+    staged = stage(counts, "scores")
+    events_seen = staged.agg(F.sum("weight")).first()[0] or 0
+    if events_seen < fv.SPLIT_MIN_ROWS:
+        return scored.select(F.lit(0).alias("cluster"), "id", "score").limit(0)
+    assembled = VectorAssembler(inputCols=["score"], outputCol="features")
+    model = fit_kmeans(assembled.transform(staged), SPLITS, ["score"], "cluster")
     return model.transform(assembled.transform(scored)).select("cluster", "id", "score")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardline.functions.literals import literal_rows
+
 SALTS = 64
 MAX_HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
@@ -19,8 +21,8 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    """The session's broadcast threshold in bytes; negative when broadcasts are off."""
+    return int(df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def hot_keys(
@@ -54,11 +56,12 @@ def salted_lookup(
     so they are spread too. The salt comes from row content and partition number: a task
     that runs again gives every row the same salt.
     """
-    spark = fact.sparkSession
-    key_type = fact.schema[key].dataType
-    marks = T.StructType([T.StructField(key, key_type), T.StructField("_hot", T.BooleanType())])
-    # At most MAX_HOT_KEYS literal rows.
-    hot_rows = F.broadcast(spark.createDataFrame([(k, True) for k in hot], marks))
+    if not hot and how == "inner":
+        return fact.join(dim, key, how)
+    # At most MAX_HOT_KEYS constant rows.
+    schema = f"`{key}` {fact.schema[key].dataType.simpleString()}, _hot boolean"
+    marked = [(k, True) for k in hot]
+    hot_rows = F.broadcast(literal_rows(fact.sparkSession, schema, marked))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(fact)), F.lit(salts))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     salted = fact.join(hot_rows, key, "left").withColumn(

@@ -33,8 +33,3 @@ def recent_with_timestamp(events: DataFrame, n: int = fv.VELOCITY_ROWS) -> DataF
 
 def sample_events(events: DataFrame, n: int = fv.REPORT_SAMPLE) -> DataFrame:
     return events.orderBy("ts", "id").limit(n)
-
-
-def has_rows(df: DataFrame, least: int) -> bool:
-    """Row guard before a model fit; reads no more than `least` rows."""
-    return df.limit(least).count() >= least

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
 from wardline.functions import rules
+from wardline.functions.literals import literal_rows
 from wardline.functions.rules import or_default
 from wardline.operators.dedup import first_per_key
 from wardline.operators.joins import lookup_join
@@ -46,7 +47,7 @@ def overrides(spark: SparkSession, now: Column | None = None) -> DataFrame:
         "domain string, is_tor boolean, is_vpn boolean, total_reports bigint, "
         "distinct_users bigint, recent_categories array<string>"
     )
-    rows = spark.createDataFrame(list(fv.OVERRIDES), schema)
+    rows = literal_rows(spark, schema, fv.OVERRIDES)
     rows = rows.withColumn("source", F.lit(fv.REPUTATION_SOURCE))
     return rows.withColumn("last_reported", now if now is not None else F.current_timestamp()).select(
         *COLUMNS

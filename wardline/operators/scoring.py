@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from wardline.functions import features as feature_columns
 from wardline.functions import fixed_values as fv
-from wardline.functions.rules import adjusted_score, literal_map, number_array, or_default
+from wardline.functions.literals import literal_map, literal_rows, number_array
+from wardline.functions.rules import adjusted_score, or_default
 from wardline.operators.training import ThreatModel, assembler, scaler
 
 
@@ -60,7 +61,7 @@ def risk_driver_rows(spark: SparkSession, model: ThreatModel) -> DataFrame:
         (rank, name, weight)
         for rank, (name, weight) in enumerate(model.importances[: fv.TOP_DRIVERS], 1)
     ]
-    table = spark.createDataFrame(rows, "rank int, factor string, weight double")
+    table = literal_rows(spark, "rank int, factor string, weight double", rows)
     return table.withColumn("weight", F.round(F.col("weight") * 100, 1))
 
 

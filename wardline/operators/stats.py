@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
+from wardline.functions.literals import literal_rows
 from wardline.functions.rules import or_default
 
 
@@ -21,8 +22,8 @@ def overview(events: DataFrame, score: str = "threat_score") -> DataFrame:
 
 def level_distribution(events: DataFrame, level: str = "threat_level") -> DataFrame:
     """Events per level. The four known levels are always there; others get their own row."""
-    spark = events.sparkSession
-    base = spark.createDataFrame([(name, 0) for name in fv.LEVELS], "threat_level string, n int")
+    zeros = [(name, 0) for name in fv.LEVELS]
+    base = literal_rows(events.sparkSession, "threat_level string, n int", zeros)
     found = events.select(
         or_default(F.col(level), fv.DEFAULT_LEVEL).alias("threat_level"), F.lit(1).alias("n")
     )

@@ -8,11 +8,12 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
-from wardline.functions.rules import literal_map, score_to_level
+from wardline.functions.literals import literal_map
+from wardline.functions.rules import score_to_level
 from wardline.sources.store import stage
 
 ROWS_PER_PARTITION = 1_000_000
@@ -69,14 +70,13 @@ def label_counts(labelled: DataFrame) -> DataFrame:
     )
 
 
-def fit_kmeans(weighted: DataFrame, k: int, keys: list[str], prediction: str):
-    """k-means over distinct vectors with their counts: the same objective as over all rows,
-    on far fewer of them."""
-    rows = weighted.count()
+def fit_kmeans(staged: DataFrame, k: int, keys: list[str], prediction: str):
+    """k-means over staged distinct vectors with the column `weight` for their counts: the
+    same objective as over all rows, on far fewer of them."""
     estimator = KMeans(
         featuresCol="features", predictionCol=prediction, weightCol="weight", k=k, seed=fv.SEED
     )
-    return estimator.fit(in_stable_order(weighted, keys, rows))
+    return estimator.fit(in_stable_order(staged, keys, staged.count()))
 
 
 @dataclass
@@ -127,8 +127,8 @@ class ThreatModel:
         self.pipeline.write().overwrite().save(path)
 
     @classmethod
-    def load(cls, path: str, naming: str = "by_rank") -> ThreatModel:
-        return cls(PipelineModel.load(path), naming)
+    def load(cls, spark: SparkSession, path: str, naming: str = "by_rank") -> ThreatModel:
+        return cls(PipelineModel.read().session(spark).load(path), naming)
 
 
 def fit_model(

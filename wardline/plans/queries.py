@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
 from wardline.functions.features import email_features, ip_features
-from wardline.functions.rules import adjusted_score, score_to_level
+from wardline.functions.literals import literal_rows
+from wardline.functions.rules import adjusted_score, category_name, score_to_level
 from wardline.operators import (
     breach,
     clusters,
@@ -53,7 +54,7 @@ def query(function: Query) -> Query:
 
 def requested_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All owners' addresses and the three with a fixed answer."""
-    fixed = spark.createDataFrame([(row[0],) for row in fv.OVERRIDES], "ip string")
+    fixed = literal_rows(spark, "ip string", [row[:1] for row in fv.OVERRIDES])
     return td.owners(spark, sf_dir).select("ip").unionByName(fixed)
 
 
@@ -208,8 +209,6 @@ def ip_report_categories(spark, sf_dir):
 @query
 def category_counts(spark, sf_dir):
     """Reports per category name."""
-    from wardline.functions.rules import category_name
-
     coded = td.reports(spark, sf_dir).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
     return coded.select("category", category_name(F.col("category")).alias("category_name"), "n")
 
@@ -480,7 +479,7 @@ def _scored_store(spark: SparkSession, sf_dir: str):
     sample = live.score_signals(
         td.signals(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), known, model
     )
-    return ingest.read_store(spark, path, sample.schema)
+    return store.read_batches(spark, path, sample.schema).drop("batch_id")
 
 
 @query

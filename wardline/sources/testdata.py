@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.functions.rules import literal_map
+from wardline.functions.literals import literal_map
 from wardline.operators.joins import lookup_join
 from wardline.operators.reputation import rollup_columns
 

@@ -8,7 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wardline import schemas
 from wardline.operators.dedup import identity_key
-from wardline.sources.store import batch_writer, read_batches
 from wardline.sources.topic import decode_signals, encode_signals
 
 WATERMARK = "1 hour"
@@ -48,14 +47,22 @@ def dedup_stream(
     return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
+def _start_files(
+    stream: DataFrame, kind: str, path: str, checkpoint: str, available_now: bool
+) -> StreamingQuery:
+    writer = stream.writeStream.format(kind).option("path", path)
+    return _start(writer.option("checkpointLocation", checkpoint), available_now)
+
+
 def start_store(
     events: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Append a stream to the event store; a batch replayed after a failure replaces itself."""
-    writer = events.writeStream.foreachBatch(batch_writer(path)).option(
-        "checkpointLocation", checkpoint
-    )
-    return _start(writer, available_now)
+    """Append a stream to its own event store.
+
+    The file sink logs which files belong to a finished batch, so readers of the store,
+    streams among them, see every event once even after a failed batch was written again.
+    """
+    return _start_files(events, "parquet", path, checkpoint, available_now)
 
 
 def start_ingest(
@@ -67,26 +74,19 @@ def start_ingest(
 
 def read_store(spark: SparkSession, path: str, schema=schemas.SIGNAL) -> DataFrame:
     """The stored events as a batch table."""
-    return read_batches(spark, path, schema).drop("batch_id")
+    return spark.read.schema(schema).parquet(path)
 
 
 def stream_store(spark: SparkSession, path: str, schema=schemas.SIGNAL) -> DataFrame:
     """The stored events as a stream, for counters that follow the store."""
-    columns = spark.createDataFrame([], schema).schema
-    return spark.readStream.schema(columns).parquet(f"{path}/batch_id=*")
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def start_push(
     events: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Every new event as one line of JSON text for subscribers to pick up."""
-    encoded = encode_signals(events)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
-
-    writer = encoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, available_now)
+    return _start_files(encode_signals(events), "text", path, checkpoint, available_now)
 
 
 def _start(writer, available_now: bool) -> StreamingQuery:
