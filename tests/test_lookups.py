@@ -57,6 +57,18 @@ def test_override_beats_a_payload_and_first_payload_is_kept(spark):
     assert rows(out, "ip", "threat_score") == [("1.1.1.1", 50), ("8.8.8.8", 45)]
 
 
+def test_a_payload_naming_another_ip_stays_with_the_requested_one(spark):
+    payloads = payload_rows(
+        spark, "ip", [(ip, {"data": {"ipAddress": "9.9.9.9"}}) for ip in ("1.1.1.1", "2.2.2.2")]
+    )
+    known = reputation.check_ips(payloads, payloads)
+    assert rows(known, "requested_ip", "ip", "threat_score") == [
+        ("1.1.1.1", "9.9.9.9", 0), ("2.2.2.2", "9.9.9.9", 0),
+    ]
+    signals = spark.createDataFrame([(1, "1.1.1.1"), (2, "9.9.9.9")], "id int, ip string")
+    assert reputation.enrich_signals(signals, known).count() == 2
+
+
 def report_rows(spark, items):
     return spark.createDataFrame(
         items, "ip string, report_id bigint, reporter_id bigint, category int, reported_at timestamp_ntz"
@@ -192,7 +204,9 @@ def test_events_share_one_shape(spark):
 def test_described_signals(spark):
     signals = spark.createDataFrame([(1, T0, "9.9.9.9", 10), (2, T0, None, 90)],
                                     "id bigint, ts timestamp_ntz, ip string, threat_score int")
-    enriched = reputation.enrich_signals(signals, reputation.overrides(spark))
+    asked = signals.select("ip")
+    known = reputation.check_ips(asked, payload_rows(spark, "ip", []))
+    enriched = reputation.enrich_signals(signals, known)
     out = events.signal_events(events.describe_signals(enriched))
     assert rows(out, "id", "source", "threat_level", "payload.message", "payload.country") == [
         ("1", "ddos-monitor", "low", "DDoS origin node detected at 9.9.9.9", "RU"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
+from wardline.functions.literals import literal_map
 from wardline.functions.rules import or_default
 from wardline.operators.recent import latest
 from wardline.operators.training import fit_kmeans
@@ -23,6 +24,8 @@ def split_by_score(
 ) -> DataFrame:
     """Rows of (cluster, id, score); none when there are fewer than five events.
 
+    Cluster 0 is the one with the lower scores.
+
     The fit sees one row per distinct score with its count. Scores are whole numbers of
     0..100, so that is about a hundred rows however many events there are.
     """
@@ -34,5 +37,8 @@ def split_by_score(
     if events_seen < fv.SPLIT_MIN_ROWS:
         return scored.select(F.lit(0).alias("cluster"), "id", "score").limit(0)
     assembled = VectorAssembler(inputCols=["score"], outputCol="features")
-    model = fit_kmeans(assembled.transform(staged), SPLITS, ["score"], "cluster")
-    return model.transform(assembled.transform(scored)).select("cluster", "id", "score")
+    model = fit_kmeans(assembled.transform(staged), SPLITS, ["score"], "cluster_id")
+    centres = [float(centre[0]) for centre in model.clusterCenters()]
+    by_score = literal_map({centres.index(c): rank for rank, c in enumerate(sorted(centres))})
+    split = model.transform(assembled.transform(scored))
+    return split.select(by_score[F.col("cluster_id")].alias("cluster"), "id", "score")

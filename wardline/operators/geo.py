@@ -9,19 +9,17 @@ from wardline import schemas
 from wardline.functions import fixed_values as fv
 from wardline.functions import rules
 from wardline.functions.rules import or_default
-from wardline.sources.payloads import fallback_geo, primary_geo
+from wardline.sources.payloads import NO_ANSWER, PRIMARY, fallback_geo, primary_geo
 
 
 def best_geo(primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """One candidate per ip, whole rows: the primary's if there is one, else the fallback's.
+    """One candidate per ip, whole rows: the primary's if it answered, else the fallback's.
 
     Both services are stacked and reduced in one aggregate instead of joined in turn.
     """
-    ranked = primary.withColumn("_rank", F.lit(0)).unionByName(
-        fallback.withColumn("_rank", F.lit(1))
-    )
-    best = F.min(F.struct("_rank", *schemas.GEO_COLUMNS)).alias("g")
-    return ranked.groupBy("ip").agg(best)
+    best = F.min(F.struct("rank", *schemas.GEO_COLUMNS)).alias("g")
+    found = primary.unionByName(fallback).groupBy("ip").agg(best)
+    return found.select("ip", F.when(F.col("g.rank") < NO_ANSWER, F.col("g")).alias("g"))
 
 
 def geolocate(requests: DataFrame, primary: DataFrame, fallback: DataFrame) -> DataFrame:
@@ -59,7 +57,7 @@ def enrich(located: DataFrame) -> DataFrame:
         rules.geo_risk_score(risk, suspicious).alias("geo_risk_score"),
         F.lit(fv.GEO_SOURCE).alias("source"),
         F.when(g.isNull(), "none")
-        .when(g["_rank"] == 0, "primary")
+        .when(g["rank"] == PRIMARY, "primary")
         .otherwise("fallback")
         .alias("geo_source"),
     )

@@ -56,20 +56,26 @@ def salted_lookup(
     so they are spread too. The salt comes from row content and partition number: a task
     that runs again gives every row the same salt.
     """
-    if not hot and how == "inner":
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(fact)), F.lit(salts)).cast("int")
+    if hot:
+        # At most MAX_HOT_KEYS constant rows.
+        schema = f"`{key}` {fact.schema[key].dataType.simpleString()}, _hot boolean"
+        marks = literal_rows(fact.sparkSession, schema, [(k, True) for k in hot])
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+            F.array(F.lit(0))
+        )
+        dim = dim.join(F.broadcast(marks), key, "left").withColumn("_salt", F.explode(copies))
+        fact = fact.join(F.broadcast(marks), key, "left")
+    elif how == "inner":
         return fact.join(dim, key, how)
-    # At most MAX_HOT_KEYS constant rows.
-    schema = f"`{key}` {fact.schema[key].dataType.simpleString()}, _hot boolean"
-    marked = [(k, True) for k in hot]
-    hot_rows = F.broadcast(literal_rows(fact.sparkSession, schema, marked))
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(fact)), F.lit(salts))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    salted = fact.join(hot_rows, key, "left").withColumn(
-        "_salt", F.when(is_hot | F.col(key).isNull(), spread.cast("int")).otherwise(0)
+    else:
+        is_hot = F.lit(False)
+        dim = dim.withColumn("_salt", F.lit(0))
+    salted = fact.withColumn(
+        "_salt", F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.lit(0))
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = dim.join(hot_rows, key, "left").withColumn("_salt", F.explode(copies))
-    joined = salted.drop("_hot").join(copied.drop("_hot"), [key, "_salt"], how)
+    joined = salted.drop("_hot").join(dim.drop("_hot"), [key, "_salt"], how)
     return joined.drop("_salt")
 
 

@@ -17,15 +17,18 @@ COLUMNS = (
     "source", "ip", "threat_score", "threat_level", "country", "isp", "domain", "is_tor",
     "is_vpn", "total_reports", "distinct_users", "recent_categories", "last_reported",
 )
+# The address that was asked for: the key of a record, as a payload may name another one.
+KEY = "requested_ip"
 
 
 def normalise(payloads: DataFrame, ip: str = "ip", payload: str = "payload") -> DataFrame:
     """Reputation records of `(ip, payload)` rows; a missing payload gives the defaults."""
     d = F.col("d")
     score = or_default(d["abuseConfidenceScore"], 0)
-    return payloads.select(F.col(ip).alias("_ip"), reputation_data(F.col(payload)).alias("d")).select(
+    return payloads.select(F.col(ip).alias(KEY), reputation_data(F.col(payload)).alias("d")).select(
+        KEY,
         F.lit(fv.REPUTATION_SOURCE).alias("source"),
-        F.coalesce(d["ipAddress"], F.col("_ip")).alias("ip"),
+        F.coalesce(d["ipAddress"], F.col(KEY)).alias("ip"),
         score.alias("threat_score"),
         rules.score_to_level(score).alias("threat_level"),
         d["countryCode"].alias("country"),
@@ -65,12 +68,13 @@ def check_ips(requests: DataFrame, payloads: DataFrame, now: Column | None = Non
     first = first_per_key(payloads.select("ip", *order), ["ip"], order)
     looked_up = normalise(asked.join(first, "ip", "left"))
     fixed = overrides(asked.sparkSession, now)
-    packed = fixed.select("ip", F.struct(*COLUMNS).alias("_fixed"))
-    return looked_up.join(F.broadcast(packed), "ip", "left").select(
+    packed = fixed.select(F.col("ip").alias(KEY), F.struct(*COLUMNS).alias("_fixed"))
+    return looked_up.join(F.broadcast(packed), KEY, "left").select(
+        KEY,
         *[
             F.when(F.col("_fixed").isNotNull(), F.col(f"_fixed.{c}")).otherwise(F.col(c)).alias(c)
             for c in COLUMNS
-        ]
+        ],
     )
 
 
@@ -123,11 +127,11 @@ def enrich_signals(
 ) -> DataFrame:
     """Signals with the reputation of their ip; the signal keeps its own score.
 
-    `reputation` has one row per ip, as `check_ips` gives it.
+    `reputation` has one row per requested ip, as `check_ips` gives it.
     """
     kept = ("country", "is_tor", "is_vpn", "total_reports", "distinct_users", "recent_categories")
     looked_up = reputation.select(
-        "ip", F.col("threat_score").alias("reputation_score"), *kept
+        F.col(KEY).alias("ip"), F.col("threat_score").alias("reputation_score"), *kept
     )
     own = signals.drop(*kept)
     return lookup_join(own, looked_up, "ip", "left", bounded_by, probe)

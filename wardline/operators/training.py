@@ -16,7 +16,9 @@ from wardline.functions.literals import literal_map
 from wardline.functions.rules import score_to_level
 from wardline.sources.store import stage
 
-ROWS_PER_PARTITION = 1_000_000
+# Fit partitions: small ones up to SMALL_FIT of them, then large ones, so that a small fit
+# is spread over cores and a huge one does not drown in tasks.
+SMALL_PARTITION, SMALL_FIT, LARGE_PARTITION = 10_000, 64, 1_000_000
 
 
 def assembler() -> VectorAssembler:
@@ -58,7 +60,7 @@ def in_stable_order(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     Tree bagging and k-means seeding follow partition and row order, so without this the
     same rows give other models on another cluster.
     """
-    partitions = rows // ROWS_PER_PARTITION + 1
+    partitions = max(min(rows // SMALL_PARTITION + 1, SMALL_FIT), rows // LARGE_PARTITION + 1)
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 

@@ -215,7 +215,9 @@ def category_counts(spark, sf_dir):
 
 @query
 def ip_reputation(spark, sf_dir):
-    return reputations(spark, sf_dir).drop("recent_categories", "last_reported")
+    return reputations(spark, sf_dir).drop(
+        reputation.KEY, "recent_categories", "last_reported"
+    )
 
 
 @query

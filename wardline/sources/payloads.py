@@ -47,20 +47,29 @@ def breach_names(payload: Column) -> Column:
     return no_nulls(F.coalesce(inner, outer))
 
 
+# Rank of a geolocation candidate; the lowest rank wins.
+PRIMARY, FALLBACK, NO_ANSWER = 0, 1, 2
+
+
 def primary_geo(payloads: DataFrame, key: str = "ip", payload: str = "payload") -> DataFrame:
-    """Successful answers of the primary geolocation service."""
-    parsed = payloads.select(
-        key, F.from_json(payload, schemas.GEO_PRIMARY_PAYLOAD).alias("g")
-    )
-    return parsed.filter(F.col("g.status") == "success").select(
-        key, *[F.col(f"g.{c}").alias(c) for c in schemas.GEO_COLUMNS]
+    """Candidates of the primary geolocation service; only a success is an answer.
+
+    Failures are ranked, not filtered: a filter would be pushed below the parse and so
+    parse every payload twice.
+    """
+    g = F.from_json(F.col(payload), schemas.GEO_PRIMARY_PAYLOAD)
+    success = F.col("g.status") == "success"
+    return payloads.select(key, g.alias("g")).select(
+        key,
+        F.when(success, PRIMARY).otherwise(NO_ANSWER).alias("rank"),
+        *[F.col(f"g.{c}").alias(c) for c in schemas.GEO_COLUMNS],
     )
 
 
 def fallback_geo(payloads: DataFrame, key: str = "ip", payload: str = "payload") -> DataFrame:
-    """Answers of the fallback service under the primary service's names.
+    """Candidates of the fallback service under the primary service's names.
 
-    A payload whose location is not two numbers counts as no answer.
+    A payload whose location is not two numbers is no answer.
     """
     g = F.from_json(F.col(payload), schemas.GEO_FALLBACK_PAYLOAD)
     lat, lon = lat_lon(F.col("g.loc"))
@@ -71,9 +80,9 @@ def fallback_geo(payloads: DataFrame, key: str = "ip", payload: str = "payload")
     columns = {name: or_default(F.col(f"g.{field}"), "") for name, field in text.items()}
     columns |= {"lat": lat, "lon": lon}
     columns |= {name: F.lit(False) for name in ("hosting", "proxy", "mobile")}
-    return (
-        payloads.select(key, g.alias("g"))
-        .filter(F.col("g").isNotNull())
-        .select(key, *[columns[c].alias(c) for c in schemas.GEO_COLUMNS])
-        .filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    valid = F.col("g").isNotNull() & lat.isNotNull() & lon.isNotNull()
+    return payloads.select(key, g.alias("g")).select(
+        key,
+        F.when(valid, FALLBACK).otherwise(NO_ANSWER).alias("rank"),
+        *[columns[c].alias(c) for c in schemas.GEO_COLUMNS],
     )

@@ -24,8 +24,15 @@ CATEGORY_CODES = 23
 BREACH_NAMES = 97
 
 
+_tables: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. They do not change, so files are listed and footers read only once."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(key[1])
+    return _tables[key]
 
 
 def _pick(values, index: Column) -> Column:
