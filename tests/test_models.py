@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
@@ -38,10 +39,8 @@ def test_forest_results_hold_together(scored):
 def test_assigned_centre_is_the_nearest(enriched, scored, model):
     assembled = scoring.add_features(enriched)
     vectors = training.assembler().transform(assembled)
-    scaled = model.scaler.transform(vectors)
-    nearest = scoring.nearest_centre(
-        scoring.vector_to_array("features"), model.centres
-    )
+    scaled = model.scaler.transform(vectors).withColumn("v", vector_to_array("features"))
+    nearest = scoring.nearest_centre(scoring.elements("v"), model.centres)
     expected = scaled.select("id", F.round(nearest["distance"], 4).alias("d"), nearest["id"].alias("c"))
     joined = scored.join(expected, "id")
     assert joined.filter("abs(d - anomaly_score) > 1e-4").count() == 0

@@ -65,7 +65,7 @@ def test_signal_cascade(spark):
         ([None], None, 84, "threat-intel-feed"),
     ]
     df = spark.createDataFrame(cases, "c array<string>, tor boolean, score int, want string")
-    kind = rules.signal_kind(F.col("c"), F.col("tor"), F.col("score"))
+    kind = rules.signal_kind(rules.category_kind(F.col("c")), F.col("tor"), F.col("score"))
     out = df.select("want", rules.signal_source(kind), rules.signal_message(kind, F.lit("1.2.3.4")))
     for want, source, message in out.collect():
         assert source == want

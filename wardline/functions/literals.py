@@ -38,7 +38,3 @@ def literal_map(values: dict) -> Column:
     """A constant map, from one expression text: cheaper to build than a literal per entry."""
     pairs = [f"{sql_literal(k)}, {sql_literal(v)}" for k, v in values.items()]
     return F.expr(f"map({', '.join(pairs)})")
-
-
-def number_array(values) -> Column:
-    return F.expr(f"array({', '.join(sql_literal(float(v)) for v in values)})")

@@ -57,8 +57,8 @@ def _has(categories: Column, *names: str) -> Column:
     return F.arrays_overlap(categories, F.array(*[F.lit(n) for n in names]))
 
 
-def signal_kind(categories: Column, is_tor: Column, score: Column) -> Column:
-    """Which SIGNAL_TEXTS entry describes a signal; the first rule that holds."""
+def category_kind(categories: Column) -> Column:
+    """The SIGNAL_TEXTS entry that report categories call for, null when they call for none."""
     cats = F.filter(no_nulls(categories), lambda c: c.isNotNull())
     brute = F.exists(cats, lambda c: c.contains("Brute-Force"))
     return (
@@ -67,9 +67,16 @@ def signal_kind(categories: Column, is_tor: Column, score: Column) -> Column:
         .when(_has(cats, "Port Scan"), "port_scan")
         .when(_has(cats, "Web App Attack", "SQL Injection"), "web_exploit")
         .when(_has(cats, "Phishing"), "phishing")
-        .when(is_tor, "tor")
+    )
+
+
+def signal_kind(by_category: Column, is_tor: Column, score: Column) -> Column:
+    """Which SIGNAL_TEXTS entry describes a signal; categories come first."""
+    return F.coalesce(
+        by_category,
+        F.when(is_tor, "tor")
         .when(score >= fv.CRITICAL_BEACON_SCORE, "critical")
-        .otherwise("other")
+        .otherwise("other"),
     )
 
 

@@ -53,13 +53,13 @@ def email_events(
 
 def describe_signals(enriched: DataFrame) -> DataFrame:
     """Adds source, message and threat_level to signals that carry their reputation."""
-    kind = rules.signal_kind(F.col("recent_categories"), F.col("is_tor"), F.col("threat_score"))
+    kind = rules.signal_kind(F.col("category_kind"), F.col("is_tor"), F.col("threat_score"))
     return (
         enriched.withColumn("_kind", kind)
         .withColumn("source", rules.signal_source(F.col("_kind")))
         .withColumn("message", rules.signal_message(F.col("_kind"), F.col("ip")))
         .withColumn("threat_level", rules.score_to_level(F.col("threat_score")))
-        .drop("_kind")
+        .drop("_kind", "category_kind")
     )
 
 

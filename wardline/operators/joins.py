@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.functions.literals import literal_rows
-
 SALTS = 64
 MAX_HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
@@ -58,9 +56,9 @@ def salted_lookup(
     """
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(fact)), F.lit(salts)).cast("int")
     if hot:
-        # At most MAX_HOT_KEYS constant rows.
+        # At most MAX_HOT_KEYS rows.
         schema = f"`{key}` {fact.schema[key].dataType.simpleString()}, _hot boolean"
-        marks = literal_rows(fact.sparkSession, schema, [(k, True) for k in hot])
+        marks = fact.sparkSession.createDataFrame([(k, True) for k in hot], schema)
         is_hot = F.coalesce(F.col("_hot"), F.lit(False))
         copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
             F.array(F.lit(0))

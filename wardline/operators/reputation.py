@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
 from wardline.functions import rules
+from wardline.functions.features import ip_features
 from wardline.functions.literals import literal_rows
 from wardline.functions.rules import or_default
 from wardline.operators.dedup import first_per_key
@@ -86,12 +87,12 @@ def recent_reports(
     return reports.filter(F.col("reported_at") > end - F.make_dt_interval(F.lit(max_age_days)))
 
 
-def rollup_columns() -> list[Column]:
+def summary_columns() -> list[Column]:
+    """What the reputation service tells about the reports of an ip."""
     return [
         F.count_distinct("report_id").alias("total_reports"),
         F.count_distinct("reporter_id").alias("distinct_users"),
         F.max("reported_at").alias("last_reported"),
-        F.count_distinct("category").alias("category_count"),
     ]
 
 
@@ -101,7 +102,8 @@ def report_rollup(reports: DataFrame) -> DataFrame:
     Distinct counts are taken in two steps: rows are first reduced per (ip, value), so the
     reports of one hot ip are spread by value before anything is grouped by ip alone.
     """
-    return reports.groupBy("ip").agg(*rollup_columns())
+    categories = F.count_distinct("category").alias("category_count")
+    return reports.groupBy("ip").agg(*summary_columns(), categories)
 
 
 def report_categories(reports: DataFrame) -> DataFrame:
@@ -125,13 +127,25 @@ def enrich_signals(
     bounded_by: DataFrame | None = None,
     probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Signals with the reputation of their ip; the signal keeps its own score.
+    """Signals with the reputation of their ip, their model features and `category_kind`.
 
-    `reputation` has one row per requested ip, as `check_ips` gives it.
+    A signal keeps its own score. `reputation` has one row per requested ip, as `check_ips`
+    gives it; whatever follows from it alone is worked out here, once per ip and not once
+    per signal.
     """
     kept = ("country", "is_tor", "is_vpn", "total_reports", "distinct_users", "recent_categories")
+    own, *of_ip = ip_features()
     looked_up = reputation.select(
-        F.col(KEY).alias("ip"), F.col("threat_score").alias("reputation_score"), *kept
+        F.col(KEY).alias("ip"),
+        F.col("threat_score").alias("reputation_score"),
+        *kept,
+        rules.category_kind(F.col("recent_categories")).alias("category_kind"),
+        *of_ip,
+    )
+    joined = lookup_join(signals.drop(*kept), looked_up, "ip", "left", bounded_by, probe)
+    absent = dict.fromkeys(fv.FEATURES[1:], 0.0) | {
+        fv.FEATURES[-1]: fv.MODEL_COUNTRY_WEIGHTS["other"]
+    }
+    return joined.withColumns(
+        {fv.FEATURES[0]: own, **{f: or_default(F.col(f), value) for f, value in absent.items()}}
     )
-    own = signals.drop(*kept)
-    return lookup_join(own, looked_up, "ip", "left", bounded_by, probe)

@@ -2,38 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions import features as feature_columns
 from wardline.functions import fixed_values as fv
-from wardline.functions.literals import literal_map, literal_rows, number_array
+from wardline.functions.literals import literal_map, literal_rows
 from wardline.functions.rules import adjusted_score, or_default
 from wardline.operators.training import ThreatModel, assembler, scaler
 
 
 
 def add_features(records: DataFrame, kind: str = "ip") -> DataFrame:
-    """Records with the eleven feature columns of an ip or an e-mail record."""
+    """Records with the eleven feature columns of an ip or an e-mail record.
+
+    Records that have them already, as enriched signals do, are left as they are.
+    """
+    if set(fv.FEATURES) <= set(records.columns):
+        return records
     builders = {"ip": feature_columns.ip_features, "email": feature_columns.email_features}
     return records.select("*", *builders[kind]())
 
 
-def distance(vector: Column, centre: Column) -> Column:
-    squares = F.zip_with(vector, centre, lambda a, b: (a - b) * (a - b))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, s: total + s))
+def distance(vector: Sequence[Column], centre: Sequence[float]) -> Column:
+    """Euclidean distance to a fixed centre, term by term so that it stays in codegen."""
+    squares = [(x - F.lit(float(c))) * (x - F.lit(float(c))) for x, c in zip(vector, centre)]
+    return F.sqrt(reduce(add, squares))
+
 
+def elements(array: str) -> list[Column]:
+    return [F.get(array, i) for i in range(len(fv.FEATURES))]
 
-def nearest_centre(vector: Column, centres) -> Column:
+
+def nearest_centre(vector: Sequence[Column], centres) -> Column:
     """Struct of the distance to the nearest of a few fixed centres, and its id."""
     options = [
-        F.struct(distance(vector, number_array(c)).alias("distance"), F.lit(i).alias("id"))
+        F.struct(distance(vector, c).alias("distance"), F.lit(i).alias("id"))
         for i, c in enumerate(centres)
     ]
     return F.least(*options) if len(options) > 1 else options[0]
 
 
+def distance_to_own(vector: Sequence[Column], cluster: Column, centres) -> Column:
+    """Distance to the centre of the assigned cluster."""
+    chosen = F.lit(None).cast("double")
+    for i, centre in enumerate(centres):
+        chosen = F.when(cluster == i, distance(vector, centre)).otherwise(chosen)
+    return chosen
+
+
 def is_anomaly(distance_column: Column) -> Column:
     return distance_column > fv.ANOMALY_DISTANCE
 
@@ -72,11 +94,12 @@ def score_records(
 
     All of it is one projection over the input: no shuffle, no job at call time.
     """
-    columns = list(records.columns)
+    columns = [c for c in records.columns if c not in fv.FEATURES]
     scored = model.pipeline.transform(add_features(records, kind))
     scored = scored.withColumn("_probability", vector_to_array("rf_probability"))
-    centre = F.get(F.array(*[number_array(c) for c in model.centres]), F.col("cluster_id"))
-    scored = scored.withColumn("_distance", distance(vector_to_array("features"), centre))
+    scored = scored.withColumn("_scaled", vector_to_array("features"))
+    own = distance_to_own(elements("_scaled"), F.col("cluster_id"), model.centres)
+    scored = scored.withColumn("_distance", own)
     percent = F.transform("_probability", lambda p: F.round(p * 100, 1))
     labels = F.array(*[F.lit(label) for label in model.labels])
     name = F.coalesce(

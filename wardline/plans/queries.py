@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
-from wardline.functions.features import email_features, ip_features
+from wardline.functions.features import email_features
 from wardline.functions.literals import literal_rows
 from wardline.functions.rules import adjusted_score, category_name, score_to_level
 from wardline.operators import (
@@ -89,7 +89,7 @@ def enriched_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def featured_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enriched_signals(spark, sf_dir).select("id", "threat_score", *ip_features())
+    return enriched_signals(spark, sf_dir).select("id", "threat_score", *fv.FEATURES)
 
 
 def levelled_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,7 +310,7 @@ def scaled_features(spark, sf_dir):
 
 @query
 def fixed_center_anomaly(spark, sf_dir):
-    vector = F.array(*fv.FEATURES)
+    vector = [F.col(name) for name in fv.FEATURES]
     nearest = scoring.nearest_centre(vector, FIXED_CENTRES).alias("nearest")
     far = F.round("nearest.distance", 6).alias("distance")
     return (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.literals import literal_map
 from wardline.operators.joins import lookup_join
-from wardline.operators.reputation import rollup_columns
+from wardline.operators.reputation import summary_columns
 
 # Fixed values of the derived tables: country per nation key, provider per ten customers.
 NATION_COUNTRIES = (
@@ -104,7 +104,19 @@ def signal_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Abuse reports: up to two category rows per order."""
+    """Abuse reports: up to two category rows per order.
+
+    Orders get their ip before the report lines join them. The other way round, the lines
+    of one huge order would all meet again in the join on its customer.
+    """
+    scan = table(spark, sf_dir, "orders")
+    orders = scan.select(
+        F.col("o_orderkey").alias("report_id"),
+        F.col("o_custkey").alias("c_custkey"),
+        F.col("o_orderdate").alias("reported_at"),
+    )
+    known = owners(spark, sf_dir).select("c_custkey", "ip")
+    owned = lookup_join(orders, known, "c_custkey", "inner").drop("c_custkey")
     lines = (
         table(spark, sf_dir, "lineitem")
         .filter("l_linenumber <= 2 and l_returnflag = 'R'")
@@ -114,27 +126,22 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_partkey") % CATEGORY_CODES + 1).cast("int").alias("category"),
         )
     )
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("report_id"),
-        F.col("o_custkey").alias("c_custkey"),
-        F.col("o_orderdate").alias("reported_at"),
-    )
-    owned = lookup_join(lines, orders, "report_id", "inner")
-    known = owners(spark, sf_dir).select("c_custkey", "ip")
-    probe = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return lookup_join(owned, known, "c_custkey", "inner", probe=probe).drop("c_custkey")
+    return lookup_join(lines, owned, "report_id", "inner", bounded_by=scan)
 
 
 def reputation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON answer of the reputation service per ip.
 
-    Listed categories are distinct, so a list has at most CATEGORY_CODES entries.
+    Codes run from 1 to CATEGORY_CODES, so one number holds the set of an ip's codes: the
+    aggregate keeps fixed-width state, and no list is collected.
     """
-    listed = F.array_sort(F.collect_set("category")).alias("categories")
-    summary = reports(spark, sf_dir).groupBy("ip").agg(*rollup_columns(), listed)
+    codes = F.expr("bit_or(shiftleft(1L, category))").alias("codes")
+    summary = reports(spark, sf_dir).groupBy("ip").agg(*summary_columns(), codes)
     known = owners(spark, sf_dir).select(
         "ip", "country", "isp", "rep_score", "is_tor", "usage_type"
     )
+    every = F.sequence(F.lit(1), F.lit(CATEGORY_CODES))
+    listed = F.filter(every, lambda c: F.getbit(F.coalesce("codes", F.lit(0)), c) == 1)
     data = F.struct(
         F.col("ip").alias("ipAddress"),
         F.col("rep_score").alias("abuseConfidenceScore"),
@@ -146,9 +153,7 @@ def reputation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("total_reports").alias("totalReports"),
         F.col("distinct_users").alias("numDistinctUsers"),
         F.col("last_reported").cast("timestamp").alias("lastReportedAt"),
-        F.transform("categories", lambda c: F.struct(F.array(c).alias("categories"))).alias(
-            "reports"
-        ),
+        F.transform(listed, lambda c: F.struct(F.array(c).alias("categories"))).alias("reports"),
     )
     return known.join(summary, "ip", "left").select(
         "ip", F.to_json(F.struct(data.alias("data"))).alias("payload")
