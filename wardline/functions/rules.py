@@ -40,17 +40,14 @@ def category_name(code: Column) -> Column:
 
 def recent_categories(codes: Column) -> Column:
     """Names of the lowest distinct category codes, at most six."""
-    lowest = F.slice(F.array_sort(F.array_distinct(codes)), 1, fv.MAX_CATEGORIES)
+    lowest = F.slice(F.sort_array(F.array_distinct(codes)), 1, fv.MAX_CATEGORIES)
     return F.transform(lowest, category_name)
 
 
 def report_codes(reports: Column) -> Column:
     """Category codes of nested reports; a missing list counts as empty."""
-    lists = F.transform(
-        F.coalesce(reports, F.array().cast("array<struct<categories:array<int>>>")),
-        lambda r: no_nulls(r["categories"], "int"),
-    )
-    return F.filter(F.flatten(lists), lambda c: c.isNotNull())
+    codes = F.flatten(F.array_compact(reports["categories"]))
+    return no_nulls(F.array_compact(codes), "int")
 
 
 def _has(categories: Column, *names: str) -> Column:

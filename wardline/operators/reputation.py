@@ -115,7 +115,7 @@ def report_categories(reports: DataFrame) -> DataFrame:
     distinct = reports.select("ip", "category").filter("category is not null").distinct()
     rank = F.row_number().over(Window.partitionBy("ip").orderBy("category"))
     lowest = distinct.withColumn("_rank", rank).filter(F.col("_rank") <= fv.MAX_CATEGORIES)
-    codes = F.array_sort(F.collect_list("category"))
+    codes = F.sort_array(F.collect_list("category"))
     return lowest.groupBy("ip").agg(
         F.transform(codes, rules.category_name).alias("recent_categories")
     )

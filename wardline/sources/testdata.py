@@ -186,7 +186,7 @@ def breach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = (
         breaches(spark, sf_dir)
         .groupBy("email", "c_custkey")
-        .agg(F.array_sort(F.collect_set("breach_name")).alias("names"))
+        .agg(F.sort_array(F.collect_set("breach_name")).alias("names"))
     )
     names, shape = F.col("names"), F.col("c_custkey") % 5
     flat = F.struct(names.alias("breaches"))
