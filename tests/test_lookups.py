@@ -65,7 +65,7 @@ def test_a_payload_naming_another_ip_stays_with_the_requested_one(spark):
     assert rows(known, "requested_ip", "ip", "threat_score") == [
         ("1.1.1.1", "9.9.9.9", 0), ("2.2.2.2", "9.9.9.9", 0),
     ]
-    signals = spark.createDataFrame([(1, "1.1.1.1"), (2, "9.9.9.9")], "id int, ip string")
+    signals = spark.createDataFrame([(1, "1.1.1.1", 5), (2, "9.9.9.9", 5)], "id int, ip string, threat_score int")
     assert reputation.enrich_signals(signals, known).count() == 2
 
 
