@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
 from wardline.operators import dedup, joins, recent, stats, trend
+from wardline.plans import reports
 
 T0 = datetime(2024, 1, 1)
 
@@ -70,6 +71,15 @@ def test_minutes_are_aligned(spark):
     assert rows(stats.last_closed_minute(df.limit(1))) == [(0,)]
 
 
+def test_dashboard(spark):
+    df = events(spark, [(f"e{i}", at(i // 4), 90 if i else 0, "high") for i in range(9)])
+    board = reports.dashboard(df)
+    assert rows(board["overview"]) == [(9, 720, 80.0)]
+    assert dict(rows(board["levels"]))["high"] == 9
+    assert rows(board["events_per_minute"]) == [(4,)]
+    assert rows(board["recent"]) == [(9,)]
+
+
 def test_recent_views(spark):
     df = events(spark, [(f"e{i:02d}", at(i // 2), i, "low") for i in range(30)] + [("z", None, 0, "low")])
     page = recent.event_page(df, 3).collect()
@@ -136,8 +146,11 @@ def test_salted_lookup_equals_a_plain_join(spark, how, key_type):
     fact = spark.range(3000).select("id", key.cast(key_type).alias("k"), F.lit("same").alias("v"))
     dim = spark.range(2, 49).select(F.col("id").cast(key_type).alias("k"), (F.col("id") * 2).alias("d"))
     hot = joins.hot_keys(fact, "k", hot_rows=100, fraction=1.0)
-    assert [str(k) for k in hot] == ["7"]
-    salted = joins.salted_lookup(fact, dim, "k", how, hot, salts=8)
+    assert [(str(k), salts) for k, salts in hot] == [("7", 12)]
+    salted = joins.salted_lookup(fact, dim, "k", how, hot)
+    assert rows(joins.salted_lookup(fact, dim, "k", how, []), "id", "k", "v", "d") == rows(
+        fact.join(dim, "k", how), "id", "k", "v", "d"
+    )
     assert rows(salted, "id", "k", "v", "d") == rows(fact.join(dim, "k", how), "id", "k", "v", "d")
 
 

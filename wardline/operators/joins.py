@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALTS = 64
 MAX_HOT_KEYS = 1000
+# Rows of one key that may share a salt.
 HOT_ROWS = 1_000_000
 PROBE_FRACTION = 0.01
 WIDENING = 8
+# Rows without a key match nothing, so any number of salts will do for them.
+NULL_SALTS = 1 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -29,15 +31,17 @@ def hot_keys(
     hot_rows: int = HOT_ROWS,
     fraction: float = PROBE_FRACTION,
     limit: int = MAX_HOT_KEYS,
-) -> list:
-    """Keys with about `hot_rows` rows or more, most frequent first, at most `limit`.
+) -> list[tuple]:
+    """Keys with about `hot_rows` rows or more and the salts each needs, at most `limit` keys.
 
-    Only a guide for salting: whichever keys it names, join results are the same. The
-    sample reads one column, and its counts are combined before the shuffle.
+    A key gets a salt per `hot_rows` rows, so salted groups stay small however much the key
+    holds. Only a guide: whichever keys it names, join results are the same. The sample reads
+    one column, and its counts are combined before the shuffle.
     """
     sampled = fact.select(key).filter(F.col(key).isNotNull()).sample(fraction, seed=7)
     counts = sampled.groupBy(key).count().filter(F.col("count") >= hot_rows * fraction)
-    return [row[0] for row in counts.orderBy(F.desc("count")).limit(limit).collect()]
+    top = counts.orderBy(F.desc("count")).limit(limit).collect()
+    return [(row[0], int(row[1] / fraction / hot_rows) + 2) for row in top]
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -46,35 +50,29 @@ def _hashable(df: DataFrame) -> list[str]:
 
 
 def salted_lookup(
-    fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list, salts: int = SALTS
+    fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list[tuple]
 ) -> DataFrame:
-    """Join in which each hot key's fact rows are spread over `salts` partitions.
+    """Join in which each hot key's fact rows are spread over its salts.
 
-    Rows of `dim` are copied for the hot keys only. Fact rows without a key match nothing,
-    so they are spread too. The salt comes from row content and partition number: a task
-    that runs again gives every row the same salt.
+    Rows of `dim` are copied for the hot keys only. Fact rows without a key are spread too.
+    The salt comes from row content and partition number: a task that runs again gives every
+    row the same salt.
     """
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(fact)), F.lit(salts)).cast("int")
+    if not hot and how == "inner":
+        return fact.join(dim, key, how)
     if hot:
         # At most MAX_HOT_KEYS rows.
-        schema = f"`{key}` {fact.schema[key].dataType.simpleString()}, _hot boolean"
-        marks = fact.sparkSession.createDataFrame([(k, True) for k in hot], schema)
-        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-            F.array(F.lit(0))
-        )
-        dim = dim.join(F.broadcast(marks), key, "left").withColumn("_salt", F.explode(copies))
-        fact = fact.join(F.broadcast(marks), key, "left")
-    elif how == "inner":
-        return fact.join(dim, key, how)
+        schema = f"`{key}` {fact.schema[key].dataType.simpleString()}, _salts int"
+        marks = F.broadcast(fact.sparkSession.createDataFrame(hot, schema))
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+        fact, dim = fact.join(marks, key, "left"), dim.join(marks, key, "left")
     else:
-        is_hot = F.lit(False)
-        dim = dim.withColumn("_salt", F.lit(0))
-    salted = fact.withColumn(
-        "_salt", F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.lit(0))
-    )
-    joined = salted.drop("_hot").join(dim.drop("_hot"), [key, "_salt"], how)
-    return joined.drop("_salt")
+        salts = F.lit(1)
+    row = F.xxhash64(F.spark_partition_id(), *_hashable(fact))
+    share = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(salts)
+    salted = fact.withColumn("_salt", F.pmod(row, share).cast("int")).drop("_salts")
+    copied = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return salted.join(copied, [key, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -93,8 +91,8 @@ def lookup_join(
     which broadcasts it. Otherwise both sides are shuffled, hot keys salted.
 
     `bounded_by`: a scan with at least one row per row of `dim`, for dims whose own estimate
-    is useless (joins and aggregates); its size counts WIDENING times. `probe`: a cheaper frame with the same keys
-    as `fact`, to look for hot keys in.
+    is useless (joins and aggregates); its size counts WIDENING times. `probe`: a cheaper
+    frame with the same keys as `fact`, to look for hot keys in.
     """
     limit = broadcast_limit(fact)
     size = estimated_bytes(dim) if bounded_by is None else WIDENING * estimated_bytes(bounded_by)
