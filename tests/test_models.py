@@ -1,12 +1,14 @@
+import json
+
 import pytest
 from conftest import rows
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wardline.functions import fixed_values as fv
-from wardline.operators import clusters, scoring, training
+from wardline.operators import clusters, events, reputation, scoring, training
 from wardline.plans import queries, reports
-from wardline.sources import store
+from wardline.sources import store, topic
 
 
 @pytest.fixture(scope="module")
@@ -148,6 +150,29 @@ def test_batch_report(enriched, model):
     assert few["status"] == "not enough events" and few["trend"] == "stable"
 
 
+def test_report_over_stored_events(spark, model):
+    """The way from wire text to the report, with levels as the events state them."""
+    lines = [
+        json.dumps(
+            {
+                "id": f"e{i}", "threat_level": "high", "threat_score": 10 * i,
+                "timestamp": f"2024-01-01T00:{i:02d}:00+00:00", "payload": {"ip": "9.9.9.9"},
+            }
+        )
+        for i in range(6)
+    ]
+    texts = spark.createDataFrame([(line,) for line in lines], "value string")
+    signals = events.flatten_payload(topic.decode_signals(texts))
+    nothing = spark.createDataFrame([], "ip string, payload string")
+    known = reputation.check_ips(signals, nothing)
+    report = reports.batch_report(reputation.enrich_signals(signals, known), model)
+    sample = report.sample.orderBy("event_id").collect()
+    assert [r["event_id"] for r in sample] == ["e0", "e1", "e2", "e3", "e4"]
+    assert {r["level"] for r in sample} == {"high"}
+    assert report.summary.first()["total_events_analyzed"] == 6
+    report.close()
+
+
 def test_scaling_of_a_constant_column_is_zero(spark):
     df = spark.range(4).select("id", *[F.lit(0.5).alias(f) for f in fv.FEATURES[:-1]],
                                F.col("id").cast("double").alias(fv.FEATURES[-1]))

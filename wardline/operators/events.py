@@ -76,3 +76,8 @@ def signal_events(described: DataFrame) -> DataFrame:
         F.lit(True).alias("_simulated"),
         F.lit(False).alias("_replay"),
     )
+
+
+def flatten_payload(events: DataFrame) -> DataFrame:
+    """Stored events as signals: the payload's fields become columns, ready for enrichment."""
+    return events.select(*[c for c in events.columns if c != "payload"], "payload.*")

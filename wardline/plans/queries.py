@@ -169,8 +169,8 @@ def sample_events(spark, sf_dir):
 @query
 def dedup_signals(spark, sf_dir):
     """Every event arrives twice."""
-    arrived = td.scored_events(spark, sf_dir)
-    return dedup.dedup_events(arrived.unionByName(arrived)).select("id", "ts", "threat_score")
+    arrived = td.scored_events(spark, sf_dir).select("id", "ts", "threat_score")
+    return dedup.dedup_events(arrived.unionByName(arrived))
 
 
 @query
@@ -257,7 +257,7 @@ def email_breaches(spark, sf_dir):
 
 @query
 def unbreached_emails(spark, sf_dir):
-    return breach.unbreached(td.owners(spark, sf_dir), td.breaches(spark, sf_dir))
+    return breach.unbreached(td.owners(spark, sf_dir), td.breached_emails(spark, sf_dir))
 
 
 # Geolocation

@@ -81,10 +81,13 @@ def batch_report(
 ) -> BatchReport:
     """The analytics report over the newest `n` signals (`None`: over all)."""
     scored = score_batch(enriched, model, n).persist()
+    level = score_to_level(F.col("threat_score"))
+    if "threat_level" in scored.columns:
+        level = or_default(F.col("threat_level"), fv.DEFAULT_LEVEL)
     sample = recent.sample_events(scored).select(
         F.col("id").alias("event_id"),
         F.col("threat_score").alias("score"),
-        score_to_level(F.col("threat_score")).alias("level"),
+        level.alias("level"),
         "ml_adjusted_score",
         "anomaly",
         "cluster_name",

@@ -161,21 +161,27 @@ def reputation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Breach hits of each e-mail, one per breach name and kind of leak counted apart."""
-    urgent = (
+    """Breach hits, one per urgent order, by customer."""
+    name = F.concat(F.lit("Breach-"), (F.col("o_orderkey") % BREACH_NAMES).cast("string"))
+    return (
         table(spark, sf_dir, "orders")
         .filter("o_orderpriority = '1-URGENT'")
         .select(
             F.col("o_custkey").alias("c_custkey"),
-            F.col("o_orderkey").alias("breach_id"),
-            F.concat(
-                F.lit("Breach-"), (F.col("o_orderkey") % BREACH_NAMES).cast("string")
-            ).alias("breach_name"),
+            name.alias("breach_name"),
             F.col("o_orderstatus").alias("leaked"),
         )
     )
-    known = owners(spark, sf_dir).select("c_custkey", "email")
-    return lookup_join(urgent, known, "c_custkey", "inner")
+
+
+def breached_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return breaches(spark, sf_dir).select(email_of(F.col("c_custkey")).alias("email"))
+
+
+def _per_email(spark: SparkSession, sf_dir: str, *summary: Column) -> DataFrame:
+    """Breach hits summed up per customer, then joined one to one with their e-mails."""
+    summed = breaches(spark, sf_dir).groupBy("c_custkey").agg(*summary)
+    return owners(spark, sf_dir).select("c_custkey", "email").join(summed, "c_custkey")
 
 
 def breach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,10 +189,8 @@ def breach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A breach is listed once per e-mail, so a list has at most BREACH_NAMES entries.
     """
-    listed = (
-        breaches(spark, sf_dir)
-        .groupBy("email", "c_custkey")
-        .agg(F.sort_array(F.collect_set("breach_name")).alias("names"))
+    listed = _per_email(
+        spark, sf_dir, F.sort_array(F.collect_set("breach_name")).alias("names")
     )
     names, shape = F.col("names"), F.col("c_custkey") % 5
     flat = F.struct(names.alias("breaches"))
@@ -205,12 +209,8 @@ def breach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def breach_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON answer of the breach-analytics service per e-mail."""
     kinds = {"passwords": "F", "credit_cards": "O", "ssn": "P"}
-    counts = (
-        breaches(spark, sf_dir)
-        .groupBy("email")
-        .agg(*[F.count_if(F.col("leaked") == code).alias(kind) for kind, code in kinds.items()])
-    )
-    return counts.select(
+    counts = [F.count_if(F.col("leaked") == code).alias(kind) for kind, code in kinds.items()]
+    return _per_email(spark, sf_dir, *counts).select(
         "email", F.to_json(F.struct(F.struct(*kinds).alias("BreachMetrics"))).alias("payload")
     )
 

@@ -68,7 +68,6 @@ def kafka_source_options(bootstrap: str = fv.BOOTSTRAP, topic: str = fv.TOPIC) -
         "subscribe": topic,
         "kafka.group.id": fv.CONSUMER_GROUP,
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
     }
 
 
