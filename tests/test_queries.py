@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import check
-from wardline.plans import queries
+from wardline.plans import oracles, queries
 from wardline.sources import testdata as td
 
 # Nodes that would run Python per row, pair everything with everything, or gather rows.
@@ -24,11 +24,13 @@ def duck(sf_dir):
 
 
 def test_names():
-    assert set(contract.oracle_sql()) | FITTED == set(contract.queries())
-    assert not set(contract.oracle_sql()) & FITTED
+    assert set(oracles.ORACLES) | FITTED == set(queries.REGISTRY)
+    assert not set(oracles.ORACLES) & FITTED
+    assert set(queries.REGISTRY) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracles.ORACLES))
 def test_query_equals_its_sql_twin(spark, duck, sf_dir, name):
     assert check.compare(spark, duck, sf_dir, name, contract.oracle_sql()[name]) is None
 
@@ -42,7 +44,7 @@ def plan_of(df):
 
 
 @pytest.mark.parametrize(
-    "name", sorted(n for n in contract.queries() if not n.startswith("stream"))
+    "name", sorted(n for n in queries.REGISTRY if not n.startswith("stream"))
 )
 def test_plans_stay_in_the_jvm_and_partitioned(spark, sf_dir, name):
     plan = plan_of(contract.queries()[name](spark, sf_dir))
