@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardline.llm import exact_dedup, mixing, pii, url_reputation
+from wardline.llm import bpe, exact_dedup, mixing, pii, url_reputation
 from wardline.llm.common import table
 
 
@@ -12,6 +14,17 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    path = path or public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -27,6 +40,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_pii": op1_pii,
+    "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_url_filters": op8_url_filters,
     "op9_mixing": op9_mixing,
