@@ -99,3 +99,23 @@ def words(text):
 
 def counts(texts):
     return Counter(w for t in texts for w in words(t))
+
+
+def repeats(rows, window=50):
+    """{row number: (n_bytes, n_removed, n_spans, sha256)} of rows (doc_id, text)."""
+    first = {}
+    data = [(doc_id, (text or "").encode()) for doc_id, text in rows]
+    for doc_id, text in data:
+        for i in range(len(text) - window + 1):
+            w = text[i : i + window]
+            first[w] = min(first.get(w, doc_id), doc_id)
+    out = []
+    for doc_id, text in data:
+        gone = bytearray(len(text))
+        for i in range(len(text) - window + 1):
+            if first[text[i : i + window]] < doc_id:
+                gone[i : i + window] = b"\1" * window
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        kept = bytes(b for b, g in zip(text, gone) if not g)
+        out.append((doc_id, len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)

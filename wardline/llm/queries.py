@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, mixing, pii, url_reputation
+from wardline.llm import bpe, exact_dedup, mixing, pii, suffix_dedup, url_reputation
 from wardline.llm.common import table
 
 
@@ -38,10 +38,27 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def cut_digests(docs: DataFrame) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(docs)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.cast("long").alias("n_removed"),
+        F.coalesce(F.size("starts"), F.lit(0)).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_digests(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_pii": op1_pii,
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_url_filters": op8_url_filters,
     "op9_mixing": op9_mixing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
