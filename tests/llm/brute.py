@@ -119,3 +119,35 @@ def repeats(rows, window=50):
         kept = bytes(b for b, g in zip(text, gone) if not g)
         out.append((doc_id, len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return sorted(out)
+
+
+def shingles(text, n=5):
+    w = words(text)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1)))
+
+
+def linked(rows, percent=80):
+    """Sorted (doc_id, n_shingles, component_id, n_links) of rows (doc_id, text), by all pairs."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = [0] * len(sets)
+    for x, (i, a) in enumerate(sets):
+        for y in range(x):
+            j, b = sets[y]
+            if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)) or not a or not b:
+                continue
+            both = len(a & b)
+            if both * 100 >= percent * (len(a) + len(b) - both):
+                links[x] += 1
+                links[y] += 1
+                p, q = sorted((find(i), find(j)))
+                root[q] = p
+    return sorted((i, len(s), find(i), n) for (i, s), n in zip(sets, links))

@@ -17,6 +17,7 @@ __all__ = ["stage", "table", "texts", "text_bytes", "buckets_for", "buffer", "un
 SPACES = b" \t\n\x0b\x0c\r"
 # A join key held by more than one row in HEAVY_KEYS is heavy, so there are fewer than this many.
 HEAVY_KEYS = 4096
+LEAST = -(2**63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key and whole text; a null text counts as empty."""
+    """Key and whole text; a null text counts as empty, a null key as the smallest long."""
     return docs.select(
-        F.col(key).cast("long").alias("doc_id"),
+        F.coalesce(F.col(key).cast("long"), F.lit(LEAST)).alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
 
@@ -54,7 +55,7 @@ def buffer(column: pa.Array) -> tuple[bytes, np.ndarray]:
 
 def longs(column: pa.Array) -> np.ndarray:
     """A column of whole numbers; null becomes the smallest long."""
-    return column.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.cast(pa.int64()).fill_null(LEAST).to_numpy(zero_copy_only=False)
 
 
 def documents_of(batches, limit: int = 16 << 20):

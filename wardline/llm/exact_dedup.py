@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import documents_of, stage, texts, unique_key_join
+from wardline.llm.common import LEAST, documents_of, stage, texts, unique_key_join
 
 SALTS = 16
 _LOCAL = "digest binary, salt int, norm binary, keep_id long, n long"
@@ -123,5 +123,5 @@ def _local_rows(size: int):
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, all columns; of rows that also share the doc_id, one stays."""
     kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(np.iinfo(np.int64).min).cast("long"))
-    return docs.withColumn("_key", key).join(kept, F.col("_key") == F.col("_kept"), "left_semi").drop("_key").dropDuplicates(["doc_id"])
+    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST))
+    return docs.join(kept, key == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, mixing, pii, suffix_dedup, url_reputation
+from wardline.llm import bpe, exact_dedup, jaccard_join, mixing, pii, suffix_dedup, url_reputation
 from wardline.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     return url_reputation.judge(pages, labels)
@@ -38,8 +42,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-def cut_digests(docs: DataFrame) -> DataFrame:
-    cut = suffix_dedup.remove_repeats(docs)
+def cut_digests(docs: DataFrame, **settings) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(docs, **settings)
     removed = F.col("n_bytes") - F.octet_length("kept")
     return cut.select(
         "doc_id",
@@ -58,6 +62,7 @@ REGISTRY = {
     "op1_pii": op1_pii,
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filters": op8_url_filters,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,

@@ -146,13 +146,13 @@ def _blob(values: np.ndarray) -> bytes:
     return values.nbytes.to_bytes(8, "little") + _packed(values)
 
 
-def _strings(buckets: int, window: int, gram: int):
+def _strings(buckets: int, window: int, gram: int, block: int):
     """Per block of texts and bucket: its distinct strings, with the places they have in the
     smallest document of the block; in the block's other documents they are removed at once."""
     names = [c.split()[0] for c in _PIECES.split(", ")]
 
     def run(batches):
-        for ids, data, where in documents_of(batches, BLOCK_BYTES):
+        for ids, data, where in documents_of(batches, block):
             raw = np.frombuffer(data, np.uint8)
             eights, start, size, anchor, text = pieces_of(data, where, window, gram)
             if not len(start):
@@ -324,7 +324,7 @@ def _cut(batches):
         yield pa.record_batch(arrays, names=["doc_id", "starts", "ends", "n_bytes", "kept"])
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, key, starts, ends): bytes covered by a `window` that a smaller doc_id has too.
 
     Texts are cut into overlapping strings by anchors (`pieces_of`), so that all windows that are
@@ -336,14 +336,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     """
     docs = texts(docs)
     buckets = buckets_for(text_bytes(docs), BUCKET_BYTES)
-    pieces = docs.mapInArrow(_strings(buckets, window, gram), _PIECES)
+    pieces = docs.mapInArrow(_strings(buckets, window, gram, block), _PIECES)
     spans = pieces.groupBy("bucket").applyInArrow(_shared(window, buckets), _SPANS)
     return spans.groupBy("part").applyInArrow(
         _merged, "doc_id long, key long, starts array<int>, ends array<int>"
     )
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, starts, ends (bytes removed), n_bytes, kept (the other bytes), a row per document.
 
     Null texts count as empty, texts shorter than `window` stay. Rows with the same doc_id keep
@@ -351,7 +351,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     empty table gives an empty result.
     """
     whole = texts(docs).mapInArrow(_keys, "doc_id long, key long, text string")
-    joined = whole.join(repeated_spans(docs, window, gram), ["doc_id", "key"], "left")
+    joined = whole.join(repeated_spans(docs, window, gram, block), ["doc_id", "key"], "left")
     return joined.select("doc_id", "text", "starts", "ends").mapInArrow(
         _cut, "doc_id long, starts array<int>, ends array<int>, n_bytes long, kept binary"
     )
