@@ -4,6 +4,18 @@ from __future__ import annotations
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP2 = """
+WITH v AS (
+ SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS vec FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+ SELECT q.vec_id AS query_id, q.row AS query_row, c.vec_id, c.row, list_dot_product(q.vec, c.vec)::BIGINT AS score
+ FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 100 = 0),
+r AS (
+ SELECT *, row_number() OVER (PARTITION BY query_id, query_row ORDER BY score DESC, vec_id, row)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
 OP6 = f"""
 WITH d AS (SELECT doc_id, {_NORM} AS norm FROM documents),
 g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY norm)
@@ -116,4 +128,4 @@ SELECT doc_id, size, source_size, target, sum(words)::BIGINT AS taken
 FROM taken GROUP BY doc_id, rank, row, size, source_size, target
 """
 
-ORACLES = {"op6_exact_dedup": OP6, "op8_url_filters": OP8, "op9_mixing": OP9}
+ORACLES = {"op2_top_products": OP2, "op6_exact_dedup": OP6, "op8_url_filters": OP8, "op9_mixing": OP9}
