@@ -151,3 +151,19 @@ def linked(rows, percent=80):
                 p, q = sorted((find(i), find(j)))
                 root[q] = p
     return sorted((i, len(s), find(i), n) for (i, s), n in zip(sets, links))
+
+
+def base_scores(rows):
+    """{(doc_id, text): (held_out, n_tokens, n_known, train_tokens, base_score)}."""
+    import math
+    import zlib
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    count = Counter(w for i, t in rows if not held(i) for w in [*words(t), None])
+    total, distinct = sum(count.values()), len(count)
+    out = {}
+    for i, t in rows:
+        tokens = [*words(t), None]
+        score = sum(math.log10((count[w] + 1) / (total + distinct + 1)) for w in tokens)
+        out[i, t] = (held(i), len(tokens), sum(count[w] > 0 for w in tokens), total, score)
+    return out

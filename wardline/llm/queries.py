@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, pii, suffix_dedup, topk, url_reputation
+from wardline.llm import bpe, exact_dedup, jaccard_join, language_id, language_model, mixing, pii, suffix_dedup, topk, url_reputation
 from wardline.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(table(spark, sf_dir, "embeddings"))
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_pii": op1_pii,
     "op2_top_products": op2_top_products,
+    "op3_language_model": op3_language_model,
     "op4_language_id": op4_language_id,
     "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
