@@ -93,3 +93,20 @@ def test_components(spark):
         root[q] = p
     got = {r.node: r.root for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {i: find(i) for a, b in pairs if a != b for i in (a, b)}
+
+
+def test_bounds_never_exclude_a_link():
+    draw = np.random.default_rng(8)
+    pool = draw.integers(0, 2**64, 6000, dtype=np.uint64)
+    sets = []
+    for size in (1, 2, 100, 128, 129, 140, 500, 520, 2000, 2100, 2500):
+        base = draw.choice(pool, size, False)
+        for gone in (0, 0.02, 0.1, 0.3):
+            kept = draw.choice(base, max(1, int(size * (1 - gone))), False)
+            sets.append(np.unique(np.concatenate([kept, draw.choice(pool, int(size * gone / 2))])))
+    size = np.array([len(s) for s in sets])
+    bounds = jaccard_join.Bounds(size, [jaccard_join.set_bits(s) for s in sets], 80)
+    may = bounds.may_link(np.arange(len(sets)), np.arange(len(sets)))
+    linked = np.array([[100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for b in sets] for a in sets])
+    assert (may | ~linked).all()
+    assert may.sum() < 3 * linked.sum()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import buckets_for, documents_of, longs, stage, text_bytes, texts, unique_key_join
+from wardline.llm.common import LEAST, buckets_for, documents_of, longs, stage, text_bytes, texts, unique_key_join
 from wardline.llm.components import components
 from wardline.llm.suffix_dedup import _blob, _mixed, _unpacked, words_at
 
@@ -20,14 +20,17 @@ PERCENT = 80
 # A token is frequent if it has this many prefix places and one in FREQUENT_SHARE of all.
 FREQUENT = 32
 FREQUENT_SHARE = 65_536
-# Bits of a set's signature for the upper bound of overlaps.
-BITS = 1024
+# Powers of two of the bits that bound overlaps: about two bits a token, within these limits.
+LEAST_BITS, MOST_BITS = 8, 14
 # Text behind a bucket of signatures, and behind a task of verification.
 BUCKET_BYTES = 48 << 20
 BIN_BYTES = 4 << 20
 BLOCK_BYTES = 8 << 20
 # Sets that are compared with each other in one task; larger clusters are cut into blocks.
 BLOCK = 512
+# Lists up to this length are thinned in one task; there are fewer longer ones than one in LONGEST
+# of all list entries, and they are taken whole.
+LONGEST = 1 << 16
 # Sets of a token up to which their pairs are counted one by one, beyond it by matrix product.
 SPARSE = 16
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -35,13 +38,17 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def word_hashes(data: bytes, where: np.ndarray):
-    """Hash of each word of the texts, A-Z lower-cased, and the words' offsets by text."""
+def word_hashes(data: bytes, where: np.ndarray, ends: bool = False):
+    """Hash of each word of the texts, A-Z lower-cased, and the words' offsets by text.
+
+    With `ends` also where each word starts and ends.
+    """
     data = data.lower()
     raw = np.frombuffer(data, np.uint8)
     n = len(raw)
     if not n:
-        return np.empty(0, np.uint64), np.zeros(len(where), np.int64)
+        none = np.empty(0, np.uint64), np.zeros(len(where), np.int64)
+        return (*none, *[np.empty(0, np.int64)] * 2) if ends else none
     dark = ~_SPACE[raw]
     cut = np.zeros(n + 1, bool)
     cut[where] = True
@@ -59,7 +66,8 @@ def word_hashes(data: bytes, where: np.ndarray):
         h[live] = _mixed(h[live] + part * _M3)
         more = left > 8
         live, left, at = live[more], left[more] - 8, at[more] + 8
-    return h, np.searchsorted(start, where, "left")
+    by_text = np.searchsorted(start, where, "left")
+    return (h, by_text, start, end) if ends else (h, by_text)
 
 
 def shingle_sets(data: bytes, where: np.ndarray, words: int = WORDS):
@@ -94,9 +102,16 @@ def set_digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def set_bits(tokens: np.ndarray, bits: int = BITS) -> bytes:
-    """Parity of the number of tokens on each bit."""
-    return np.packbits(np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+def bit_level(n: int) -> int:
+    """Power of two of the bits of a set of n."""
+    return min(max((n - 1).bit_length() + 1, LEAST_BITS), MOST_BITS)
+
+
+def set_bits(tokens: np.ndarray) -> bytes:
+    """Parity of the number of tokens on each bit; a bit is the low end of the hash."""
+    bits = 1 << bit_level(len(tokens))
+    place = (tokens & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
 def allowed(n: int, percent: int = PERCENT) -> int:
@@ -311,33 +326,64 @@ def _membership(signature: np.ndarray, digest: np.ndarray):
     return np.repeat(name, many)[rows], digest[rows]
 
 
-def _may_link(size: np.ndarray, bits: np.ndarray, i: np.ndarray, percent: int) -> np.ndarray:
-    """Rows i against all sets: whether sizes and bits leave room for enough overlap.
+class Bounds:
+    """Whether sizes and bits of sets leave room for a link.
 
-    Sets that differ in d tokens have parities that differ on at most d bits.
+    Sets that differ in d tokens have parities that differ on at most d bits. The two halves of a
+    set's bits, combined, are its bits on the level below; sizes that may link are at most one
+    level apart.
     """
-    a, b = size[i][:, None], size[None, :]
-    differ = np.bitwise_count(bits[i][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
-    overlap = np.minimum((a + b - differ) // 2, np.minimum(a, b))
-    return 100 * overlap >= percent * (a + b - overlap)
+
+    def __init__(self, size: np.ndarray, bits: list[bytes], percent: int):
+        self.size, self.percent = size, percent
+        self.level = np.array([len(b).bit_length() + 2 for b in bits])
+        self.at, self.rows = {}, {}
+        for level in np.unique(self.level).tolist():
+            own = np.flatnonzero(self.level == level)
+            matrix = np.frombuffer(b"".join(bits[i] for i in own), np.uint64).reshape(len(own), -1)
+            half = matrix.shape[1] // 2
+            for place, rows in ((level, matrix), (level - 1, matrix[:, :half] ^ matrix[:, half:])):
+                number = self.at.setdefault(place, np.full(len(size), -1))
+                held = self.rows.setdefault(place, np.empty((0, rows.shape[1]), np.uint64))
+                number[own] = len(held) + np.arange(len(own))
+                self.rows[place] = np.concatenate([held, rows])
+
+    def may_link(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(left), len(right)), bool)
+        for one in np.unique(self.level[left]).tolist():
+            i = np.flatnonzero(self.level[left] == one)
+            for other in (one - 1, one, one + 1):
+                j = np.flatnonzero(self.level[right] == other)
+                if not len(j):
+                    continue
+                place = min(one, other)
+                at, rows = self.at[place], self.rows[place]
+                a, b = self.size[left[i]][:, None], self.size[right[j]][None, :]
+                pair = rows[at[left[i]]][:, None, :] ^ rows[at[right[j]]][None, :, :]
+                differ = np.bitwise_count(pair).sum(axis=2, dtype=np.int64)
+                overlap = np.minimum((a + b - differ) // 2, np.minimum(a, b))
+                out[np.ix_(i, j)] = 100 * overlap >= self.percent * (a + b - overlap)
+        return out
 
 
-def _forest(size: np.ndarray, bits: np.ndarray, percent: int):
+def _forest(size: np.ndarray, bits: list[bytes], percent: int):
     """Edges that connect the sets of a list as all pairs that may link would."""
-    left = np.arange(len(size))
-    edges = []
+    bounds, left, edges = Bounds(size, bits, percent), np.arange(len(size)), []
     while len(left):
         ready, left = left[:1], left[1:]
         while len(ready) and len(left):
             near = np.zeros(len(left), bool)
-            for at in range(0, len(ready), 64):
-                rows = ready[at : at + 64]
-                if len(left) == 0:
+            # So many rows that a matrix of pairs stays small.
+            step = max(1, (1 << 16) // len(left))
+            for at in range(0, len(ready), step):
+                far = np.flatnonzero(~near)
+                if not len(far):
                     break
-                may = _may_link(np.append(size[rows], size[left]), np.concatenate([bits[rows], bits[left]]), np.arange(len(rows)), percent)[:, len(rows) :]
-                hit = may.any(axis=0) & ~near
-                edges += zip(rows[may.argmax(axis=0)[hit]].tolist(), left[hit].tolist())
-                near |= hit
+                rows = ready[at : at + step]
+                may = bounds.may_link(rows, left[far])
+                hit = may.any(axis=0)
+                edges += zip(rows[may.argmax(axis=0)[hit]].tolist(), left[far[hit]].tolist())
+                near[far[hit]] = True
             ready, left = left[near], left[~near]
     return edges
 
@@ -366,7 +412,7 @@ def _candidates(percent: int):
             return
         table = table.combine_chunks()
         names, ids, size = (longs(table.column(i).combine_chunks()) for i in (0, 1, 2))
-        bits = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint64).reshape(len(ids), -1)
+        bits = table.column(3).to_pylist()
         first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
         a, b = [], []
         for s, e in zip(first.tolist(), [*first[1:].tolist(), len(names)]):
@@ -482,9 +528,9 @@ def link_documents(
     """One row per document: doc_id, n_shingles, component_id, n_links.
 
     Documents with equal sets are one entity, found by digest. Entities with a common signature
-    (`signatures`) form lists; lists of rare tokens are thinned to the pairs whose sizes and bits
-    leave room for a link, those of combined frequent tokens are taken whole. The clusters that
-    these candidates connect are verified: the texts of a cluster meet in one task, or, beyond
+    (`signatures`) form lists, which are thinned to the pairs whose sizes and bits leave room for a
+    link; only lists of more than LONGEST are taken whole. The clusters that these candidates
+    connect are verified: the texts of a cluster meet in one task, or, beyond
     `block` entities, in a task per two blocks of it, and all their pairs are compared exactly. Links
     then give the components. No pair is written out: lists and tasks return trees.
 
@@ -511,11 +557,11 @@ def link_documents(
     lists = signed.groupBy("bucket").applyInArrow(_lists, "list long, kind int, digest binary").distinct()
     known = entities.select("digest", "id", "n", "bits")
     lists = stage(lists.join(known, "digest").drop("digest"), "jaccard-lists")
-    rare = lists.filter("kind = 0").select("list", "id", "n", "bits").repartition("list").sortWithinPartitions("list")
-    thinned = rare.mapInArrow(_candidates(percent), "a long, b long")
-    whole = lists.filter("kind = 1").select("list", "id")
-    centres = stage(whole.groupBy("list").agg(F.min("id").alias("b"), F.count("*").alias("many")), "jaccard-centres")
-    starred = unique_key_join(whole, centres, "list", "many", whole.count()).select(F.col("id").alias("a"), "b")
+    centres = lists.groupBy("list").agg(F.min("id").alias("b"), F.count("*").alias("many")).filter(F.col("many") > LONGEST)
+    centres = stage(centres, "jaccard-centres")
+    short = lists.join(F.broadcast(centres.select("list")), "list", "left_anti").select("list", "id", "n", "bits")
+    thinned = short.repartition("list").sortWithinPartitions("list").mapInArrow(_candidates(percent), "a long, b long")
+    starred = lists.join(F.broadcast(centres), "list").select(F.col("id").alias("a"), "b")
     clusters = stage(components(thinned.unionByName(starred)), "jaccard-clusters")
 
     linked = stage(_verify(docs, entities, clusters, size, total, words, percent, block), "jaccard-links")
@@ -530,6 +576,12 @@ def link_documents(
     return joined.select(*columns).unionByName(empty.select(*columns))
 
 
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, of each component's smallest document."""
+    kept = link_documents(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST)) == F.col("_id"), "left_semi")
+
+
 def _shared_ids(members: DataFrame, entities: DataFrame) -> DataFrame:
     """Edges between the entities of a doc_id that has several texts."""
     several = members.filter("n > 0").groupBy("doc_id").agg(F.count_distinct("digest").alias("texts")).filter("texts > 1")
