@@ -121,7 +121,14 @@ def _local_rows(size: int):
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, all columns; of rows that also share the doc_id, one stays."""
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST))
-    return docs.join(kept, key == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of `docs` that stay, all columns; of rows that are equal in id and text, one stays."""
+    kept = exact_groups(docs).filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"))
+    kept = stage(kept.agg(F.count("*").alias("_rows")), "exact-kept")
+    norm = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    digest = F.sha2(norm.cast("binary"), 256)
+    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST)) == F.col("_id")) & (digest == F.col("_text"))
+    rows = docs.join(kept, same, "left_semi")
+    if kept.filter("_rows > 1").limit(1).count():
+        rows = rows.withColumns({"_id": F.coalesce("doc_id", F.lit(LEAST)), "_text": digest})
+        rows = rows.dropDuplicates(["_id", "_text"]).drop("_id", "_text")
+    return rows

@@ -239,20 +239,36 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE
     return [(r.text, r.lang) for r in rows.collect()]
 
 
+def predictions(ids, data: bytes, where: np.ndarray, model: Field):
+    """(languages, scores) of a block of texts."""
+    low = [data[a:b].decode().lower() for a, b in zip(where.tolist(), where[1:].tolist())]
+    known = np.array([bool(model.names and _LETTER.search(t)) for t in low])
+    parts = [t.encode() for t in low]
+    share = language_shares(b"".join(parts), np.cumsum([0, *map(len, parts)]), model)
+    best = share.argmax(axis=1).tolist()
+    names = [model.names[b] if ok else UNKNOWN for b, ok in zip(best, known.tolist())]
+    return names, np.where(known, np.clip(share.max(axis=1), 0, 1), 0.0)
+
+
 def _predict(field):
     def run(batches):
-        model: Field = field.value
-        for ids, data, where in documents_of(batches, BLOCK_BYTES):
-            low = [data[a:b].decode().lower() for a, b in zip(where.tolist(), where[1:].tolist())]
-            lettered = np.array([bool(_LETTER.search(t)) for t in low])
-            parts = [t.encode() for t in low]
-            ends = np.cumsum([0, *map(len, parts)])
-            share = language_shares(b"".join(parts), ends, model)
-            best = share.argmax(axis=1)
-            score = share.max(axis=1)
-            names = [model.names[b] if ok and model.names else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist())]
-            score = np.where(lettered & bool(model.names), np.clip(score, 0, 1), 0.0)
-            yield pa.record_batch([pa.array(ids), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+        for block in documents_of(batches, BLOCK_BYTES):
+            names, score = predictions(*block, field.value)
+            yield pa.record_batch([pa.array(block[0]), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+
+    return run
+
+
+def _keep(field, text: str, least_score: float):
+    def run(batches):
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text)).fill_null("")
+            rows = pa.record_batch([pa.array(np.arange(len(column))), column], names=["row", "text"])
+            keep = np.zeros(len(column), bool)
+            for block in documents_of([rows], BLOCK_BYTES):
+                names, score = predictions(*block, field.value)
+                keep[block[0]] = [n != UNKNOWN and s >= least_score for n, s in zip(names, score.tolist())]
+            yield batch.filter(pa.array(keep))
 
     return run
 
@@ -288,7 +304,9 @@ def identify(docs: DataFrame, model: Field | None = None) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """The rows of `docs` whose language is known: not "und", and most likely for enough words."""
-    known = identify(docs).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    keys = known.select(F.col("doc_id").alias("_known")).distinct()
-    return docs.join(keys, F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63))) == F.col("_known"), "left_semi")
+    """The rows of `docs` whose language is known: not "und", and most likely for enough words.
+
+    Each row is judged where it is read; nothing is shuffled.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(fit(sample(docs)))
+    return docs.mapInArrow(_keep(sent, "text", least_score), docs.schema)

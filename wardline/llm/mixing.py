@@ -161,3 +161,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, block: int = B
     keys = ("doc_id", "rank", "row", "size", "source_size", "target")
     summed = joined.groupBy(*keys).agg(F.sum("taken").cast("long").alias("taken"))
     return summed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, as often as the mix takes them.
+
+    A document of which the mix takes x times its words comes floor(x) times, and once more if a
+    number from its id, uniform over documents, is below the rest: so the words of whole documents
+    come near the words taken. Rows that share a doc_id are taken alike, by the words of all.
+    """
+    taken = mix(docs).filter("size > 0").groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_times"))
+    number = F.pmod(F.xxhash64("doc_id"), F.lit(DRAW[2])) / F.lit(float(DRAW[2]))
+    copies = F.floor("_times") + F.when(number < F.col("_times") - F.floor("_times"), 1).otherwise(0)
+    times = taken.select(F.col("doc_id").alias("_id"), copies.cast("int").alias("_copies")).filter("_copies > 0")
+    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[docs[c] for c in docs.columns])
