@@ -17,7 +17,8 @@ HEADLINE = (
     "stats_overview", "level_distribution", "events_per_minute", "recent_events", "dedup_signals",
     "first_seen_ip", "ip_report_rollup", "ip_report_categories", "ip_reputation", "email_breaches",
     "geo_enriched", "signal_messages", "signal_features", "scaled_features", "score_trend_all",
-    "rf_predictions", "ml_report", "score_clusters", "stream_minute_counts",
+    "rf_predictions", "ml_report", "ml_report_recent", "score_clusters", "stream_dedup",
+    "stream_minute_counts",
 )
 
 

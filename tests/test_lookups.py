@@ -117,7 +117,7 @@ def test_breach_payload_shapes(spark):
 def test_email_checks(spark):
     payloads = payload_rows(spark, "email", [("a", {"breaches": [list("ABCDE")]})])
     metrics = payload_rows(
-        spark, "email", [("a", {"BreachMetrics": {"passwords": 3, "ssn": 1}}), ("b", {})]
+        spark, "email", [("a", {"BreachMetrics": {"passwords": 3, "ssn": 1}}), ("b", {"BreachMetrics": {"ssn": 9}})]
     )
     asked = spark.createDataFrame([("a",), ("b",)], "email string")
     out = breach.check_emails(asked, payloads, metrics)

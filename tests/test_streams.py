@@ -141,8 +141,8 @@ def test_stream_scores_equal_batch_scores(spark, sf_dir, tmp_path):
     streamed.write.parquet(scored_path)
     as_stream = spark.readStream.schema(streamed.schema).parquet(scored_path)
     live.start_trend(
-        as_stream, lambda: spark.read.parquet(scored_path), str(tmp_path / "trend"),
-        str(tmp_path / "c"), available_now=True,
+        as_stream, str(tmp_path / "newest"), str(tmp_path / "trend"), str(tmp_path / "c"),
+        available_now=True,
     ).awaitTermination()
     trends = store.read_batches(
         spark, str(tmp_path / "trend"),
@@ -151,6 +151,60 @@ def test_stream_scores_equal_batch_scores(spark, sf_dir, tmp_path):
     assert rows(trends.distinct()) == rows(live.history_trend(streamed))
 
 
+def late_files(tmp_path, n=120, files=6):
+    """Message files with the newest events first, one per trigger."""
+    for f in range(files):
+        lines = [message(i, i) for i in range(n) if i * files // n == files - 1 - f]
+        write_lines(tmp_path / "in" / f"{f}.json", lines + lines[:2])
+
+
+def test_no_event_is_too_late(spark, tmp_path):
+    late_files(tmp_path)
+    stream = ingest.read_message_files(spark, str(tmp_path / "in"), per_trigger=1)
+    path = str(tmp_path / "store")
+    query = ingest.start_ingest(stream, path, str(tmp_path / "c1"), available_now=True)
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 6
+    stored = ingest.read_store(spark, path)
+    assert stored.count() == 120 and stored.select("id").distinct().count() == 120
+    follow = spark.readStream.schema(schemas.SIGNAL).option("maxFilesPerTrigger", 1).parquet(path)
+    out = str(tmp_path / "minutes")
+    counters.start_minute_counts(follow, out, str(tmp_path / "c2"), available_now=True, fold=4).awaitTermination()
+    assert rows(counters.read_minute_counts(spark, out)) == rows(stats.per_minute(stored))
+
+
+def test_undecodable_messages_are_kept(spark, tmp_path):
+    write_lines(tmp_path / "in" / "a.json", [message(1), "broken {", message(2)])
+    lines = ingest.read_lines(spark, str(tmp_path / "in"))
+    path, rejects = str(tmp_path / "store"), str(tmp_path / "rejects")
+    for query in ingest.start_message_ingest(lines, path, rejects, str(tmp_path / "c"), available_now=True):
+        query.awaitTermination()
+    assert ingest.read_store(spark, path).count() == 2
+    assert rows(spark.read.parquet(rejects)) == [("broken {",)]
+
+
+def test_sums_are_folded_and_replays_count_once(spark, tmp_path):
+    path, schema = str(tmp_path / "sums"), "k string, n bigint"
+    write = store.sum_writer(path, ["k"], fold=4)
+    for i in range(30):
+        for _ in range(2):
+            write(spark.createDataFrame([("a", 1), (f"b{i % 3}", i)], schema), i)
+        assert len(list((tmp_path / "sums").iterdir())) <= 11
+    total = {r.k: r.n for r in store.read_sums(spark, path, schema, ["k"]).collect()}
+    assert total == {"a": 30} | {f"b{j}": sum(range(j, 30, 3)) for j in range(3)}
+    assert store.read_sums(spark, str(tmp_path / "none"), schema, ["k"]).count() == 0
+
+
+def test_the_newest_rows_roll_on(spark, tmp_path):
+    path = str(tmp_path / "newest")
+    write = store.newest_writer(path, lambda df: df.orderBy(F.desc("id")).limit(5))
+    for i in range(12):
+        for _ in range(2):
+            kept = write(spark.range(i * 3, i * 3 + 3), i)
+        assert [r.id for r in kept.collect()] == list(range(i * 3 + 2, max(-1, i * 3 - 3), -1))[:5]
+        assert len(list((tmp_path / "newest").iterdir())) <= 2
+
+
 def test_a_batch_written_twice_counts_once(spark, tmp_path):
     write = store.batch_writer(str(tmp_path / "out"))
     write(spark.range(3), 0)

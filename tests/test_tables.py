@@ -177,7 +177,41 @@ def test_salt_spreads_a_hot_key_and_missing_keys(spark):
             spark.conf.set(name, value)
 
 
-def test_small_dims_are_left_to_catalyst(spark, tmp_path):
+def test_an_aggregate_below_the_limit_is_broadcast_and_above_it_salted(spark):
+    fact = spark.range(0, 30_000, 1, 4).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 900).alias("k"))
+    rows_ = spark.range(4000).select((F.col("id") % 1000).alias("k"))
+    dim = rows_.groupBy("k").agg(F.count("*").alias("n"))
+    joined = joins.lookup_join(fact, dim, "k", bounded_by=rows_, hot_rows=500, fraction=1.0)
+    want = rows(fact.join(dim, "k", "left"))
+    assert rows(joined) == want
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        salted = joins.lookup_join(fact, dim, "k", bounded_by=rows_, hot_rows=500, fraction=1.0)
+        assert rows(salted) == want
+        assert "_salt" in salted._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_more_hot_keys_than_a_thousand(spark):
+    fact = spark.range(0, 60_000, 1, 4).select((F.col("id") % 3000).alias("k"))
+    dim = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+    hot = joins.hot_keys(fact, "k", hot_rows=10, fraction=1.0)
+    assert len(hot) == 3000
+    assert joins.salted_lookup(fact, dim, "k", "inner", hot).filter("d = 2 * k").count() == 60_000
+
+
+def test_a_key_column_is_probed_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: calls.append(a) or [])
+    for _ in range(3):
+        joins.known_hot_keys(spark.range(77).withColumnRenamed("id", "k"), "k", 5, 1.0)
+    assert len(calls) == 1
+
+
+def test_small_dims_are_broadcast(spark, tmp_path):
     spark.range(100).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "dim"))
     dim = spark.read.parquet(str(tmp_path / "dim"))
     fact = spark.range(1000).select((F.col("id") % 10).alias("k"))

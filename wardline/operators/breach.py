@@ -23,7 +23,11 @@ def check_emails(
     asked = requests.select("email").filter("email is not null").distinct()
     found = first_per_key(payloads.select("email", "payload"), ["email"], ["payload"])
     joined = asked.join(
-        found.select("email", breach_names(F.col("payload")).alias("_names")), "email", "left"
+        found.select(
+            "email", breach_names(F.col("payload")).alias("_names"), F.lit(True).alias("_found")
+        ),
+        "email",
+        "left",
     )
     if analytics is None:
         joined = joined.withColumn("analytics", breach_metrics(F.lit(None).cast("string")))
@@ -34,6 +38,8 @@ def check_emails(
             "email",
             "left",
         )
+        # A not-found e-mail gets the zero record: the analytics are not asked for.
+        joined = joined.withColumn("analytics", F.when(F.col("_found"), F.col("analytics")))
     return breach_records(joined)
 
 

@@ -19,16 +19,24 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return rows.select(*[c if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
+def _digest(df: DataFrame) -> Column:
+    return F.sha2(F.to_json(F.struct(*df.columns)), 256)
+
+
 def identity_key(df: DataFrame, id_column: str = "id") -> Column:
     """The id as text, or a digest of the whole row where there is none."""
-    digest = F.sha2(F.to_json(F.struct(*df.columns)), 256)
-    return F.coalesce(F.col(id_column).cast("string"), digest)
+    return F.coalesce(F.col(id_column).cast("string"), _digest(df))
 
 
 def dedup_events(events: DataFrame, id_column: str = "id", ts: str = "ts") -> DataFrame:
-    """One row per event id, the earliest; rows without an id are compared as a whole."""
-    keyed = events.withColumn("_key", identity_key(events, id_column))
-    return first_per_key(keyed, ["_key"], [ts]).drop("_key")
+    """One row per event id, the earliest; rows without an id are compared as a whole.
+
+    Ids are grouped in their own type; only rows without one are grouped by a digest.
+    """
+    known, nameless = F.col(id_column).isNotNull(), F.col(id_column).isNull()
+    first = first_per_key(events.filter(known), [id_column], [ts])
+    whole = events.filter(nameless).withColumn("_key", _digest(events))
+    return first.unionByName(first_per_key(whole, ["_key"], [ts]).drop("_key"))
 
 
 def first_seen(events: DataFrame, key: str = "ip", ts: str = "ts", id_column: str = "id"):

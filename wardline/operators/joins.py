@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_HOT_KEYS = 1000
+# Rows of the mark table, a few MB: a key is only hot with HOT_ROWS rows, so this many hold 1e11.
+MAX_HOT_KEYS = 100_000
 # Rows of one key that may share a salt.
 HOT_ROWS = 1_000_000
 PROBE_FRACTION = 0.01
@@ -44,6 +45,18 @@ def hot_keys(
     return [(row[0], int(row[1] / fraction / hot_rows) + 2) for row in top]
 
 
+_probes: dict[tuple, list[tuple]] = {}
+
+
+def known_hot_keys(fact: DataFrame, key: str, hot_rows: int, fraction: float) -> list[tuple]:
+    """`hot_keys`, looked for once per session, plan of the key column and setting."""
+    column = fact.select(key)
+    name = (fact.sparkSession.sparkContext.applicationId, column.semanticHash(), key, hot_rows, fraction)
+    if name not in _probes:
+        _probes[name] = hot_keys(column, key, hot_rows, fraction)
+    return _probes[name]
+
+
 def _hashable(df: DataFrame) -> list[str]:
     unhashable = (T.MapType, T.VariantType, T.ArrayType, T.StructType)
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, unhashable)]
@@ -87,8 +100,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join `fact` to `dim`, which has at most one row per key.
 
-    A dim whose estimated size is under the session's broadcast limit is left to Catalyst,
-    which broadcasts it. Otherwise both sides are shuffled, hot keys salted.
+    A dim whose size is bounded below the session's broadcast limit is broadcast, and asked to be:
+    Catalyst's own estimate of a join or an aggregate is far too high. Otherwise both sides are
+    shuffled, hot keys salted. A stream cannot be probed for hot keys: give streams a bounded dim,
+    or join their batches.
 
     `bounded_by`: a scan with at least one row per row of `dim`, for dims whose own estimate
     is useless (joins and aggregates); its size counts WIDENING times. `probe`: a cheaper
@@ -97,8 +112,8 @@ def lookup_join(
     limit = broadcast_limit(fact)
     size = estimated_bytes(dim) if bounded_by is None else WIDENING * estimated_bytes(bounded_by)
     if size <= limit:
-        return fact.join(dim, key, how)
+        return fact.join(F.broadcast(dim), key, how)
     if fact.isStreaming:
-        return fact.join(dim, key, how)
-    hot = hot_keys(fact if probe is None else probe, key, hot_rows, fraction)
+        raise ValueError("a stream needs a dim below the broadcast limit; join its batches instead")
+    hot = known_hot_keys(fact if probe is None else probe, key, hot_rows, fraction)
     return salted_lookup(fact, dim, key, how, hot)

@@ -1,4 +1,7 @@
-"""SQL twins of the registered queries, for DuckDB over the same tables."""
+"""SQL twins of the registered queries, for DuckDB over the same tables.
+
+The lists of codes, names, countries, texts and weights are fixed values, as in functions/fixed_values.py.
+"""
 
 from __future__ import annotations
 
@@ -30,8 +33,7 @@ signals AS (SELECT event_id AS id, ts, ip, email,
     FROM events LEFT JOIN owners ON user_id = c_custkey),
 reports AS (SELECT ip, o_orderkey AS report_id, l_suppkey AS reporter_id,
     CAST(1 + l_partkey % 23 AS INTEGER) AS category, o_orderdate AS reported_at
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN owners ON o_custkey = c_custkey
-    WHERE l_linenumber <= 2 AND l_returnflag = 'R'),
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN owners ON o_custkey = c_custkey),
 rollup AS (SELECT ip, count(DISTINCT report_id) AS total_reports,
     count(DISTINCT reporter_id) AS distinct_users, max(reported_at) AS last_reported,
     count(DISTINCT category) AS category_count FROM reports GROUP BY ip),
@@ -73,9 +75,9 @@ features AS (SELECT id,
     (CASE WHEN country IN ('CN','RU','KP','IR','UA','SY','LY','IQ') THEN 1.0
           WHEN country IN ('BR','IN','NG','RO','PK','BD') THEN 0.5 ELSE 0.1 END)::DOUBLE AS f_country
     FROM enriched),
-breaches AS (SELECT email, o_orderkey AS breach_id, 'Breach-' || o_orderkey % 97 AS breach_name,
+breaches AS (SELECT email, o_orderkey AS breach_id, 'Breach-' || strftime(o_orderdate, '%Y-%m') AS breach_name,
     o_orderstatus AS leaked
-    FROM owners JOIN orders ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT'),
+    FROM owners JOIN orders ON o_custkey = c_custkey),
 leaks AS (SELECT email, count(DISTINCT breach_name) AS n,
     string_agg(DISTINCT breach_name, ',' ORDER BY breach_name) AS names,
     count(*) FILTER (leaked = 'F') AS passwords, count(*) FILTER (leaked = 'O') AS credit_cards,
@@ -158,6 +160,18 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, centre) AS r
 SELECT id, centre::INTEGER AS centre, round(d, 6) AS distance, d > 2.0 AS anomaly FROM ranked WHERE rk = 1"""
 
 
+def _fixed() -> str:
+    """Frame `scored` of the fixed centres and bands."""
+    return f"""{_distances().partition("SELECT id, centre::INTEGER")[0]},
+scored AS (SELECT s.id, s.ts, d > 2.0 AS anomaly, 'centre ' || centre AS cluster_name, s.threat_level AS rf_prediction,
+    greatest(0, least(100, trunc(0.6::DOUBLE * threat_score + 0.4::DOUBLE *
+    CASE s.threat_level WHEN 'critical' THEN 100 WHEN 'high' THEN 70 WHEN 'medium' THEN 45 ELSE 10 END)))::INTEGER AS adjusted
+    FROM ranked JOIN signals s USING (id) WHERE rk = 1)"""
+
+
+_RATE = """count(*) AS total_events_analyzed, count(*) FILTER (anomaly) AS anomaly_count,
+    round(count(*) FILTER (anomaly) / greatest(count(*), 1) * 100, 1) AS anomaly_rate_pct"""
+_RECORDS = "count(*) AS n, count(*) AS labelled, count(*) AS blended"
 _MINUTES = """SELECT date_trunc('minute', ts) AS minute, count(*) AS n FROM events GROUP BY 1"""
 _LEVEL_TOTALS = (
     BASE
@@ -203,7 +217,7 @@ ORACLES = {
     + """SELECT ip, count(DISTINCT report_id) AS total_reports,
     count(DISTINCT reporter_id) AS distinct_users, max(reported_at) AS last_reported,
     count(DISTINCT category) AS category_count FROM reports
-    WHERE reported_at > (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAY GROUP BY ip""",
+    WHERE reported_at > (SELECT max(reported_at) FROM reports) - INTERVAL 90 DAY GROUP BY ip""",
     "ip_categories": BASE
     + "SELECT ip, array_to_string(cats, ', ') AS categories FROM reputation",
     "ip_report_categories": _CATEGORIES,
@@ -278,6 +292,27 @@ ORACLES = {
     + ", kept AS (SELECT ts, threat_score AS y FROM signals ORDER BY ts DESC, id DESC LIMIT 500)"
     + TREND,
     "score_trend_all": BASE + ", kept AS (SELECT ts, threat_score AS y FROM signals)" + TREND,
+    "fixed_anomaly_rate": f"{_fixed()} SELECT {_RATE} FROM scored",
+    "fixed_cluster_breakdown": f"{_fixed()} SELECT cluster_name, count(*) AS n FROM scored GROUP BY 1",
+    "fixed_label_distribution": f"{_fixed()} SELECT rf_prediction, count(*) AS n FROM scored GROUP BY 1",
+    "fixed_report": f"""{_fixed()}, kept AS (SELECT ts, adjusted AS y FROM scored){TREND.rstrip()}, (SELECT 1)""".replace(
+        "SELECT round(s, 3)", f"SELECT 'success' AS status, r.*, round(s, 3)"
+    ).replace(", (SELECT 1)", f", (SELECT {_RATE} FROM scored) r"),
+    "report_of_too_few": f"""{_fixed()}, few AS (SELECT * FROM scored ORDER BY ts DESC NULLS LAST, id DESC LIMIT 2)
+    SELECT 'not enough events' AS status, count(*) AS total_events_analyzed,
+    count(*) FILTER (anomaly) AS anomaly_count FROM few""",
+    "clusters_of_too_few": "SELECT 0 AS cluster, event_id AS id, 0.0::DOUBLE AS score FROM events WHERE false",
+    "rf_checks": """SELECT count(*) AS n, count(*) AS labelled, count(*) AS whole, count(*) AS confident,
+    count(*) AS blended FROM events""",
+    "kmeans_checks": "SELECT count(*) AS n, count(*) AS nearest, count(*) AS named, count(*) AS far FROM events",
+    "split_checks": """SELECT count(*) AS n, least(count(DISTINCT floor(value)), 2) AS parts,
+    count(DISTINCT floor(value)) > 1 AS apart FROM events""",
+    "email_score_checks": f"{BASE} SELECT {_RECORDS} FROM checks",
+    "ip_score_checks": f"{BASE} SELECT {_RECORDS} FROM reputation",
+    "report_checks": """SELECT 'success' AS status, count(*) AS total_events_analyzed, count(*) AS in_clusters,
+    count(*) AS in_labels FROM events""",
+    "stream_push": BASE + "SELECT id, ts, threat_score, threat_level FROM signals",
+    "stream_score_checks": f"SELECT {_RECORDS} FROM events",
     "stream_dedup": _DEDUP,
     "stream_minute_counts": _MINUTES,
     "stream_level_counts": _LEVEL_TOTALS,

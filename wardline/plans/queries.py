@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from wardline.operators import (
     trend,
 )
 from wardline.plans import reports
-from wardline.sources import store
+from wardline.sources import store, topic
 from wardline.sources import testdata as td
 from wardline.streaming import counters, ingest, live
 
@@ -189,8 +190,7 @@ def ip_report_rollup(spark, sf_dir):
 
 @query
 def ip_report_rollup_90d(spark, sf_dir):
-    newest = td.table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).scalar()
-    kept = reputation.recent_reports(td.reports(spark, sf_dir), asof=newest)
+    kept = reputation.recent_reports(td.reports(spark, sf_dir), asof=td.newest_report(spark, sf_dir))
     return reputation.report_rollup(kept)
 
 
@@ -308,19 +308,67 @@ def scaled_features(spark, sf_dir):
     )
 
 
-@query
-def fixed_center_anomaly(spark, sf_dir):
+def fixed_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector = [F.col(name) for name in fv.FEATURES]
     nearest = scoring.nearest_centre(vector, FIXED_CENTRES).alias("nearest")
+    return enriched_signals(spark, sf_dir).select("id", "ts", "threat_score", nearest)
+
+
+@query
+def fixed_center_anomaly(spark, sf_dir):
     far = F.round("nearest.distance", 6).alias("distance")
     return (
-        featured_signals(spark, sf_dir)
-        .select("id", nearest)
+        fixed_nearest(spark, sf_dir)
         .select("id", "nearest.id", far, (F.col("nearest.distance") > FIXED_LIMIT).alias("anomaly"))
         .toDF("id", "centre", "distance", "anomaly")
     )
 
 
+def fixed_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals scored by the fixed centres and, for labels, by their score bands."""
+    label = score_to_level(F.col("threat_score"))
+    return fixed_nearest(spark, sf_dir).select(
+        "id",
+        "ts",
+        (F.col("nearest.distance") > FIXED_LIMIT).alias("anomaly"),
+        F.concat(F.lit("centre "), F.col("nearest.id")).alias("cluster_name"),
+        label.alias("rf_prediction"),
+        adjusted_score(F.col("threat_score"), label).alias("ml_adjusted_score"),
+    )
+
+
+@query
+def fixed_anomaly_rate(spark, sf_dir):
+    return reports.anomaly_rate(fixed_scored(spark, sf_dir))
+
+
+@query
+def fixed_cluster_breakdown(spark, sf_dir):
+    return reports.cluster_breakdown(fixed_scored(spark, sf_dir))
+
+
+@query
+def fixed_label_distribution(spark, sf_dir):
+    return reports.label_distribution(fixed_scored(spark, sf_dir))
+
+
+@query
+def fixed_report(spark, sf_dir):
+    return reports.report_summary(fixed_scored(spark, sf_dir))
+
+
+@query
+def report_of_too_few(spark, sf_dir):
+    """The report's answer where the newest events are fewer than it needs."""
+    few = recent.latest(fixed_scored(spark, sf_dir), fv.REPORT_MIN_ROWS - 1)
+    return reports.report_summary(few).select("status", "total_events_analyzed", "anomaly_count")
+
+
+@query
+def clusters_of_too_few(spark, sf_dir):
+    return clusters.split_by_score(td.scored_events(spark, sf_dir), fv.SPLIT_MIN_ROWS - 1)
+
+
 @query
 def adjusted_scores(spark, sf_dir):
     blended = adjusted_score(F.col("threat_score"), F.col("threat_level"))
@@ -391,11 +439,21 @@ def ml_report(spark, sf_dir):
     return reports.report_summary(scored_signals(spark, sf_dir))
 
 
+def recent_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest signals of a report with their reputation: cut first, then looked up.
+
+    The reputations are those of the cut signals' addresses.
+    """
+    newest = recent.latest(td.signals(spark, sf_dir), fv.REPORT_ROWS)
+    payloads = td.reputation_payloads(spark, sf_dir).join(newest.select("ip").distinct(), "ip", "left_semi")
+    known = reputation.check_ips(newest.select("ip"), payloads)
+    return reputation.enrich_signals(newest, known, bounded_by=newest)
+
+
 @query
 def ml_report_recent(spark, sf_dir):
     model = model_for(spark, sf_dir)
-    batch = reports.score_batch(enriched_signals(spark, sf_dir), model)
-    return reports.report_summary(batch)
+    return reports.report_summary(reports.score_batch(recent_enriched(spark, sf_dir), model, None))
 
 
 @query
@@ -413,17 +471,129 @@ def anomaly_rate(spark, sf_dir):
     return reports.anomaly_rate(scored_signals(spark, sf_dir))
 
 
+# Properties of the fitted models that hold whatever the fit gives, counted over all rows
+
+
+def _holds(**tests) -> list:
+    return [F.count_if(test).alias(name) for name, test in tests.items()]
+
+
+@query
+def rf_checks(spark, sf_dir):
+    """Rows, and how many have a known label, shares of 100 %, their maximum as confidence, and the
+    score blended by the predicted label."""
+    shares = F.map_values("rf_probabilities")
+    total = F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)
+    blended = adjusted_score(F.col("threat_score"), F.col("rf_prediction"))
+    return scored_signals(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n"),
+        *_holds(
+            labelled=F.col("rf_prediction").isin(*fv.LEVELS),
+            whole=F.abs(total - 100) < 0.3,
+            confident=F.array_max(shares) == F.col("rf_confidence"),
+            blended=blended == F.col("ml_adjusted_score"),
+        ),
+    )
+
+
+@query
+def kmeans_checks(spark, sf_dir):
+    """Rows, and how many are with their nearest centre, named by it, and far exactly if anomalous."""
+    model = model_for(spark, sf_dir)
+    scored = scoring.score_records(featured_signals(spark, sf_dir), model).select(
+        "id", "cluster_id", "cluster_name", "anomaly", "anomaly_score"
+    )
+    scaled = model.scaler.transform(training.assembler().transform(featured_signals(spark, sf_dir)))
+    vector = vector_to_array("features").alias("_scaled")
+    near = scoring.nearest_centre(scoring.elements("_scaled"), model.centres)
+    joined = scored.join(scaled.select("id", vector).select("id", near.alias("near")), "id")
+    return joined.agg(
+        F.count(F.lit(1)).alias("n"),
+        *_holds(
+            nearest=F.abs(F.col("near.distance") - F.col("anomaly_score")) < 1e-4,
+            named=F.col("cluster_name").isin(*model.cluster_names.values()),
+            far=F.col("anomaly") == (F.col("near.distance") > fv.ANOMALY_DISTANCE),
+        ),
+    )
+
+
+@query
+def split_checks(spark, sf_dir):
+    """The score split has two parts, a threshold between them, and every event in one."""
+    split = clusters.split_by_score(td.scored_events(spark, sf_dir), None)
+    low, high = (F.when(F.col("cluster") == c, F.col("score")) for c in (0, 1))
+    return split.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("cluster").alias("parts"),
+        (F.max(low) < F.min(high)).alias("apart"),
+    )
+
+
+def _record_checks(scored: DataFrame) -> DataFrame:
+    blended = adjusted_score(F.col("threat_score"), F.col("rf_prediction"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        *_holds(
+            labelled=F.col("rf_prediction").isin(*fv.LEVELS),
+            blended=blended == F.col("ml_adjusted_score"),
+        ),
+    )
+
+
+@query
+def email_score_checks(spark, sf_dir):
+    return _record_checks(email_scores(spark, sf_dir))
+
+
+@query
+def ip_score_checks(spark, sf_dir):
+    return _record_checks(ip_scores(spark, sf_dir))
+
+
+@query
+def report_checks(spark, sf_dir):
+    """Events behind the fitted report, its clusters and its labels."""
+    scored = scored_signals(spark, sf_dir)
+    return reports.report_summary(scored).select(
+        "status",
+        "total_events_analyzed",
+        reports.cluster_breakdown(scored).agg(F.sum("n")).scalar().alias("in_clusters"),
+        reports.label_distribution(scored).agg(F.sum("n")).scalar().alias("in_labels"),
+    )
+
+
 # Streams over the same tables, run to the end of the input
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream of signals with a level."""
+ARRIVALS = 6
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """The event table as files that arrive in the wrong order, newest events first.
+
+    Its folder, and how many files make up an arrival.
+    """
+    path, table = store.shared_dir(spark, "arrivals"), td.events(spark, sf_dir)
+    first, last = table.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / ARRIVALS
+    bounds = [first + step * i for i in range(1, ARRIVALS)]
+    for i in reversed(range(ARRIVALS)):
+        # Events without a time come with the last arrival.
+        late = F.coalesce(F.col("ts") >= F.lit(bounds[i - 1]), F.lit(False)) if i else F.lit(True)
+        early = F.coalesce(F.col("ts") < F.lit(bounds[i]), F.lit(i == 0)) if i < ARRIVALS - 1 else F.lit(True)
+        table.filter(late & early).write.mode("append").parquet(path)
+    files = len(spark.read.schema(table.schema).parquet(path).inputFiles())
+    return path, max(1, files // ARRIVALS)
+
+
+def event_stream(spark: SparkSession, sf_dir: str, arrived: tuple[str, int] | None = None) -> DataFrame:
+    """The event table as a stream of signals with a level, in many batches."""
+    path, files = arrived or arrivals(spark, sf_dir)
     schema = td.events(spark, sf_dir).schema
-    # A pattern, because the file source takes no single file.
-    raw = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
     level = score_to_level(F.col("threat_score"))
     return (
-        raw.select(*td.signal_columns(), "user_id")
+        td.with_address(raw)
         .withColumn("ts", F.col("ts").cast("timestamp"))
         .withColumn("threat_level", level)
     )
@@ -436,10 +606,11 @@ def _paths(spark: SparkSession, name: str) -> tuple[str, str]:
 
 def _deduplicated(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Ingest every event twice into a new store; its path and schema."""
-    arrived = event_stream(spark, sf_dir)
+    files = arrivals(spark, sf_dir)
+    arrived = event_stream(spark, sf_dir, files)
     path, checkpoint = _paths(spark, "ingest")
     ingest.start_ingest(
-        arrived.unionByName(event_stream(spark, sf_dir)), path, checkpoint, available_now=True
+        arrived.unionByName(event_stream(spark, sf_dir, files)), path, checkpoint, available_now=True
     ).awaitTermination()
     return path, arrived.schema
 
@@ -474,9 +645,8 @@ def _scored_store(spark: SparkSession, sf_dir: str):
     model = model_for(spark, sf_dir)
     known = store.stage(reputations(spark, sf_dir), "reputation")
     path, checkpoint = _paths(spark, "scored")
-    located = event_stream(spark, sf_dir).withColumn("ip", td.ip_of(F.col("user_id")))
     live.start_scoring(
-        located, known, model, path, checkpoint, td.customers(spark, sf_dir), available_now=True
+        event_stream(spark, sf_dir), known, model, path, checkpoint, td.customers(spark, sf_dir), available_now=True
     ).awaitTermination()
     sample = live.score_signals(
         td.signals(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), known, model
@@ -484,6 +654,23 @@ def _scored_store(spark: SparkSession, sf_dir: str):
     return store.read_batches(spark, path, sample.schema).drop("batch_id")
 
 
+@query
+def stream_push(spark, sf_dir):
+    """Every event as a line of text, read back."""
+    path, checkpoint = _paths(spark, "push")
+    pushed = event_stream(spark, sf_dir).select(F.col("id").cast("string"), "ts", "threat_score", "threat_level")
+    ingest.start_push(pushed, path, checkpoint, available_now=True).awaitTermination()
+    back = topic.decode_signals(spark.read.schema("value string").text(path))
+    return back.select(
+        F.col("id").cast("bigint"), F.col("ts").cast("timestamp_ntz").alias("ts"), "threat_score", "threat_level"
+    )
+
+
+@query
+def stream_score_checks(spark, sf_dir):
+    return _record_checks(_scored_store(spark, sf_dir))
+
+
 @query
 def stream_scored(spark, sf_dir):
     scored = _scored_store(spark, sf_dir)

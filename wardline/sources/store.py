@@ -10,17 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_local: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's checkpoint folder.
 
-    Only a local session may do without `spark.checkpoint.dir`.
+    Only a local session may do without `spark.checkpoint.dir`: it is all on one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="wardline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="wardline-"))
+        base = _local[0]
     return f"{base.rstrip('/')}/wardline/{name}-{uuid.uuid4().hex}"
 
 
@@ -50,10 +55,88 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(columns.add("batch_id", T.LongType())).parquet(path)
 
 
-def latest_counts(batches: DataFrame, keys: list[str]) -> DataFrame:
-    """Running counts written in update mode: the row of the newest batch per key."""
-    values = [c for c in batches.columns if c not in (*keys, "batch_id")]
-    newest = F.max(F.struct("batch_id", *values)).alias("_newest")
-    return batches.groupBy(*keys).agg(newest).select(
-        *keys, *[F.col(f"_newest.{v}").alias(v) for v in values]
-    )
+# Batches that are added up before the sums are written anew.
+FOLD = 16
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of a folder, which may be any that Spark writes to, and the folder on it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def numbered(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the finished tables `kind-<number>` in a folder, ascending."""
+    files, place = _folder(spark, path)
+    if not files.exists(place):
+        return []
+    found = []
+    for status in files.listStatus(place):
+        name, _, number = status.getPath().getName().partition("-")
+        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if name == kind and number.isdigit() and files.exists(done):
+            found.append(int(number))
+    return sorted(found)
+
+
+def forget(spark: SparkSession, path: str, kind: str, before: int) -> None:
+    """Removes the tables `kind-<number>` with smaller numbers."""
+    for number in numbered(spark, path, kind):
+        if number < before:
+            files, place = _folder(spark, f"{path}/{kind}-{number}")
+            files.delete(place, True)
+
+
+def sum_writer(path: str, keys: list[str], fold: int = FOLD):
+    """`foreachBatch` function that adds a batch's counts to the sums in `path`.
+
+    A batch is the table `part-<id>`, which a replayed batch replaces. After `fold` of them the sums
+    so far are written as `upto-<id>`; what the sums before that one hold is removed then, so that
+    readers of the last sums are not disturbed and the number of tables stays bounded.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        sums = numbered(spark, path, "upto")
+        last = sums[-1] if sums else -1
+        if batch_id <= last:
+            return
+        batch.write.mode("overwrite").parquet(f"{path}/part-{batch_id}")
+        if batch_id - last >= fold:
+            total = read_sums(spark, path, batch.schema, keys)
+            total.write.mode("overwrite").parquet(f"{path}/upto-{batch_id}")
+            forget(spark, path, "upto", last)
+            forget(spark, path, "part", last + 1)
+
+    return write
+
+
+def read_sums(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
+    """Sums per key over the newest `upto` table and the parts after it."""
+    empty = spark.createDataFrame([], schema)
+    sums = numbered(spark, path, "upto")[-1:]
+    parts = [n for n in numbered(spark, path, "part") if not sums or n > sums[0]]
+    paths = [f"{path}/upto-{n}" for n in sums] + [f"{path}/part-{n}" for n in parts]
+    rows = spark.read.schema(empty.schema).parquet(*paths) if paths else empty
+    values = [c for c in empty.columns if c not in keys]
+    return rows.groupBy(*keys).agg(*[F.sum(v).cast(empty.schema[v].dataType).alias(v) for v in values])
+
+
+def newest_writer(path: str, newest, keep: int = 2):
+    """`foreachBatch` helper: the rolling table `newest(old rows and batch)` as `newest-<id>`.
+
+    Returns the table written. A replayed batch starts from the table before it, as the first time.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        before = [n for n in numbered(spark, path, "newest") if n < batch_id][-1:]
+        rows = batch
+        if before:
+            rows = spark.read.schema(batch.schema).parquet(f"{path}/newest-{before[0]}").unionByName(batch)
+        target = f"{path}/newest-{batch_id}"
+        newest(rows).write.mode("overwrite").parquet(target)
+        forget(spark, path, "newest", batch_id - keep + 1)
+        return spark.read.schema(batch.schema).parquet(target)
+
+    return write

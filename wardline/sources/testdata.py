@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.literals import literal_map
 from wardline.operators.joins import lookup_join
-from wardline.operators.reputation import summary_columns
+from wardline.operators.reputation import report_rollup
 
 # Fixed values of the derived tables: country per nation key, provider per ten customers.
 NATION_COUNTRIES = (
@@ -21,7 +21,6 @@ NATION_COUNTRIES = (
 PROVIDERS = ("Cloudflare Inc", "AS-CHOOPA", "OVH SAS", "Amazon AWS", "DigitalOcean LLC")
 USAGE_TYPES = ("VPN", "Hosting", "Data Center", "Fixed Line ISP", None, "Commercial")
 CATEGORY_CODES = 23
-BREACH_NAMES = 97
 
 
 _tables: dict[tuple[str, str], DataFrame] = {}
@@ -87,15 +86,14 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(*signal_columns())
 
 
-def with_owner(raw: DataFrame, owner: DataFrame) -> DataFrame:
-    """Raw events with the address columns of their user."""
-    keyed = raw.select(*signal_columns(), F.col("user_id").alias("c_custkey"))
-    address = owner.select("c_custkey", "ip", "email", "country", "is_tor")
-    return lookup_join(keyed, address, "c_custkey", "left").drop("c_custkey")
+def with_address(raw: DataFrame) -> DataFrame:
+    """Raw events, of a table or a stream, with the addresses that follow from their user."""
+    user = F.col("user_id")
+    return raw.select(*signal_columns(), ip_of(user).alias("ip"), email_of(user).alias("email"))
 
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_owner(events(spark, sf_dir), owners(spark, sf_dir))
+    return with_address(events(spark, sf_dir))
 
 
 def signal_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +102,7 @@ def signal_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Abuse reports: up to two category rows per order.
+    """Abuse reports: every order line is one, an order its report.
 
     Orders get their ip before the report lines join them. The other way round, the lines
     of one huge order would all meet again in the join on its customer.
@@ -117,26 +115,30 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     known = owners(spark, sf_dir).select("c_custkey", "ip")
     owned = lookup_join(orders, known, "c_custkey", "inner").drop("c_custkey")
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .filter("l_linenumber <= 2 and l_returnflag = 'R'")
-        .select(
-            F.col("l_orderkey").alias("report_id"),
-            F.col("l_suppkey").alias("reporter_id"),
-            (F.col("l_partkey") % CATEGORY_CODES + 1).cast("int").alias("category"),
-        )
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("report_id"),
+        F.col("l_suppkey").alias("reporter_id"),
+        (F.col("l_partkey") % CATEGORY_CODES + 1).cast("int").alias("category"),
     )
     return lookup_join(lines, owned, "report_id", "inner", bounded_by=scan)
 
 
+def newest_report(spark: SparkSession, sf_dir: str):
+    """Time of the newest report: of the newest order that has a line."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return orders.join(lines, "o_orderkey", "left_semi").agg(F.max("o_orderdate")).scalar()
+
+
 def reputation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON answer of the reputation service per ip.
 
     Codes run from 1 to CATEGORY_CODES, so one number holds the set of an ip's codes: the
     aggregate keeps fixed-width state, and no list is collected.
     """
-    codes = F.expr("bit_or(shiftleft(1L, category))").alias("codes")
-    summary = reports(spark, sf_dir).groupBy("ip").agg(*summary_columns(), codes)
+    made = reports(spark, sf_dir)
+    codes = made.groupBy("ip").agg(F.expr("bit_or(shiftleft(1L, category))").alias("codes"))
+    summary = report_rollup(made).join(codes, "ip")
     known = owners(spark, sf_dir).select(
         "ip", "country", "isp", "rep_score", "is_tor", "usage_type"
     )
@@ -161,16 +163,12 @@ def reputation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Breach hits, one per urgent order, by customer."""
-    name = F.concat(F.lit("Breach-"), (F.col("o_orderkey") % BREACH_NAMES).cast("string"))
-    return (
-        table(spark, sf_dir, "orders")
-        .filter("o_orderpriority = '1-URGENT'")
-        .select(
-            F.col("o_custkey").alias("c_custkey"),
-            name.alias("breach_name"),
-            F.col("o_orderstatus").alias("leaked"),
-        )
+    """Breach hits, one per order, by customer. A breach is a calendar month."""
+    name = F.concat(F.lit("Breach-"), F.date_format("o_orderdate", "yyyy-MM"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"),
+        name.alias("breach_name"),
+        F.col("o_orderstatus").alias("leaked"),
     )
 
 
@@ -187,7 +185,7 @@ def _per_email(spark: SparkSession, sf_dir: str, *summary: Column) -> DataFrame:
 def breach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON answer of the breach service per e-mail, in five shapes.
 
-    A breach is listed once per e-mail, so a list has at most BREACH_NAMES entries.
+    A breach is listed once per e-mail, so a list has at most an entry per month.
     """
     listed = _per_email(
         spark, sf_dir, F.sort_array(F.collect_set("breach_name")).alias("names")

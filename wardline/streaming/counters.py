@@ -1,50 +1,50 @@
-"""Running counters over a deduplicated stream, kept in checkpointed state."""
+"""Running counters over a deduplicated stream, kept as sums on shared storage."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wardline.operators.stats import level_totals, per_minute
-from wardline.sources.store import batch_writer, latest_counts, read_batches
-from wardline.streaming.ingest import WATERMARK, _start
+from wardline.sources.store import FOLD, read_sums, sum_writer
+from wardline.streaming.ingest import _start
+
+MINUTES = ("minute timestamp, n bigint", ["minute"])
+LEVELS = ("threat_level string, n bigint, score_sum bigint", ["threat_level"])
+
+
+def _start_counter(
+    events: DataFrame, count: Callable, keys: list[str], path: str, checkpoint: str, available_now: bool, fold: int
+) -> StreamingQuery:
+    """Count each batch by itself and add it to the stored sums: no event is ever too late."""
+    add = sum_writer(path, keys, fold)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        add(count(batch), batch_id)
 
-def _start_counter(counts: DataFrame, path: str, checkpoint: str, available_now: bool):
-    writer = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(batch_writer(path))
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
 
 
 def start_minute_counts(
-    events: DataFrame,
-    path: str,
-    checkpoint: str,
-    ts: str = "ts",
-    watermark: str = WATERMARK,
-    available_now: bool = False,
+    events: DataFrame, path: str, checkpoint: str, ts: str = "ts", available_now: bool = False, fold: int = FOLD
 ) -> StreamingQuery:
-    """Events per aligned minute. Update mode shows open minutes too; the watermark frees
-    the state of minutes that are over."""
-    counts = per_minute(events.withWatermark(ts, watermark), ts)
-    return _start_counter(counts, path, checkpoint, available_now)
+    """Events per aligned minute. A late event is added to its own minute."""
+    return _start_counter(events, lambda b: per_minute(b, ts), MINUTES[1], path, checkpoint, available_now, fold)
 
 
 def start_level_totals(
-    events: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    events: DataFrame, path: str, checkpoint: str, available_now: bool = False, fold: int = FOLD
 ) -> StreamingQuery:
-    """Count and score sum per level; the state is one row per level."""
-    return _start_counter(level_totals(events), path, checkpoint, available_now)
+    """Count and score sum per level."""
+    return _start_counter(events, level_totals, LEVELS[1], path, checkpoint, available_now, fold)
 
 
 def read_minute_counts(spark: SparkSession, path: str) -> DataFrame:
-    batches = read_batches(spark, path, "minute timestamp, n bigint")
-    return latest_counts(batches, ["minute"])
+    return read_sums(spark, path, *MINUTES)
 
 
 def read_level_totals(spark: SparkSession, path: str) -> DataFrame:
-    batches = read_batches(spark, path, "threat_level string, n bigint, score_sum bigint")
-    return latest_counts(batches, ["threat_level"])
+    return read_sums(spark, path, *LEVELS)

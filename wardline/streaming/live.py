@@ -9,11 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 from wardline.functions import fixed_values as fv
 from wardline.operators.events import describe_signals
 from wardline.operators.recent import latest
-from wardline.operators.reputation import enrich_signals
+from wardline.operators.reputation import KEY, enrich_signals
 from wardline.operators.scoring import score_records
 from wardline.operators.training import ThreatModel
 from wardline.operators.trend import score_trend
-from wardline.sources.store import batch_writer
+from wardline.sources.store import batch_writer, newest_writer
 from wardline.streaming.ingest import _start
 
 RESULTS = (
@@ -44,13 +44,20 @@ def start_scoring(
 ) -> StreamingQuery:
     """Score a stream of signals batch by batch.
 
-    Each batch is a plain frame, so it gets the same hot-key handling as a batch job.
-    `reputation` should be a stored table: it is read again for every batch.
+    Each batch is a plain frame, so it gets the same hot-key handling as a batch job. It is held
+    while it is scored, as the search for hot keys and the scoring both read it. `reputation` should
+    be a stored table: it is read again for every batch, reduced to the batch's addresses.
     """
     write = batch_writer(path)
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        write(score_signals(batch, reputation, model, bounded_by), batch_id)
+        held = batch.persist()
+        try:
+            asked = held.select(F.col("ip").alias(KEY)).distinct()
+            known = reputation.join(asked, KEY, "left_semi")
+            write(score_signals(held, known, model, bounded_by), batch_id)
+        finally:
+            held.unpersist()
 
     writer = signals.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
@@ -62,18 +69,19 @@ def history_trend(scored: DataFrame, n: int | None = fv.TREND_ROWS, asof=None) -
 
 
 def start_trend(
-    scored: DataFrame, read_scored, path: str, checkpoint: str, available_now: bool = False
+    scored: DataFrame, history: str, path: str, checkpoint: str, n: int = fv.TREND_ROWS, available_now: bool = False
 ) -> StreamingQuery:
-    """After each batch of newly scored rows, write the trend of the stored history.
+    """After each batch of newly scored rows, write the trend of the newest `n` rows so far.
 
-    `read_scored()` gives the scored store as a batch table.
+    These are a small table in the folder `history` that every batch is merged into, so a batch
+    costs the same however long the stream has run.
     """
     write = batch_writer(path)
+    merge = newest_writer(history, lambda rows: latest(rows, n))
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        write(history_trend(read_scored()), batch_id)
+        write(history_trend(merge(batch, batch_id), None), batch_id)
 
-    writer = (
-        scored.select(F.lit(1)).writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
-    )
+    kept = scored.select("id", "ts", "ml_adjusted_score")
+    writer = kept.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
