@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import stage, unique_key_join
+from wardline.llm.common import buckets_for, stage, unique_key_join
 
 WEIGHTS = (5, 2, 1)
 # A source's words are taken at most so many times.
 REPEATS = 3
 BLOCK = 32
 SHARD = 65_536
+# Slots that one task maps to blocks.
+TASK_SLOTS = 250_000
 # Documents of a chunk; positions in a source are summed up within chunks and then over chunks.
 CHUNK = 10_000
 WORDS = r"[^ \t-\r]+"
@@ -109,12 +111,14 @@ def shard_counts(sources: DataFrame, shard: int = SHARD) -> DataFrame:
     return drawn.select("rank", "blocks", "shard", "first", "count").filter("count > 0")
 
 
-def slot_blocks(counts: DataFrame, repeats: int = REPEATS) -> DataFrame:
+def slot_blocks(counts: DataFrame, tasks: int, repeats: int = REPEATS) -> DataFrame:
     """(rank, block, times): slots mapped to blocks, a new order of the blocks each time round.
 
     The order steps through the blocks by a prime that does not divide their number, so each
-    round meets every block once. Slots beyond `repeats` rounds get no block.
+    round meets every block once. Slots beyond `repeats` rounds get no block. The few rows of
+    `counts` are dealt to `tasks` first, as each becomes a shard's slots.
     """
+    counts = counts.repartition(tasks, "rank", "shard")
     ends = F.least(F.col("first") + F.col("count"), F.col("blocks") * repeats) - 1
     slots = counts.filter(F.col("first") <= ends).select(
         "rank", "blocks", F.explode(F.sequence(F.col("first"), ends)).alias("slot")
@@ -145,19 +149,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, block: int = B
     sized = stage(document_sizes(docs).withColumn("row", row).withColumn("key", _key()), "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     targets = stage(source_targets(sizes, weights, repeats).withColumn("key", _key()), "mix-targets")
-    n = sized.count()
+    n, words = sized.agg(F.count("*"), F.sum("size")).first()
     placed = unique_key_join(sized.drop("source"), targets.drop("source"), "key", "n", n)
     placed = positions(placed, max(1, n // CHUNK))
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     wanted = F.col("target") * blocks / F.col("source_size")
     sources = targets.filter("source_size > 0").select("rank", blocks.alias("blocks"), wanted.alias("wanted"))
-    times = slot_blocks(shard_counts(sources, shard), repeats)
+    tasks = buckets_for((words or 0) / block, TASK_SLOTS, least=1)
+    times = slot_blocks(shard_counts(sources, shard), tasks, repeats)
     end = F.col("start") + F.col("size")
     low, high = F.floor(F.col("start") / block).cast("long"), F.floor((end - 1) / block).cast("long")
     whole = placed.withColumn("block", F.explode(F.when(F.col("size") > 0, F.sequence(low, high)).otherwise(F.array(F.lit(-1).cast("long")))))
     words = F.least(end, (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
     taken = F.when(F.col("block") >= 0, words * F.coalesce("times", F.lit(0))).otherwise(0)
-    joined = whole.join(times, ["rank", "block"], "left").withColumn("taken", taken)
+    # As many rows as blocks, which the size estimate before the explode does not see: not to be broadcast.
+    joined = whole.join(times.hint("merge"), ["rank", "block"], "left").withColumn("taken", taken)
     keys = ("doc_id", "rank", "row", "size", "source_size", "target")
     summed = joined.groupBy(*keys).agg(F.sum("taken").cast("long").alias("taken"))
     return summed.select("doc_id", "size", "source_size", "target", "taken")
