@@ -7,20 +7,23 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wardline.llm import collection_bwt
-from wardline.llm.common import buckets_for, documents_of, stage, text_bytes, texts
+from wardline.llm.common import buckets_for, documents_of, text_bytes, texts
 
 WINDOW = 50
 # Bytes of an anchor: every window holds WINDOW - GRAM + 1 of them.
-GRAM = 20
-# Text whose strings go to one bucket, and texts that a map task works on at a time.
-BUCKET_BYTES = 5 << 20
-BLOCK_BYTES = 8 << 20
+GRAM = 16
+# Text behind a bucket of anchors or strings, and behind a group of documents.
+BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-_PIECES = "bucket int, strings binary, lengths binary, anchors binary, owners binary, places binary, docs binary"
+_ANCHORS = "bucket int, anchors binary, groups binary"
+_SHARED = "part int, anchors binary"
+_TEXTS = "part int, ids binary, ends binary, texts binary"
+_PIECES = "bucket int, strings binary, lengths binary, places binary, docs binary"
 _SPANS = "part int, spans binary"
+_CUT = "doc_id long, starts array<int>, ends array<int>, n_bytes long, kept binary"
 _SPAN = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("end", "<i4")])
 _NONE = np.iinfo(np.int64).max
 
@@ -45,18 +48,30 @@ def text_key(text: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
-def anchors_of(eights: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """Smallest hash of the grams in the window that starts at each place."""
+def gram_hashes(eights: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the `gram` bytes (8 at least) at each place."""
     n = len(eights) - gram + 1
     h = eights[:n] * _M1
     for at in (*range(8, gram - 8, 8), gram - 8):
         h = _mixed(h) + eights[at : at + n] * _M3
-    h, width, span = _mixed(h), 1, window - gram + 1
+    return _mixed(h)
+
+
+def anchors_of(eights: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """Smallest hash of the grams in the window that starts at each place."""
+    h, width, span = gram_hashes(eights, gram), 1, window - gram + 1
     while width * 2 <= span:
         h, width = np.minimum(h[:-width], h[width:]), width * 2
     return np.minimum(h[: len(h) - span + width], h[span - width :]) if span > width else h
 
 
+def anchors_by_string(data: np.ndarray, start: np.ndarray, length: np.ndarray, gram: int) -> np.ndarray:
+    """Anchor of each string: the smallest hash of all its grams, as each is in some window."""
+    h = gram_hashes(words_at(data.tobytes()), gram)
+    cuts = np.stack([start, start + length - gram + 1], axis=1).ravel()
+    return np.minimum.reduceat(np.append(h, np.full(gram, ~np.uint64(0))), cuts)[::2]
+
+
 def pieces_of(data: bytes, where: np.ndarray, window: int, gram: int):
     """Strings that hold all windows of the texts: (start, windows, anchor, text number).
 
@@ -146,43 +161,117 @@ def _blob(values: np.ndarray) -> bytes:
     return values.nbytes.to_bytes(8, "little") + _packed(values)
 
 
-def _strings(buckets: int, window: int, gram: int, block: int):
-    """Per block of texts and bucket: its distinct strings, with the places they have in the
-    smallest document of the block; in the block's other documents they are removed at once."""
-    names = [c.split()[0] for c in _PIECES.split(", ")]
+def _part(ids: np.ndarray, parts: int) -> np.ndarray:
+    """Group of documents that an id belongs to."""
+    return (_mixed(ids.astype(np.uint64) * _M1) % np.uint64(parts)).astype(np.int64)
+
+
+def _cuts(keys: np.ndarray, many: int):
+    """(key, positions) of small whole keys, ascending."""
+    order = np.argsort(keys, kind="stable")
+    ends = np.searchsorted(keys[order], np.arange(many + 1))
+    for k in np.flatnonzero(np.diff(ends)).tolist():
+        yield k, order[ends[k] : ends[k + 1]]
+
+
+def _bucket(anchors: np.ndarray, buckets: int) -> np.ndarray:
+    return ((anchors >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _anchors(buckets: int, parts: int, window: int, gram: int, block: int):
+    """Per block of texts and bucket: the anchors, each with the groups of the documents it is in.
+
+    An anchor that several documents of a group have is written twice for the group.
+    """
 
     def run(batches):
         for ids, data, where in documents_of(batches, block):
-            raw = np.frombuffer(data, np.uint8)
-            eights, start, size, anchor, text = pieces_of(data, where, window, gram)
-            if not len(start):
-                continue
-            length = size + window - 1
+            _, _, _, anchor, text = pieces_of(data, where, window, gram)
+            # Once per document, then twice at most per group.
+            order = np.lexsort((text, anchor))
+            anchor, text = anchor[order], text[order]
+            new = np.ones(len(anchor), bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+            anchor, group = anchor[new], _part(ids, parts)[text[new]]
+            order = np.lexsort((group, anchor))
+            anchor, group = anchor[order], group[order]
+            third = np.zeros(len(anchor), bool)
+            third[2:] = (anchor[2:] == anchor[:-2]) & (group[2:] == group[:-2])
+            anchor, group = anchor[~third], group[~third].astype(np.int32)
+            for b, at in _cuts(_bucket(anchor, buckets), buckets):
+                columns = [pa.array([b], pa.int32()), *(pa.array([_blob(x[at])], pa.binary()) for x in (anchor, group))]
+                yield pa.record_batch(columns, names=["bucket", "anchors", "groups"])
+
+    return run
+
+
+def _shared_anchors(parts: int):
+    """Anchors that occur in more than one document, for each group that has them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        anchor = np.concatenate([_unpacked(v, np.uint64) for v in table.column("anchors").to_pylist()])
+        group = np.concatenate([_unpacked(v, np.int32) for v in table.column("groups").to_pylist()])
+        order = np.argsort(anchor, kind="stable")
+        anchor, group = anchor[order], group[order]
+        same = anchor[1:] == anchor[:-1]
+        several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        anchor, group = anchor[several], group[several]
+        found = [(p, _blob(np.unique(anchor[at]))) for p, at in _cuts(group, parts)]
+        return pa.table({"part": pa.array([p for p, _ in found], pa.int32()), "anchors": pa.array([b for _, b in found], pa.binary())})
+
+    return run
+
+
+def _grouped(parts: int, block: int):
+    """Texts of a block by group of documents, compressed."""
+
+    def run(batches):
+        for ids, data, where in documents_of(batches, block):
+            size, raw = np.diff(where), np.frombuffer(data, np.uint8)
+            for p, at in _cuts(_part(ids, parts), parts):
+                columns = [_blob(ids[at]), _blob(np.concatenate([[0], np.cumsum(size[at])])), _blob(_gathered(raw, where[at], size[at]))]
+                arrays = [pa.array([p], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)]
+                yield pa.record_batch(arrays, names=["part", "ids", "ends", "texts"])
+
+    return run
+
+
+def _texts_of(table: pa.Table):
+    """(ids, bytes, offsets) of a group's documents."""
+    columns = [[_unpacked(v, k) for v in table.column(n).to_pylist()] for n, k in (("ids", np.int64), ("ends", np.int64), ("texts", np.uint8))]
+    sizes = np.concatenate([np.diff(e) for e in columns[1]])
+    return np.concatenate(columns[0]), np.concatenate(columns[2]).tobytes(), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _strings(buckets: int, window: int, gram: int):
+    """Per group of documents and bucket: the distinct strings with shared anchors, with the places
+    they have in the group's smallest document; in its other documents they are removed at once."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        names, rows = [c.split()[0] for c in _PIECES.split(", ")], []
+        ids, data, where = _texts_of(left)
+        eights, start, size, anchor, text = pieces_of(data, where, window, gram)
+        shared = np.concatenate([np.empty(0, np.uint64), *(_unpacked(v, np.uint64) for v in right.column("anchors").to_pylist())])
+        shared.sort()
+        if len(shared) and len(start):
+            keep = shared[np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)] == anchor
+            start, size, anchor, text = start[keep], size[keep], anchor[keep], text[keep]
+            length, raw = size + window - 1, np.frombuffer(data, np.uint8)
             doc = ids[text]
             head = first_of_equal(eights, start, length, doc)
             again = doc != doc[head]
             keys = np.array([text_key(data[a:b]) for a, b in zip(where.tolist(), where[1:].tolist())], np.int64)
             place = start - where[text]
-            bucket = ((anchor >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
-            # Occurrences beside the first document's: an owner of -1 marks them as done.
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                at = order[cuts[b] : cuts[b + 1]]
+            for b, at in _cuts(_bucket(anchor, buckets), buckets):
                 heads = np.unique(head[at])
                 number = np.searchsorted(heads, head[at])
                 used, local = np.unique(text[at], return_inverse=True)
-                places = np.stack([number, local, place[at], again[at], length[at]]).astype(np.int32)
-                columns = [
-                    _blob(_gathered(raw, start[heads], length[heads])),
-                    _blob(length[heads].astype(np.uint8)),
-                    _blob(anchor[heads]),
-                    _blob(doc[heads]),
-                    _blob(places),
-                    _blob(np.stack([ids[used], keys[used]])),
-                ]
-                arrays = [pa.array([b], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)]
-                yield pa.record_batch(arrays, names=names)
+                places = np.stack([number, local, place[at], again[at]]).astype(np.int32)
+                strings = _gathered(raw, start[heads], length[heads])
+                columns = (strings, length[heads].astype(np.uint8), places, np.stack([ids[used], keys[used]]))
+                rows.append((b, *map(_blob, columns)))
+        kinds = [pa.int32(), *[pa.binary()] * 4]
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     return run
 
@@ -206,35 +295,33 @@ def window_owners(data: np.ndarray, length: np.ndarray, owner: np.ndarray, windo
     return out
 
 
-def _joined(table: pa.Table, names, kinds):
-    return [[_unpacked(v, k) for v in table.column(n).to_pylist()] for n, k in zip(names, kinds)]
-
-
-def _shared(window: int, parts: int):
-    """Spans to remove, from all strings of a bucket, packed by part of the documents."""
+def _shared(window: int, gram: int, parts: int):
+    """Spans to remove, from all strings of a bucket, packed by group of documents."""
 
     def run(table: pa.Table) -> pa.Table:
-        strings, lengths, anchors, owners, places, docs = _joined(
-            table, [c.split()[0] for c in _PIECES.split(", ")[1:]], [np.uint8, np.uint8, np.uint64, np.int64, np.int32, np.int64]
-        )
-        many = [len(x) for x in lengths]
-        data, length = np.concatenate(strings), np.concatenate(lengths).astype(np.int64)
-        anchor, owner = np.concatenate(anchors), np.concatenate(owners)
-        places = [p.reshape(5, -1) for p in places]
-        docs = [d.reshape(2, -1) for d in docs]
-        number = np.concatenate([p[0] + s for p, s in zip(places, np.cumsum([0, *many]))]).astype(np.int64)
+        columns = {n: table.column(n).to_pylist() for n in ("strings", "lengths", "places", "docs")}
+        data = np.concatenate([_unpacked(v, np.uint8) for v in columns["strings"]])
+        lengths = [_unpacked(v, np.uint8) for v in columns["lengths"]]
+        places = [_unpacked(v, np.int32).reshape(4, -1) for v in columns["places"]]
+        docs = [_unpacked(v, np.int64).reshape(2, -1) for v in columns["docs"]]
+        length = np.concatenate(lengths).astype(np.int64)
+        number = np.concatenate([p[0] + s for p, s in zip(places, np.cumsum([0, *map(len, lengths)]))]).astype(np.int64)
         local = np.concatenate([p[1] + s for p, s in zip(places, np.cumsum([0, *(d.shape[1] for d in docs)]))])
-        _, _, place, again, full = np.concatenate(places, axis=1)
+        _, _, place, again = np.concatenate(places, axis=1)
+        again = again > 0
         doc, key = np.concatenate(docs, axis=1)[:, local]
+        owner = np.empty(len(length), np.int64)
+        owner[number[~again]] = doc[~again]
         start = np.cumsum(length) - length
+        anchor = anchors_by_string(data, start, length, gram)
         least = _owners_by_string(data, start, length, anchor, owner, window)
-        # Occurrences in documents that their block already has an earlier copy for go as a whole.
-        spans = [(doc[again > 0], key[again > 0], place[again > 0], (place + full)[again > 0])]
+        # Occurrences in documents whose group already has an earlier copy go as a whole.
+        spans = [(doc[again], key[again], place[again], place[again] + length[number[again]])]
         if least is not None:
             rows, flags = least
             row, first, last = _runs(flags)
             by_string = np.argsort(number, kind="stable")
-            by_string = by_string[again[by_string] == 0]
+            by_string = by_string[~again[by_string]]
             low = np.searchsorted(number[by_string], rows[row], "left")
             high = np.searchsorted(number[by_string], rows[row], "right")
             n = high - low
@@ -243,12 +330,8 @@ def _shared(window: int, parts: int):
         found = np.empty(sum(len(s[0]) for s in spans), _SPAN)
         for name, values in zip(_SPAN.names, zip(*spans)):
             found[name] = np.concatenate(values)
-        part = (_mixed(found["doc"].astype(np.uint64) * _M1) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(parts + 1))
-        used = np.flatnonzero(np.diff(cuts)).tolist()
-        blobs = [_blob(found[order[cuts[p] : cuts[p + 1]]]) for p in used]
-        return pa.table({"part": pa.array(used, pa.int32()), "spans": pa.array(blobs, pa.binary())})
+        cut = [(p, _blob(found[at])) for p, at in _cuts(_part(found["doc"], parts), parts)]
+        return pa.table({"part": pa.array([p for p, _ in cut], pa.int32()), "spans": pa.array([b for _, b in cut], pa.binary())})
 
     return run
 
@@ -276,15 +359,13 @@ def _owners_by_string(data, start, length, anchor, owner, window):
     return shared[some], flags[some]
 
 
-def _merged(table: pa.Table) -> pa.Table:
-    """Per document its spans, overlapping and touching ones merged."""
-    spans = np.concatenate([_unpacked(v, _SPAN) for v in table.column("spans").to_pylist()])
+def _merged(spans: np.ndarray):
+    """(doc, key) and their spans with overlapping and touching ones merged: rows, ends, spans."""
     spans = spans[np.lexsort((spans["start"], spans["key"], spans["doc"]))]
     new = np.ones(len(spans), bool)
     new[1:] = (spans["doc"][1:] != spans["doc"][:-1]) | (spans["key"][1:] != spans["key"][:-1])
-    row = np.cumsum(new) - 1
     # Ends grow along a document's spans; an offset per document keeps them apart.
-    shift = row.astype(np.int64) << 32
+    shift = (np.cumsum(new) - 1) << 32
     reach = np.maximum.accumulate(spans["end"] + shift)
     opens = np.ones(len(spans), bool)
     opens[1:] = spans["start"][1:] + shift[1:] > reach[:-1]
@@ -292,66 +373,64 @@ def _merged(table: pa.Table) -> pa.Table:
     last = np.append(first[1:], len(spans)) - 1
     start, end = spans["start"][first], (reach[last] - shift[last]).astype(np.int32)
     head = np.flatnonzero(new[first])
-    ends = pa.array(np.append(head, len(first)).astype(np.int32))
-    return pa.table(
-        {
-            "doc_id": pa.array(spans["doc"][first[head]]),
-            "key": pa.array(spans["key"][first[head]]),
-            "starts": pa.ListArray.from_arrays(ends, pa.array(start)),
-            "ends": pa.ListArray.from_arrays(ends, pa.array(end)),
-        }
-    )
-
-
-def _keys(batches):
-    for ids, data, where in documents_of(batches):
-        keys = [text_key(data[a:b]) for a, b in zip(where.tolist(), where[1:].tolist())]
-        kept = [data[a:b].decode() for a, b in zip(where.tolist(), where[1:].tolist())]
-        yield pa.record_batch([pa.array(ids), pa.array(keys, pa.int64()), pa.array(kept)], names=["doc_id", "key", "text"])
-
-
-def _cut(batches):
-    for batch in batches:
-        out = []
-        texts_, starts, ends = (batch.column(i).to_pylist() for i in (1, 2, 3))
-        for text, start, end in zip(texts_, starts, ends):
-            data, kept, at = text.encode(), [], 0
-            for a, b in zip(start or (), end or ()):
-                kept.append(data[at:a])
-                at = b
-            out.append(b"".join([*kept, data[at:]]))
-        arrays = [batch.column(0), batch.column(2), batch.column(3), pa.array([len(t.encode()) for t in texts_], pa.int64()), pa.array(out, pa.binary())]
-        yield pa.record_batch(arrays, names=["doc_id", "starts", "ends", "n_bytes", "kept"])
-
-
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, key, starts, ends): bytes covered by a `window` that a smaller doc_id has too.
-
-    Texts are cut into overlapping strings by anchors (`pieces_of`), so that all windows that are
-    equal meet in one bucket, whatever documents they are in. A bucket leaves out strings whose
-    anchor only one document has, and builds the Burrows-Wheeler transform of the rest column by
-    column, with common prefixes, in external files (`collection_bwt`): equal windows are runs of
-    it. Strings that a block of texts has many times are sent once; so a passage that is in a
-    third of all documents reaches its bucket once per block.
-    """
-    docs = texts(docs)
-    buckets = buckets_for(text_bytes(docs), BUCKET_BYTES)
-    pieces = docs.mapInArrow(_strings(buckets, window, gram, block), _PIECES)
-    spans = pieces.groupBy("bucket").applyInArrow(_shared(window, buckets), _SPANS)
-    return spans.groupBy("part").applyInArrow(
-        _merged, "doc_id long, key long, starts array<int>, ends array<int>"
-    )
+    tail = np.append(head[1:], len(first))
+    keys = zip(spans["doc"][first[head]].tolist(), spans["key"][first[head]].tolist())
+    return {k: (start[a:b], end[a:b]) for k, a, b in zip(keys, head.tolist(), tail.tolist())}
+
+
+def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A group's documents without their spans."""
+    ids, data, where = _texts_of(left)
+    spans = [_unpacked(v, _SPAN) for v in right.column("spans").to_pylist()]
+    merged = _merged(np.concatenate(spans)) if spans else {}
+    none, starts, ends, kept = np.empty(0, np.int32), [], [], []
+    for doc_id, a, b in zip(ids.tolist(), where.tolist(), where[1:].tolist()):
+        text, parts, at = data[a:b], [], 0
+        start, end = merged.get((doc_id, text_key(text)), (none, none)) if merged else (none, none)
+        for s, e in zip(start.tolist(), end.tolist()):
+            parts.append(text[at:s])
+            at = e
+        starts.append(start)
+        ends.append(end)
+        kept.append(b"".join([*parts, text[at:]]))
+    offsets = pa.array(np.cumsum([0, *map(len, starts)]).astype(np.int32))
+    columns = [
+        pa.array(ids),
+        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(starts).astype(np.int32))),
+        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ends).astype(np.int32))),
+        pa.array(np.diff(where)),
+        pa.array(kept, pa.binary()),
+    ]
+    return pa.table(columns, names=[c.split()[0] for c in _CUT.split(", ")])
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block: int = BLOCK_BYTES, bucket: int = BUCKET_BYTES) -> DataFrame:
+    """doc_id, starts, ends (bytes removed), n_bytes, kept (the other bytes), a row per document.
 
+    Removed are the bytes covered by a string of `window` bytes that a document with a smaller
+    doc_id has too. Texts are cut into overlapping strings by anchors (`pieces_of`), so that equal
+    windows meet in one bucket, whatever documents they are in:
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, starts, ends (bytes removed), n_bytes, kept (the other bytes), a row per document.
+    1. Anchors are gathered by bucket; those of more than one document go back to the groups of
+       documents that have them.
+    2. A group sends the strings with such anchors, each once with the places it has in the
+       group's smallest document. So a passage that is in a third of all documents reaches its
+       bucket once per group.
+    3. A bucket builds the Burrows-Wheeler transform of its strings column by column, with common
+       prefixes, in external files (`collection_bwt`): equal windows are runs of entries. Their
+       smallest document keeps them, spans in others go back to the groups and are merged.
 
     Null texts count as empty, texts shorter than `window` stay. Rows with the same doc_id keep
     their own texts and do not remove each other's; a null doc_id counts as the smallest long. An
     empty table gives an empty result.
     """
-    whole = texts(docs).mapInArrow(_keys, "doc_id long, key long, text string")
-    joined = whole.join(repeated_spans(docs, window, gram, block), ["doc_id", "key"], "left")
-    return joined.select("doc_id", "text", "starts", "ends").mapInArrow(
-        _cut, "doc_id long, starts array<int>, ends array<int>, n_bytes long, kept binary"
-    )
+    docs = texts(docs)
+    size = text_bytes(docs)
+    buckets, parts = buckets_for(size, bucket), buckets_for(size, block)
+    anchors = docs.mapInArrow(_anchors(buckets, parts, window, gram, block), _ANCHORS)
+    shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors(parts), _SHARED)
+    grouped = docs.mapInArrow(_grouped(parts, block), _TEXTS)
+    strings = grouped.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_strings(buckets, window, gram), _PIECES)
+    spans = strings.groupBy("bucket").applyInArrow(_shared(window, gram, parts), _SPANS)
+    again = docs.mapInArrow(_grouped(parts, block), _TEXTS)
+    return again.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(_cut, _CUT)
