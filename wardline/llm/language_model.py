@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import buckets_for, documents_of, stage, text_bytes, texts
 from wardline.llm.jaccard_join import _by_bucket, word_hashes
-from wardline.llm.suffix_dedup import _blob, _mixed, _unpacked, text_key
+from wardline.llm.suffix_dedup import _TEXTS, _blob, _grouped, _mixed, _texts_of, _unpacked
 
 FOLDS, HELD_FOLD = 7, 2
 # Words of the model's vocabulary, with the end and the unknown word: CLASSES * CLASSES entries.
@@ -26,9 +26,9 @@ RATE, CLIP = 0.05, 5.0
 ROUNDS, SHARES = 2, 16
 # Words with at least one in FREQUENT of all places are looked up in a table sent to the tasks.
 FREQUENT = 65_536
-# Text behind a bucket of words, and texts that a task scores in step.
+# Text behind a bucket of words, texts that are split into words at a time, and a group of documents.
 BUCKET_BYTES = 48 << 20
-BLOCK_BYTES, SCORED_BYTES = 4 << 20, 24 << 20
+BLOCK_BYTES, SCORED_BYTES = 4 << 20, 16 << 20
 # Models of tasks are averaged in so many groups before the driver averages the rest.
 GROUPS = 16
 END, UNKNOWN = 0, 1
@@ -437,50 +437,6 @@ def text_scores(model: Model, numbers: list[np.ndarray]) -> np.ndarray:
 # Scoring
 
 
-def _scored(model, vocabulary, counts, buckets: int):
-    """Per text its model score and what the frequent words give; per bucket the rare words."""
-    names = ["bucket", "kind", "ids", "a", "b", "c"]
-
-    def row(bucket, kind, ids, a, b, c):
-        arrays = [pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([_blob(x)], pa.binary()) for x in (ids, a, b, c))]
-        return pa.record_batch(arrays, names=names)
-
-    def run(batches):
-        words, known = vocabulary.value, counts.value
-        for ids, data, where in documents_of(batches, SCORED_BYTES):
-            keys = np.array([text_key(data[a:b]) for a, b in zip(where.tolist(), where[1:].tolist())], np.int64)
-            numbers, sums = [], np.zeros((3, len(ids)))
-            rare_word, rare_text = [], []
-            for at in _slices(where):
-                part = data[where[at.start] : where[at.stop]]
-                tokens, ends = tokens_of(part, where[at.start : at.stop + 1] - where[at.start])
-                number, text = words.lookup(tokens), np.repeat(np.arange(at.start, at.stop), np.diff(ends))
-                numbers += [number[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
-                place = np.minimum(np.searchsorted(known.words, tokens), max(len(known.words) - 1, 0))
-                hit = known.words[place] == tokens if len(known.words) else np.zeros(len(tokens), bool)
-                value = np.log10(np.where(hit, known.counts[place] if len(known.words) else 0, 0) + 1.0)
-                sums[0] += np.bincount(text, value, len(ids))
-                sums[1] += np.bincount(text, hit, len(ids))
-                away = outside(number)
-                mass = np.log10(words.outside)[kinds_of(tokens)]
-                sums[2] += np.bincount(text, (value - mass) * away, len(ids))
-                rare_word.append(tokens[~hit])
-                rare_text.append(text[~hit])
-            score = text_scores(model.value, numbers) + sums[2]
-            size = np.array([len(n) for n in numbers], np.int64)
-            spread = int(ids[0] % buckets)
-            yield row(spread, 0, np.stack([ids, keys]), np.stack([size, sums[1].astype(np.int64)]), np.stack([sums[0], score]), np.empty(0))
-            word, text = np.concatenate(rare_word), np.concatenate(rare_text)
-            for b, at in _by_bucket(word, buckets):
-                unique, place = np.unique(word[at], return_inverse=True)
-                used, local = np.unique(text[at], return_inverse=True)
-                pair, many = np.unique(local.astype(np.int64) * len(unique) + place, return_counts=True)
-                pairs = np.stack([pair // len(unique), pair % len(unique), many]).astype(np.int32)
-                yield row(b, 1, np.stack([ids[used], keys[used]]), unique, pairs, np.empty(0))
-
-    return run
-
-
 def _slices(where: np.ndarray):
     start = 0
     while start < len(where) - 1:
@@ -490,36 +446,83 @@ def _slices(where: np.ndarray):
         start = stop
 
 
-_PARTS = "doc_id long, key long, rows long, n_tokens long, known long, base double, score double"
+def _tokens(data: bytes, where: np.ndarray) -> list[np.ndarray]:
+    out = []
+    for at in _slices(where):
+        tokens, ends = tokens_of(data[where[at.start] : where[at.stop]], where[at.start : at.stop + 1] - where[at.start])
+        out += [tokens[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+    return out
+
+
+def _rare(tokens: np.ndarray, known: Counts) -> np.ndarray:
+    """Distinct words that are not among the frequent ones, ascending."""
+    words = np.unique(tokens)
+    if not len(known.words):
+        return words
+    at = np.minimum(np.searchsorted(known.words, words), len(known.words) - 1)
+    return words[known.words[at] != words]
+
 
+def _asked(counts, buckets: int):
+    """The rare words of a group of documents, each once, by bucket."""
 
-def _looked_up(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Sums per text over a bucket's rare words, and the texts' own rows."""
+    def run(table: pa.Table) -> pa.Table:
+        _, data, where = _texts_of(table)
+        words = _rare(np.concatenate(_tokens(data, where)), counts.value)
+        dealt = [(b, _blob(words[at])) for b, at in _by_bucket(words, buckets)]
+        part = table.column("part")[0].as_py()
+        columns = [pa.array([b for b, _ in dealt], pa.int32()), pa.array([part] * len(dealt), pa.int32())]
+        return pa.table([*columns, pa.array([w for _, w in dealt], pa.binary())], names=["bucket", "part", "words"])
+
+    return run
+
+
+def _answered(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Counts of the words that each group asked a bucket for, in the order asked."""
     words, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     if right.num_rows:
         words = _unpacked(right.column("words")[0].as_py(), np.uint64)
         counts = _unpacked(right.column("counts")[0].as_py(), np.int64)
-    parts = []
-    for kind, ids, a, b in zip(*(left.column(n).to_pylist() for n in ("kind", "ids", "a", "b"))):
-        ids = _unpacked(ids, np.int64).reshape(2, -1)
-        zero, one = np.zeros(ids.shape[1], np.int64), np.ones(ids.shape[1], np.int64)
-        if kind == 0:
-            (size, known), (base, score) = _unpacked(a, np.int64).reshape(2, -1), _unpacked(b, np.float64).reshape(2, -1)
-            parts.append((ids[0], ids[1], one, size, known, base, score))
-            continue
-        asked, (text, word, many) = _unpacked(a, np.uint64), _unpacked(b, np.int32).reshape(3, -1)
+    answers = []
+    for value in left.column("words").to_pylist():
+        asked = _unpacked(value, np.uint64)
         count = np.zeros(len(asked), np.int64)
         if len(words):
             at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
             count = np.where(words[at] == asked, counts[at], 0)
-        value = np.bincount(text, many * np.log10(count[word] + 1.0), ids.shape[1])
-        known = np.bincount(text, many * (count[word] > 0), ids.shape[1]).astype(np.int64)
-        # Rare words are outside the vocabulary: they count for the model as for the base.
-        parts.append((ids[0], ids[1], zero, zero, known, value, value))
-    names = [c.split()[0] for c in _PARTS.split(", ")]
-    if not parts:
-        return pa.schema(zip(names, [pa.int64()] * 5 + [pa.float64()] * 2)).empty_table()
-    return pa.table([pa.array(np.concatenate(x)) for x in zip(*parts)], names=names)
+        answers.append(_blob(count))
+    return pa.table([left.column("part"), left.column("bucket"), pa.array(answers, pa.binary())], names=["part", "bucket", "counts"])
+
+
+_SCORES = "doc_id long, n_tokens long, n_known long, base double, score double"
+
+
+def _scored(model, vocabulary, counts, buckets: int):
+    """Base sums and model scores of a group's documents."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        words, known = vocabulary.value, counts.value
+        ids, data, where = _texts_of(left)
+        texts_ = _tokens(data, where)
+        size = np.array([len(t) for t in texts_], np.int64)
+        tokens = np.concatenate(texts_)
+        rare = _rare(tokens, known)
+        given = dict(zip(right.column("bucket").to_pylist(), right.column("counts").to_pylist()))
+        found = np.zeros(len(rare), np.int64)
+        for b, at in _by_bucket(rare, buckets):
+            found[at] = _unpacked(given[b], np.int64)
+        every, count = np.concatenate([known.words, rare]), np.concatenate([known.counts, found])
+        order = np.argsort(every)
+        count = count[order][np.searchsorted(every[order], tokens)]
+        number, text = words.lookup(tokens), np.repeat(np.arange(len(ids)), size)
+        value = np.log10(count + 1.0)
+        mass = np.log10(words.outside)[kinds_of(tokens)]
+        score = text_scores(model.value, np.split(number, np.cumsum(size)[:-1]))
+        score += np.bincount(text, (value - mass) * outside(number), len(ids))
+        columns = [ids, size, np.bincount(text, count > 0, len(ids)).astype(np.int64), np.bincount(text, value, len(ids)), score]
+        return pa.table([pa.array(c) for c in columns], names=[c.split()[0] for c in _SCORES.split(", ")])
+
+    return run
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -529,32 +532,26 @@ def score_documents(docs: DataFrame) -> DataFrame:
     adds up log10((c + 1) / (N + V + 1)). The model reads each whole text with its state carried
     across windows: it gives the probability of each vocabulary word, of the end and of an unknown
     word by its kind; an unknown word's part is its count + 1 among its kind's words outside the
-    vocabulary. Counts of
-    frequent words are sent to the tasks, rare words are looked up in their bucket's counts.
+    vocabulary. Counts of frequent words are sent to the tasks. Texts are scored by groups of
+    documents: a group asks the buckets of words for its rare words once each, not once a document.
 
-    Null and empty texts consist of the end. Copies of a row get the same scores, rows that share a
-    doc_id but not the text get their own; a null doc_id counts as the smallest long. With no
-    training document N is 0 and nothing is known. An empty table gives an empty result.
+    Null and empty texts consist of the end. Rows may repeat and share a doc_id; a null doc_id
+    counts as the smallest long. With no training document N is 0 and nothing is known. An empty
+    table gives an empty result.
     """
     docs = texts(docs)
-    buckets = buckets_for(text_bytes(docs), BUCKET_BYTES, least=4)
+    size = text_bytes(docs)
+    buckets, parts = buckets_for(size, BUCKET_BYTES, least=4), buckets_for(size, SCORED_BYTES)
     sums, counts = count_words(docs, buckets)
     vocabulary = counts.vocabulary(CLASSES * CLASSES)
     model = train(docs, vocabulary)
     context = docs.sparkSession.sparkContext
     sent = [context.broadcast(x) for x in (model, vocabulary, counts)]
-    left = docs.mapInArrow(_scored(*sent, buckets), "bucket int, kind int, ids binary, a binary, b binary, c binary")
-    parts = left.groupBy("bucket").cogroup(sums.select("bucket", "words", "counts").groupBy("bucket")).applyInArrow(_looked_up, _PARTS)
-    rows = F.sum("rows").alias("rows")
-    # Copies of a row add up to as many times its values.
-    whole = parts.groupBy("doc_id", "key").agg(
-        rows,
-        F.max("n_tokens").alias("n_tokens"),
-        (F.sum("known") / F.sum("rows")).cast("long").alias("n_known"),
-        (F.sum("base") / F.sum("rows")).alias("base"),
-        (F.sum("score") / F.sum("rows")).alias("score"),
-    )
-    whole = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).drop("_copy")
+    groups = [docs.mapInArrow(_grouped(parts, BLOCK_BYTES), _TEXTS).groupBy("part") for _ in range(2)]
+    asked = groups[0].applyInArrow(_asked(sent[2], buckets), "bucket int, part int, words binary")
+    held = sums.select("bucket", "words", "counts").groupBy("bucket")
+    answers = asked.groupBy("bucket").cogroup(held).applyInArrow(_answered, "part int, bucket int, counts binary")
+    whole = groups[1].cogroup(answers.groupBy("part")).applyInArrow(_scored(*sent, buckets), _SCORES)
     norm = math.log10(counts.total + int(counts.distincts.sum()) + 1)
     return whole.select(
         "doc_id",
