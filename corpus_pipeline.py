@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256 of every row."""
     path = public_tokenizers.path(TOKENIZER)
-    coded = bpe.decode_ids(bpe.encode_texts(docs, path), path)
+    coded = bpe.code_texts(docs, path)
     decoded = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", decoded)
 

@@ -84,4 +84,7 @@ def test_odd_rows(spark, library):
     got = bpe.encode_texts(docs, PATH).collect()
     want = sorted(library.encode(r[1] or "", add_special_tokens=False).ids for r in rows)
     assert sorted(r.ids for r in got) == want
+    coded = bpe.code_texts(docs, PATH).collect()
+    apart = bpe.decode_ids(bpe.encode_texts(docs, PATH), PATH).collect()
+    assert sorted((r.ids, r.decoded) for r in coded) == sorted((r.ids, r.decoded) for r in apart)
     assert bpe.encode_texts(fixtures.empty(spark), PATH).count() == 0

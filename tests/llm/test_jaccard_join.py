@@ -38,6 +38,13 @@ def test_links_equal_all_pairs(spark, frequent, block):
     assert got == brute.linked([r[:2] for r in rows])
 
 
+def test_long_lists_are_taken_whole(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LONGEST", 3)
+    rows = near_copies(7, 90)
+    got = result(jaccard_join.link_documents(fixtures.documents(spark, rows), frequent=2, block=16))
+    assert got == brute.linked([r[:2] for r in rows])
+
+
 def test_odd_rows(spark):
     rows = fixtures.odd_rows() + [(20, "one two three", None, None), (21, "ONE  two\nthree", None, None)]
     docs = fixtures.documents(spark, rows)

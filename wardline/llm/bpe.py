@@ -18,7 +18,7 @@ from wardline.llm.common import documents_of, longs, texts
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORDS = regex.compile(rf"\p{{L}}+|\p{{N}}|'(?:s|t|re|ve|m|ll|d)|[^{_SPACE}\p{{L}}\p{{N}}]+")
 # Words whose ids are remembered; forgotten all at once, so memory stays bounded.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 # Symbols that a stream takes in beyond the lookahead before it looks for stable tokens.
 STEP = 128
 # Windows up to this length are merged by scanning, longer ones with a heap.
@@ -286,6 +286,22 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def code_texts(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, decoded): `encode_texts` and `decode_ids` of the ids, in one pass over the rows."""
+    source = _file(docs, path)
+
+    def run(batches):
+        words = _words(source.value)
+        for keys, data, where in documents_of(batches, 4 << 20):
+            ids = [encode(data[a:b].decode(), words) for a, b in zip(where.tolist(), where[1:].tolist())]
+            decoded = pa.array([_decoded(x, words.vocabulary) for x in ids], pa.string())
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+            yield pa.record_batch([pa.array(keys), lists, decoded], names=["doc_id", "ids", "decoded"])
+
+    return texts(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+
+
 def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded) of a frame of doc_id and ids. Null ids count as none."""
     source = _file(encoded, path)

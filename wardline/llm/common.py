@@ -42,15 +42,12 @@ def buckets_for(size: float, per_bucket: float, least: int = 8) -> int:
     return max(least, math.ceil(size / per_bucket))
 
 
-def buffer(column: pa.Array) -> tuple[bytes, np.ndarray]:
-    """UTF-8 bytes of an Arrow string column and the n + 1 offsets of its values."""
+def buffer(column: pa.Array) -> tuple[pa.Buffer | None, np.ndarray]:
+    """Bytes of an Arrow string or binary column, not copied, and the n + 1 offsets of its values."""
     column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     where = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    if data is None:
-        return b"", np.zeros(len(column) + 1, np.int64)
-    first, last = int(where[0]), int(where[-1])
-    return data.slice(first, last - first).to_pybytes(), where - first
+    return data, where if data is not None else np.zeros(len(column) + 1, np.int64)
 
 
 def longs(column: pa.Array) -> np.ndarray:
@@ -61,7 +58,8 @@ def longs(column: pa.Array) -> np.ndarray:
 def documents_of(batches, limit: int = 16 << 20):
     """(ids, bytes, offsets) of the rows of Arrow batches, at most about `limit` bytes at a time.
 
-    A single longer text comes alone.
+    A single longer text comes alone. Only the rows given out are copied, and memory that is free
+    again goes back to the system, as workers live on between stages.
     """
     for batch in batches:
         ids = longs(batch.column(0))
@@ -70,8 +68,12 @@ def documents_of(batches, limit: int = 16 << 20):
         while start < len(ids):
             stop = int(np.searchsorted(where, where[start] + limit, "right")) - 1
             stop = min(max(stop, start + 1), len(ids))
-            yield ids[start:stop], data[where[start] : where[stop]], where[start : stop + 1] - where[start]
+            first, last = int(where[start]), int(where[stop])
+            block = data.slice(first, last - first).to_pybytes() if data is not None else b""
+            yield ids[start:stop], block, where[start : stop + 1] - first
             start = stop
+        del batch, data
+        pa.default_memory_pool().release_unused()
 
 
 def crc_mod(key: Column, n: int) -> Column:

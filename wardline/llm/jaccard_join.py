@@ -23,13 +23,12 @@ FREQUENT_SHARE = 65_536
 # Powers of two of the bits that bound overlaps: about two bits a token, within these limits.
 LEAST_BITS, MOST_BITS = 8, 14
 # Text behind a bucket of signatures, and behind a task of verification.
-BUCKET_BYTES = 48 << 20
+BUCKET_BYTES = 24 << 20
 BIN_BYTES = 4 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Sets that are compared with each other in one task; larger clusters are cut into blocks.
 BLOCK = 512
-# Lists up to this length are thinned in one task; there are fewer longer ones than one in LONGEST
-# of all list entries, and they are taken whole.
+# Lists up to this length are thinned in one task; longer ones are taken whole.
 LONGEST = 1 << 16
 # Sets of a token up to which their pairs are counted one by one, beyond it by matrix product.
 SPARSE = 16
@@ -57,6 +56,12 @@ def word_hashes(data: bytes, where: np.ndarray, ends: bool = False):
     end = dark.copy()
     end[:-1] &= ~dark[1:] | cut[1:n]
     start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
+    h, by_text = span_hashes(data, start, end), np.searchsorted(start, where, "left")
+    return (h, by_text, start, end) if ends else (h, by_text)
+
+
+def span_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span (not empty)."""
     eights, length = words_at(data), end - start
     h = _mixed(length.astype(np.uint64) * _M1)
     left, at, live = length.copy(), start.copy(), np.arange(len(start))
@@ -66,8 +71,7 @@ def word_hashes(data: bytes, where: np.ndarray, ends: bool = False):
         h[live] = _mixed(h[live] + part * _M3)
         more = left > 8
         live, left, at = live[more], left[more] - 8, at[more] + 8
-    by_text = np.searchsorted(start, where, "left")
-    return (h, by_text, start, end) if ends else (h, by_text)
+    return h
 
 
 def shingle_sets(data: bytes, where: np.ndarray, words: int = WORDS):
@@ -559,9 +563,11 @@ def link_documents(
     lists = stage(lists.join(known, "digest").drop("digest"), "jaccard-lists")
     centres = lists.groupBy("list").agg(F.min("id").alias("b"), F.count("*").alias("many")).filter(F.col("many") > LONGEST)
     centres = stage(centres, "jaccard-centres")
-    short = lists.join(F.broadcast(centres.select("list")), "list", "left_anti").select("list", "id", "n", "bits")
+    short = lists.join(centres.select("list"), "list", "left_anti").select("list", "id", "n", "bits")
     thinned = short.repartition("list").sortWithinPartitions("list").mapInArrow(_candidates(percent), "a long, b long")
-    starred = lists.join(F.broadcast(centres), "list").select(F.col("id").alias("a"), "b")
+    long_ = lists.select("list", "id").join(centres.select("list"), "list", "left_semi")
+    entries = centres.agg(F.sum("many")).first()[0] or 0
+    starred = unique_key_join(long_, centres, "list", "many", entries).select(F.col("id").alias("a"), "b")
     clusters = stage(components(thinned.unionByName(starred)), "jaccard-clusters")
 
     linked = stage(_verify(docs, entities, clusters, size, total, words, percent, block), "jaccard-links")

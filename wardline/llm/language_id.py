@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import crc_mod, documents_of, texts
+from wardline.llm.jaccard_join import span_hashes
 from wardline.llm.suffix_dedup import _mixed, words_at
 
 # The fit: labelled documents of each language that are looked at, about, and characters of each.
@@ -26,7 +27,8 @@ SEQUENCE, BATCH, STEPS, RATE, DECAY = 40, 96, 220, 0.25, 1e-4
 STRETCH = (5, 20)
 # Documents whose best language has a smaller part of the words than this are rejected.
 LEAST_SCORE = 0.3
-BLOCK_BYTES = 8 << 20
+FLOOR = 1e-12
+BLOCK_BYTES = 4 << 20
 UNKNOWN = "und"
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LETTER = regex.compile(r"\p{L}")
@@ -107,10 +109,11 @@ def marginals(scores: np.ndarray, moves: np.ndarray, offsets: np.ndarray) -> np.
     """Forward-backward over many chains at once: probability of each language at each word.
 
     `scores`: words x languages, chain after chain, `offsets` their ends. Chains are walked in
-    step, longest first; messages are kept at sum 1.
+    step, longest first; messages are kept at sum 1. A word counts at most 1 / FLOOR times as much
+    for one language as for another, so that messages of either precision never vanish.
     """
-    emit = np.exp(scores - scores.max(axis=1, keepdims=True, initial=-np.inf))
-    move = np.exp(moves - moves.max())
+    emit = np.maximum(np.exp(scores - scores.max(axis=1, keepdims=True, initial=-np.inf)), FLOOR)
+    move = np.exp(moves - moves.max()).astype(emit.dtype)
     size = np.diff(offsets)
     order = np.argsort(-size, kind="stable")
     first, size = offsets[:-1][order], size[order]
@@ -123,11 +126,11 @@ def marginals(scores: np.ndarray, moves: np.ndarray, offsets: np.ndarray) -> np.
         here = emit[at] if t == 0 else (message[: alive[t]] @ move) * emit[at]
         message = here / here.sum(axis=1, keepdims=True)
         forward[at] = message
-    behind = np.ones((0, emit.shape[1]))
+    behind = np.ones((0, emit.shape[1]), emit.dtype)
     for t in range(longest - 1, -1, -1):
         at = first[: alive[t]] + t
         if alive[t] > len(behind):
-            behind = np.concatenate([behind, np.ones((alive[t] - len(behind), emit.shape[1]))])
+            behind = np.concatenate([behind, np.ones((alive[t] - len(behind), emit.shape[1]), emit.dtype)])
         both = forward[at] * behind
         out[at] = both / both.sum(axis=1, keepdims=True)
         behind = (behind * emit[at]) @ move.T
@@ -276,14 +279,18 @@ def _keep(field, text: str, least_score: float):
 def language_shares(data: bytes, where: np.ndarray, model: Field) -> np.ndarray:
     """Mean probability of each language over the words of each text (texts in lower case)."""
     start, end, offsets = split_words(data, where)
-    words = [data[a:b] for a, b in zip(start.tolist(), end.tolist())]
-    number: dict[bytes, int] = {}
-    back = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-    score = emissions(list(number), model.weights)[back]
-    found = marginals(score, model.moves, offsets)
-    sums = np.concatenate([np.zeros((1, found.shape[1])), np.cumsum(found, axis=0)])
-    many = np.diff(offsets)[:, None]
-    return (sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(many, 1)
+    out = np.zeros((len(where) - 1, model.weights.shape[1]))
+    if not len(start):
+        return out
+    # Equal words have equal scores: features are made once for each.
+    _, first, back = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+    words = [data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
+    score = emissions(words, model.weights).astype(np.float32)[back]
+    found = marginals(score, model.moves.astype(np.float32), offsets)
+    many = np.diff(offsets)
+    some = many > 0
+    out[some] = np.add.reduceat(found, offsets[:-1][some], axis=0, dtype=np.float64) / many[some, None]
+    return out
 
 
 def identify(docs: DataFrame, model: Field | None = None) -> DataFrame:

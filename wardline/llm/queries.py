@@ -29,7 +29,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), path), path)
+    coded = bpe.code_texts(table(spark, sf_dir, "documents"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
