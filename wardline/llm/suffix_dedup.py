@@ -17,6 +17,8 @@ GRAM = 16
 # Text behind a bucket of anchors or strings, and behind a group of documents.
 BUCKET_BYTES = 8 << 20
 BLOCK_BYTES = 4 << 20
+# Text of a collection whose transform is built at a time.
+COLLECTION_BYTES = 1 << 19
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _ANCHORS = "bucket int, anchors binary, groups binary"
 _SHARED = "part int, anchors binary"
@@ -187,17 +189,18 @@ def _anchors(buckets: int, parts: int, window: int, gram: int, block: int):
     def run(batches):
         for ids, data, where in documents_of(batches, block):
             _, _, _, anchor, text = pieces_of(data, where, window, gram)
-            # Once per document, then twice at most per group.
-            order = np.lexsort((text, anchor))
+            # Once per document (texts are in order), then twice at most per group.
+            order = np.argsort(anchor, kind="stable")
             anchor, text = anchor[order], text[order]
             new = np.ones(len(anchor), bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-            anchor, group = anchor[new], _part(ids, parts)[text[new]]
-            order = np.lexsort((group, anchor))
-            anchor, group = anchor[order], group[order]
+            anchor, group = anchor[new], _part(ids, parts)[text[new]].astype(np.int32)
+            same = anchor[1:] == anchor[:-1]
+            several = np.flatnonzero(np.concatenate([[False], same]) | np.concatenate([same, [False]]))
+            group[several] = group[several][np.lexsort((group[several], anchor[several]))]
             third = np.zeros(len(anchor), bool)
             third[2:] = (anchor[2:] == anchor[:-2]) & (group[2:] == group[:-2])
-            anchor, group = anchor[~third], group[~third].astype(np.int32)
+            anchor, group = anchor[~third], group[~third]
             for b, at in _cuts(_bucket(anchor, buckets), buckets):
                 columns = [pa.array([b], pa.int32()), *(pa.array([_blob(x[at])], pa.binary()) for x in (anchor, group))]
                 yield pa.record_batch(columns, names=["bucket", "anchors", "groups"])
@@ -279,19 +282,31 @@ def _strings(buckets: int, window: int, gram: int):
 def window_owners(data: np.ndarray, length: np.ndarray, owner: np.ndarray, window: int) -> np.ndarray:
     """Smallest owner of each window of each string, as a row per string and a column per window.
 
-    The collection's transform and common prefixes put equal windows next to each other: a run of
-    entries that share `window` symbols with the one before is one window.
+    A symbol of the collection is two bytes, so each string is in it twice: as it is, and without
+    its last byte, for the windows at the other places. The transform and the common prefixes put
+    equal windows next to each other: a run of entries that share a window's symbols with the one
+    before is one window. `window` is an even number of bytes.
     """
-    starts = np.cumsum(length) - length
-    symbols, common = collection_bwt.build(data, starts, length, cap=window)
-    string, size = collection_bwt.entries(symbols, len(length), int(length.max()))
-    whole = size >= window
-    value = np.where(whole, owner[string], _NONE)
-    new = common < window
+    many, half = len(length), window // 2
+    code = np.append(data[:-1].astype(np.uint16) << np.uint16(8) | data[1:], np.uint16(0))
+    used = np.zeros(1 << 16, bool)
+    used[code] = True
+    symbol = np.cumsum(used).astype(np.uint16)[code]
+    stop = np.concatenate([length, length - 1])
+    skip, size = stop % 2, stop // 2
+    begin = np.tile(np.cumsum(length) - length, 2) + skip
+    starts = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(starts, size)
+    symbols, common = collection_bwt.build(symbol[np.repeat(begin, size) + 2 * place], starts, size, cap=half)
+    string, left = collection_bwt.entries(symbols, 2 * many, int(size.max()))
+    whole = left >= half
+    value = np.where(whole, owner[string % many], _NONE)
+    new = common < half
     first = np.flatnonzero(new)
     least = np.minimum.reduceat(value, first)[np.cumsum(new) - 1]
-    out = np.full((len(length), int(length.max()) - window + 1), _NONE, np.int64)
-    out[string[whole], (length[string] - size)[whole]] = least[whole]
+    out = np.full((many, int(length.max()) - window + 1), _NONE, np.int64)
+    at = string[whole]
+    out[at % many, skip[at] + 2 * (size[at] - left[whole])] = least[whole]
     return out
 
 
@@ -353,7 +368,18 @@ def _owners_by_string(data, start, length, anchor, owner, window):
     begin = np.cumsum(size) - size
     head = first_of_equal(words_at(flat.tobytes()), begin, size, who)
     heads, index = np.unique(head, return_inverse=True)
-    least = window_owners(_gathered(flat, begin[heads], size[heads]), size[heads], who[heads], window)
+    # A string that has its anchor to itself shares no window with another: its windows are its owner's.
+    _, kind, many = np.unique(anchor[shared[heads]], return_inverse=True, return_counts=True)
+    met = many[kind] > 1
+    least = np.full((len(heads), int(size.max()) - window + 1), _NONE, np.int64)
+    inside = np.arange(least.shape[1]) < (size[heads] - window + 1)[:, None]
+    least[~met] = np.where(inside[~met], who[heads[~met]][:, None], _NONE)
+    # Collections of a size that a processor's cache holds, whole anchors in each.
+    number = -(-int(size[heads][met].sum()) // COLLECTION_BYTES)
+    for _, at in _cuts(np.where(met, kind % max(number, 1), number), number):
+        joint = heads[at]
+        found = window_owners(_gathered(flat, begin[joint], size[joint]), size[joint], who[joint], window)
+        least[at, : found.shape[1]] = found
     flags = least[index] < who[:, None]
     some = flags.any(axis=1)
     return shared[some], flags[some]
