@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute, fixtures
@@ -72,6 +73,22 @@ def test_training_learns_a_pattern():
     assert lm.text_scores(model, texts).mean() > 0.4 * before  # both are negative
 
 
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_rounds_train_on_every_training_text_once():
+    rows = [(i, f"text {i} of {i % 7} some words " * (1 + i % 5)) for i in range(200)]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=["doc_id", "text"])
+    words, counts = np.array([0, 37, 69], np.uint64), np.array([10, 50, 20], np.int64)
+    totals = np.bincount(lm.kinds_of(words), counts, lm.KINDS).astype(np.int64)
+    vocabulary = lm.Counts(totals, np.bincount(lm.kinds_of(words), minlength=lm.KINDS), words, counts).vocabulary(lm.CLASSES**2)
+    model = lm.Model(vocabulary.weights)
+    copies = [c for k in range(lm.ROUNDS) for c in lm._replica(Sent(model), Sent(vocabulary), k)(iter([batch]))]
+    assert sum(c.column("seen")[0].as_py() for c in copies) == sum(len(t.split()) + 1 for i, t in rows if not lm.held_out(i))
+
+
 def check(rows, want):
     for r in rows:
         held, size, known, total, base = want[r.doc_id]

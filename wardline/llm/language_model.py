@@ -22,8 +22,9 @@ HIDDEN = 16
 # Words of a window of truncated backpropagation, and streams of texts side by side.
 WINDOW, BATCH = 32, 16
 RATE, CLIP = 0.05, 5.0
-# Training passes; each takes one in SHARES of the training texts, chosen by a hash of the text.
-ROUNDS, SHARES = 2, 16
+# Training rounds; each takes one in ROUNDS of the training texts, chosen by a hash of the text, so
+# that together they take every text once.
+ROUNDS = 2
 # Words with at least one in FREQUENT of all places are looked up in a table sent to the tasks.
 FREQUENT = 65_536
 # Text behind a bucket of words, texts that are split into words at a time, and a group of documents.
@@ -297,30 +298,43 @@ def gradients(model: Model, ids, targets, live, state):
     error *= ok[:, None] / np.float32(count)
     d["to_class"], d["class_bias"] = flat.T @ error, error.sum(axis=0)
     back = error @ model.to_class.T
-    for c in np.unique(group[ok]).tolist():
-        at = np.flatnonzero((group == c) & ok)
-        inside = np.exp(_softmax_log(flat[at] @ model.to_word[c] + model.word_bias[c]))
-        inside[np.arange(len(at)), word[at]] -= 1
-        inside /= np.float32(count)
-        d["to_word"][c], d["word_bias"][c] = flat[at].T @ inside, inside.sum(axis=0)
-        back[at] += inside @ model.to_word[c].T
+    # Live places in the order of their classes.
+    order = np.argsort(np.where(ok, group, classes).astype(np.int16), kind="stable")[: int(ok.sum())]
+    cuts = np.searchsorted(group[order], np.arange(classes + 1)).tolist()
+    some = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+    entry = flat[order]
+    inside = model.word_bias[group[order]]
+    for c, at in some:
+        inside[at] += entry[at] @ model.to_word[c]
+    inside = np.exp(_softmax_log(inside))
+    inside[np.arange(len(order)), word[order]] -= 1
+    inside /= np.float32(count)
+    returned = np.empty_like(entry)
+    for c, at in some:
+        d["to_word"][c], d["word_bias"][c] = entry[at].T @ inside[at], inside[at].sum(axis=0)
+        returned[at] = inside[at] @ model.to_word[c].T
+    back[order] += returned
     back, later = back.reshape(steps, many, n), np.zeros_like(state)
-    entered = np.zeros((len(model.embed), 3 * n), np.float32)
+    before, update, reset, new, turned = (np.stack(x) for x in zip(*kept))
+    # What the error of a state is multiplied by, for all steps at once; only its way back is a loop.
+    to_new, to_update = (1 - update) * (1 - new**2), (before - new) * update * (1 - update)
+    to_reset = to_new * turned * reset * (1 - reset)
+    to_gates = np.stack([to_update, to_reset, to_new * reset], axis=2)
+    carried, transposed = (ids != END)[:, :, None], model.back.T
     for t in range(steps - 1, -1, -1):
-        before, update, reset, new, turned = kept[t]
-        total = back[t] + later
-        d_new = total * (1 - update) * (1 - new**2)
-        d_update = total * (before - new) * update * (1 - update)
-        d_reset = d_new * turned * reset * (1 - reset)
-        gates = np.concatenate([d_update, d_reset, d_new], axis=1)
-        np.add.at(entered, ids[t], gates)
-        gates = np.concatenate([d_update, d_reset, d_new * reset], axis=1)
-        d["back"] += before.T @ gates
-        later = (total * update + gates @ model.back.T) * (ids[t] != END)[:, None]
-    used = np.flatnonzero(entered.any(axis=1))
-    d["enter"] = model.embed[used].T @ entered[used]
-    d["bias"] = entered[used].sum(axis=0)
-    d["embed"][used] = entered[used] @ model.enter.T
+        back[t] += later
+        total = back[t]
+        gates = (total[:, None] * to_gates[t]).reshape(many, 3 * n)
+        later = (total * update[t] + gates @ transposed) * carried[t]
+    gates = back[:, :, None] * to_gates
+    d["back"] = before.reshape(-1, n).T @ gates.reshape(-1, 3 * n)
+    gates[:, :, 2] = back * to_new
+    order = np.argsort(ids.ravel(), kind="stable")
+    used, first = np.unique(ids.ravel()[order], return_index=True)
+    entered = np.add.reduceat(gates.reshape(-1, 3 * n)[order], first, axis=0)
+    d["enter"] = model.embed[used].T @ entered
+    d["bias"] = entered.sum(axis=0)
+    d["embed"][used] = entered @ model.enter.T
     return d, states[-1], count
 
 
@@ -358,13 +372,13 @@ class Trainer:
             getattr(self.model, name)[...] -= RATE * g / np.sqrt(self.sums[name])
 
 
-def _replica(model, vocabulary, number: int):
-    """Trains a copy of the model on a task's share of the training texts."""
+def _replica(model, vocabulary, number: int, rounds: int = ROUNDS):
+    """Trains a copy of the model on those of a task's training texts that belong to the round."""
 
     def run(batches):
         trainer, words = Trainer(model.value.copied()), vocabulary.value
         for ids, data, where in documents_of(batches, BLOCK_BYTES):
-            pick = [i for i, d in enumerate(ids.tolist()) if not held_out(d) and zlib.crc32(data[where[i] : where[i + 1]]) % SHARES == number]
+            pick = [i for i, d in enumerate(ids.tolist()) if not held_out(d) and zlib.crc32(data[where[i] : where[i + 1]]) % rounds == number]
             if not pick:
                 continue
             parts = [data[where[i] : where[i + 1]] for i in pick]
@@ -389,7 +403,7 @@ def _added(table: pa.Table) -> pa.Table:
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """The model trained on one in SHARES of the training texts per round.
+    """The model trained on every training text once, one in `rounds` of them per round.
 
     In a round every task trains a copy on its texts by truncated backpropagation; the copies are
     averaged, weighted by their words, within GROUPS groups and then on the driver, which so gets
@@ -398,7 +412,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Mode
     context = docs.sparkSession.sparkContext
     model, sent = Model(vocabulary.weights), context.broadcast(vocabulary)
     for number in range(rounds):
-        copies = docs.mapInArrow(_replica(context.broadcast(model), sent, number), "part int, weights binary, seen long")
+        copies = docs.mapInArrow(_replica(context.broadcast(model), sent, number, rounds), "part int, weights binary, seen long")
         rows = copies.groupBy("part").applyInArrow(_added, "weights binary, seen long").collect()
         if rows:
             total = sum(_unpacked(bytes(r.weights), np.float64) for r in rows)
