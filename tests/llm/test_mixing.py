@@ -65,3 +65,21 @@ def test_no_python_on_the_executors(spark, sf_dir):
     plan = queries.op9_mixing(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_shards_hold_the_blocks_of_words_that_the_mix_takes(spark):
+    rows = [(i, " ".join(f"{i}.{k}" for k in range(i % 83)), None, f"s{i % 3}" if i % 4 else None) for i in range(300)]
+    docs = fixtures.documents(spark, rows)
+    blocks = mixing.mixed_blocks(docs, shard=64).collect()
+    places = sorted((r.shard, r.slot) for r in blocks)
+    assert len(set(places)) == len(places) and max(p[0] for p in places) > 3 and all(0 <= p[1] < 64 for p in places)
+    source, taken = {r[0]: r[3] for r in rows}, defaultdict(int)
+    for r in blocks:
+        assert 0 < len(r.words) <= mixing.BLOCK
+        last = None
+        for doc, k in (map(int, w.split(".")) for w in r.words):
+            assert source[doc] == r.source and (last is None or last[0] != doc or k == last[1] + 1)
+            last = doc, k
+            taken[doc] += 1
+    assert sum(len(r.words) < mixing.BLOCK for r in blocks) <= 4 * mixing.REPEATS
+    assert all(r.taken == taken[r.doc_id] for r in mixing.mix(docs, shard=64).collect())

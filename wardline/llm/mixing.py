@@ -52,9 +52,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) ->
     )
 
 
-def document_sizes(docs: DataFrame) -> DataFrame:
+def document_sizes(docs: DataFrame, *more: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"))
+    return docs.select("doc_id", "source", *more, F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"))
 
 
 def positions(sized: DataFrame, chunks: int) -> DataFrame:
@@ -82,7 +82,7 @@ def shard_counts(sources: DataFrame, shard: int = SHARD) -> DataFrame:
     `sources`: rank, blocks, wanted (expected blocks). A shard has `shard` slots. Slot j of a shard
     draws the number (j + r) / slots with a pseudorandom r, and gets the source in whose part of
     the cumulative weights it falls: a multinomial draw with stratified numbers, whose counts stay
-    close to their means. As the numbers ascend, how many lie below a bound needs no loop: all of
+    close to their means. A source's slots in a shard are in a row, from slot `at` on. As the numbers ascend, how many lie below a bound needs no loop: all of
     the earlier strata, and the bound's own if its number is below.
     """
     whole = Window.partitionBy()
@@ -105,14 +105,14 @@ def shard_counts(sources: DataFrame, shard: int = SHARD) -> DataFrame:
         number = (at + mixed / F.lit(float(DRAW[2]))) / slots
         return F.least(slots, at + F.when(number < bound, 1).otherwise(0))
 
-    drawn = drawn.withColumn("count", below(F.col("_high")) - below(F.col("_low")))
+    drawn = drawn.withColumn("at", below(F.col("_low"))).withColumn("count", below(F.col("_high")) - F.col("at"))
     so_far = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     drawn = drawn.withColumn("first", F.coalesce(F.sum("count").over(so_far), F.lit(0)))
-    return drawn.select("rank", "blocks", "shard", "first", "count").filter("count > 0")
+    return drawn.select("rank", "blocks", "shard", "at", "first", "count").filter("count > 0")
 
 
 def slot_blocks(counts: DataFrame, tasks: int, repeats: int = REPEATS) -> DataFrame:
-    """(rank, block, times): slots mapped to blocks, a new order of the blocks each time round.
+    """(rank, shard, at, block): slots mapped to blocks, a new order of the blocks each time round.
 
     The order steps through the blocks by a prime that does not divide their number, so each
     round meets every block once. Slots beyond `repeats` rounds get no block. The few rows of
@@ -121,13 +121,14 @@ def slot_blocks(counts: DataFrame, tasks: int, repeats: int = REPEATS) -> DataFr
     counts = counts.repartition(tasks, "rank", "shard")
     ends = F.least(F.col("first") + F.col("count"), F.col("blocks") * repeats) - 1
     slots = counts.filter(F.col("first") <= ends).select(
-        "rank", "blocks", F.explode(F.sequence(F.col("first"), ends)).alias("slot")
+        "rank", "blocks", "shard", "at", "first", F.explode(F.sequence(F.col("first"), ends)).alias("slot")
     )
     around = F.floor(F.col("slot") / F.col("blocks")).cast("long")
     step = F.when(F.col("blocks") % STEPS[0] != 0, STEPS[0]).otherwise(STEPS[1])
     shift = (around + 1) * 40_503 + F.col("rank") * 65_599
     block = (F.col("slot") % F.col("blocks") * step + shift) % F.col("blocks")
-    return slots.select("rank", block.alias("block")).groupBy("rank", "block").agg(F.count("*").alias("times"))
+    at = F.col("at") + F.col("slot") - F.col("first")
+    return slots.select("rank", "shard", at.alias("at"), block.alias("block"))
 
 
 def _key() -> Column:
@@ -135,6 +136,22 @@ def _key() -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
 
 
+def _drawn(docs: DataFrame, weights, repeats: int, block: int, shard: int, *more: str) -> tuple[DataFrame, DataFrame]:
+    """The documents with their places in their sources (and the columns `more`), and the drawn slots."""
+    row = F.row_number().over(Window.partitionBy("doc_id", "source").orderBy("size", *more))
+    sized = stage(document_sizes(docs, *more).withColumn("row", row).withColumn("key", _key()), "mix-sizes")
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    targets = stage(source_targets(sizes, weights, repeats).withColumn("key", _key()), "mix-targets")
+    n, words = sized.agg(F.count("*"), F.sum("size")).first()
+    placed = unique_key_join(sized, targets.drop("source"), "key", "n", n)
+    placed = positions(placed, max(1, n // CHUNK))
+    blocks = F.ceil(F.col("source_size") / block).cast("long")
+    wanted = F.col("target") * blocks / F.col("source_size")
+    sources = targets.filter("source_size > 0").select("rank", blocks.alias("blocks"), wanted.alias("wanted"))
+    tasks = buckets_for((words or 0) / block, TASK_SLOTS, least=1)
+    return placed, slot_blocks(shard_counts(sources, shard), tasks, repeats)
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words the mix takes of each document.
 
@@ -145,18 +162,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, block: int = B
     The same rows give the same mix. A null or empty text has size 0 and gives nothing; an empty
     table gives an empty result. Repeated rows are documents of their own, in any order.
     """
-    row = F.row_number().over(Window.partitionBy("doc_id", "source").orderBy("size"))
-    sized = stage(document_sizes(docs).withColumn("row", row).withColumn("key", _key()), "mix-sizes")
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    targets = stage(source_targets(sizes, weights, repeats).withColumn("key", _key()), "mix-targets")
-    n, words = sized.agg(F.count("*"), F.sum("size")).first()
-    placed = unique_key_join(sized.drop("source"), targets.drop("source"), "key", "n", n)
-    placed = positions(placed, max(1, n // CHUNK))
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    wanted = F.col("target") * blocks / F.col("source_size")
-    sources = targets.filter("source_size > 0").select("rank", blocks.alias("blocks"), wanted.alias("wanted"))
-    tasks = buckets_for((words or 0) / block, TASK_SLOTS, least=1)
-    times = slot_blocks(shard_counts(sources, shard), tasks, repeats)
+    placed, slots = _drawn(docs, weights, repeats, block, shard)
+    times = slots.groupBy("rank", "block").agg(F.count("*").alias("times"))
     end = F.col("start") + F.col("size")
     low, high = F.floor(F.col("start") / block).cast("long"), F.floor((end - 1) / block).cast("long")
     whole = placed.withColumn("block", F.explode(F.when(F.col("size") > 0, F.sequence(low, high)).otherwise(F.array(F.lit(-1).cast("long")))))
@@ -169,6 +176,33 @@ def mix(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, block: int = B
     return summed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def mixed_blocks(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+    """shard, slot, source, words: the mixed shards, a row per slot with its block's words in order.
+
+    The draws and blocks are those of `mix`, whose `taken` counts these words by document. A slot
+    beyond `repeats` rounds of its source has no row; the last block of a source may be short.
+    """
+    placed, slots = _drawn(docs, weights, repeats, block, shard, "text")
+    low = F.floor(F.col("start") / block).cast("long")
+    high = F.floor((F.col("start") + F.col("size") - 1) / block).cast("long")
+    # Words are found once per document, and cut at the block bounds.
+    every = placed.filter("size > 0").withColumn("_words", F.regexp_extract_all("text", F.lit(WORDS), 0))
+    first = lambda b: F.greatest(b * block - F.col("start"), F.lit(0))
+    piece = lambda b: F.struct(
+        b.alias("block"),
+        (F.col("start") + first(b)).alias("place"),
+        F.slice("_words", (first(b) + 1).cast("int"), ((b + 1) * block - F.col("start") - first(b)).cast("int")).alias("words"),
+    )
+    pieces = every.select("rank", "source", F.explode(F.transform(F.sequence(low, high), piece)).alias("_p"))
+    # A block has at most `block` pieces.
+    parts = F.sort_array(F.collect_list(F.struct("_p.place", "_p.words")))
+    packed = pieces.groupBy("rank", F.col("_p.block").alias("block")).agg(
+        F.first("source").alias("source"), F.flatten(F.transform(parts, lambda x: x["words"])).alias("words")
+    )
+    joined = slots.hint("merge").join(packed, ["rank", "block"])
+    return joined.select("shard", F.col("at").alias("slot"), "source", "words")
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, as often as the mix takes them.
 
