@@ -128,4 +128,68 @@ SELECT doc_id, size, source_size, target, sum(words)::BIGINT AS taken
 FROM taken GROUP BY doc_id, rank, row, size, source_size, target
 """
 
-ORACLES = {"op2_top_products": OP2, "op6_exact_dedup": OP6, "op8_url_filters": OP8, "op9_mixing": OP9}
+# crc32 of a number's decimal digits, byte by byte and bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+   lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+OP12 = f"""
+WITH t AS (
+ SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+  [coalesce(role, ''), coalesce(text, '')] AS said
+ FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+ SELECT conv_id, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+ SELECT c.conv_id, 0 AS own, t.pos, t.said FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.pos <= c.h
+ UNION ALL SELECT c.conv_id, 1, t.pos, t.said FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+s AS (
+ SELECT c.conv_id, coalesce(list(r.said ORDER BY own, pos) FILTER (pos IS NOT NULL), []) AS said
+ FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+p AS (
+ SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS depth FROM s),
+m AS (
+ SELECT said[:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(said) = depth), '')) AS ends_sha256
+ FROM p GROUP BY ALL),
+n AS (
+ SELECT *, CASE WHEN depth > 0 THEN path[:depth - 1] END AS above,
+  CASE WHEN depth > 0 THEN (n_convs - 1) * length(path[depth][2]) ELSE 0 END AS saved FROM m),
+k AS (SELECT above, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON n.path = k.above),
+e AS (SELECT path, saved, n_children, unnest(range(0, depth + 1)) AS upto FROM f),
+u AS (
+ SELECT path[:upto] AS path, sum(saved)::BIGINT AS saved_tokens, count_if(n_children = 0) AS n_leaves FROM e GROUP BY ALL)
+SELECT f.conv_id, f.depth, b.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM f JOIN u ON f.path = u.path LEFT JOIN f b ON f.above = b.path
+"""
+
+OP13 = """
+WITH v AS (
+ SELECT coalesce(vec_id, -9223372036854775808) AS vec_id, row_number() OVER () AS row,
+  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+ FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+ SELECT q.vec_id AS anchor_id, q.row AS anchor, q.label = c.label AS same, c.vec_id, c.row,
+  list_dot_product(q.vec, c.vec)::BIGINT AS score
+ FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 50 = 0),
+p AS (
+ SELECT * FROM s WHERE same
+ QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+ row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY s.score DESC, s.vec_id, s.row)::INT AS rank
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+ORACLES = {
+    "op2_top_products": OP2,
+    "op6_exact_dedup": OP6,
+    "op8_url_filters": OP8,
+    "op9_mixing": OP9,
+    "op12_prefix_trie": OP12,
+    "op13_hard_negatives": OP13,
+}

@@ -7,7 +7,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, jaccard_join, language_id, language_model, mixing, pii, suffix_dedup, topk, url_reputation
+from wardline.llm import (
+    bpe,
+    exact_dedup,
+    fingerprints,
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    language_model,
+    mixing,
+    pii,
+    prefix_trie,
+    suffix_dedup,
+    topk,
+    url_reputation,
+)
 from wardline.llm.common import table
 
 
@@ -71,6 +85,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -86,5 +112,8 @@ REGISTRY = {
     "op8_url_filters": op8_url_filters,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
