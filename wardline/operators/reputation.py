@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +12,8 @@ from wardline.functions.literals import literal_rows
 from wardline.functions.rules import or_default
 from wardline.operators.dedup import first_per_key
 from wardline.operators.joins import lookup_join
+from wardline.operators.report_sets import report_words, rollup_words
 from wardline.sources.payloads import reputation_data
-from wardline.sources.store import stage
 
 COLUMNS = (
     "source", "ip", "threat_score", "threat_level", "country", "isp", "domain", "is_tor",
@@ -90,29 +88,13 @@ def recent_reports(
     return reports.filter(F.col("reported_at") > end - F.make_dt_interval(F.lit(max_age_days)))
 
 
-# Distinct counts of the reports of an ip: result column and counted column.
-COUNTED = {"total_reports": "report_id", "distinct_users": "reporter_id", "category_count": "category"}
-
-
 def report_rollup(reports: DataFrame) -> DataFrame:
     """Summary per ip: distinct reports, reporters and categories, and the newest report.
 
-    Lines are first reduced to one row per (ip, report, reporter, category), written once. Each
-    distinct count is then its own pair of hash aggregates: per (ip, value), so the reports of one
-    hot ip are spread by value, then per ip. Their one-row-per-ip results are laid side by side by
-    a last small aggregate.
+    Distinct ids are kept as sets of words (`report_sets`): one hash aggregate by word, so the
+    reports of one hot ip are spread by their ids, and one by ip over far fewer rows.
     """
-    kept = reports.groupBy("ip", *COUNTED.values()).agg(F.max("reported_at").alias("reported_at"))
-    reduced = stage(kept, "reports")
-    newest = reduced.groupBy("ip").agg(F.max("reported_at").alias("last_reported"))
-    parts = [newest]
-    for name, column in COUNTED.items():
-        values = reduced.select("ip", column).distinct()
-        parts.append(values.groupBy("ip").agg(F.count(column).alias(name)))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.groupBy("ip").agg(
-        *[F.max(name).alias(name) for name in ("total_reports", "distinct_users", "last_reported", "category_count")]
-    )
+    return rollup_words(report_words(reports))
 
 
 def report_categories(reports: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from wardline.operators import (
     trend,
 )
 from wardline.plans import reports
-from wardline.sources import store, topic
+from wardline.sources import report_days, store, topic
 from wardline.sources import testdata as td
 from wardline.streaming import counters, ingest, live
 
@@ -34,6 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Query] = {}
 _models: dict[tuple[str, str], training.ThreatModel] = {}
+_days: dict[tuple[str, str], str] = {}
 
 # Fixed centres for the distance query, over unscaled features.
 FIXED_CENTRES = (
@@ -111,6 +113,14 @@ def scored_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.score_batch(enriched_signals(spark, sf_dir), model_for(spark, sf_dir), None)
 
 
+def report_days_of(spark: SparkSession, sf_dir: str) -> str:
+    """The session's daily tables of the reports of `sf_dir`."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _days:
+        _days[key] = store.shared_dir(spark, "report-days")
+    return _days[key]
+
+
 # Levels, counts, recent events
 
 
@@ -190,8 +200,15 @@ def ip_report_rollup(spark, sf_dir):
 
 @query
 def ip_report_rollup_90d(spark, sf_dir):
-    kept = reputation.recent_reports(td.reports(spark, sf_dir), asof=td.newest_report(spark, sf_dir))
-    return reputation.report_rollup(kept)
+    """From the daily tables: of the window's days, those not yet stored are added."""
+    newest = td.newest_report_time(spark, sf_dir)
+    after, reported = newest - timedelta(days=fv.REPORT_MAX_AGE_DAYS), td.reports(spark, sf_dir)
+    days = report_days_of(spark, sf_dir)
+    stored = report_days.stored_days(spark, days)
+    first = max([after.date(), *stored]) + timedelta(days=1)
+    if first <= newest.date():
+        report_days.add_days(reported, days, first, newest.date())
+    return report_days.rollup_window(spark, days, after, newest.date(), reported)
 
 
 @query
@@ -445,7 +462,7 @@ def recent_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     The reputations are those of the cut signals' addresses.
     """
     newest = recent.latest(td.signals(spark, sf_dir), fv.REPORT_ROWS)
-    payloads = td.reputation_payloads(spark, sf_dir).join(newest.select("ip").distinct(), "ip", "left_semi")
+    payloads = td.reputation_payloads(spark, sf_dir, newest)
     known = reputation.check_ips(newest.select("ip"), payloads)
     return reputation.enrich_signals(newest, known, bounded_by=newest)
 

@@ -65,6 +65,12 @@ def _folder(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    files, place = _folder(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+
+
 def numbered(spark: SparkSession, path: str, kind: str) -> list[int]:
     """Numbers of the finished tables `kind-<number>` in a folder, ascending."""
     files, place = _folder(spark, path)

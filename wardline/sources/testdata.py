@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.literals import literal_map
 from wardline.operators.joins import lookup_join
-from wardline.operators.reputation import report_rollup
+from wardline.operators.report_sets import category_set, report_words, rollup_words
 
 # Fixed values of the derived tables: country per nation key, provider per ten customers.
 NATION_COUNTRIES = (
@@ -101,11 +101,17 @@ def signal_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(ip_of(F.col("user_id")).alias("ip"))
 
 
-def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+def of_addresses(rows: DataFrame, asked: DataFrame | None) -> DataFrame:
+    """Rows of the ips in `asked`, a frame of far fewer rows."""
+    return rows if asked is None else rows.join(asked.select("ip").distinct(), "ip", "left_semi")
+
+
+def reports(spark: SparkSession, sf_dir: str, asked: DataFrame | None = None) -> DataFrame:
     """Abuse reports: every order line is one, an order its report.
 
     Orders get their ip before the report lines join them. The other way round, the lines
-    of one huge order would all meet again in the join on its customer.
+    of one huge order would all meet again in the join on its customer. With `asked`, only its ips'
+    orders take part in both joins.
     """
     scan = table(spark, sf_dir, "orders")
     orders = scan.select(
@@ -113,7 +119,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("c_custkey"),
         F.col("o_orderdate").alias("reported_at"),
     )
-    known = owners(spark, sf_dir).select("c_custkey", "ip")
+    known = of_addresses(owners(spark, sf_dir).select("c_custkey", "ip"), asked)
     owned = lookup_join(orders, known, "c_custkey", "inner").drop("c_custkey")
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("report_id"),
@@ -123,23 +129,22 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_join(lines, owned, "report_id", "inner", bounded_by=scan)
 
 
-def newest_report(spark: SparkSession, sf_dir: str):
+def newest_report_time(spark: SparkSession, sf_dir: str):
     """Time of the newest report: of the newest order that has a line."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return orders.join(lines, "o_orderkey", "left_semi").agg(F.max("o_orderdate")).scalar()
+    return orders.join(lines, "o_orderkey", "left_semi").agg(F.max("o_orderdate")).first()[0]
 
 
-def reputation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON answer of the reputation service per ip.
+def reputation_payloads(spark: SparkSession, sf_dir: str, asked: DataFrame | None = None) -> DataFrame:
+    """JSON answer of the reputation service per ip, of the ips in `asked` where it is given.
 
-    Codes run from 1 to CATEGORY_CODES, so one number holds the set of an ip's codes: the
-    aggregate keeps fixed-width state, and no list is collected.
+    Codes run from 1 to CATEGORY_CODES, so one word holds the set of an ip's codes: counts and
+    codes come from one pass over the reports, and no list is collected.
     """
-    made = reports(spark, sf_dir)
-    codes = made.groupBy("ip").agg(F.expr("bit_or(shiftleft(1L, category))").alias("codes"))
-    summary = report_rollup(made).join(codes, "ip")
-    known = owners(spark, sf_dir).select(
+    words = report_words(reports(spark, sf_dir, asked))
+    summary = rollup_words(words, category_set(CATEGORY_CODES + 1))
+    known = of_addresses(owners(spark, sf_dir), asked).select(
         "ip", "country", "isp", "rep_score", "is_tor", "usage_type"
     )
     every = F.sequence(F.lit(1), F.lit(CATEGORY_CODES))
