@@ -12,9 +12,8 @@ from wardline.sources import testdata as td
 # Nodes that would run Python per row, pair everything with everything, or gather rows.
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct")
 FITTED = {
-    "rf_predictions", "kmeans_clusters", "score_clusters", "score_clusters_recent", "risk_drivers",
-    "email_scores", "ip_scores", "ml_report", "ml_report_recent", "cluster_breakdown",
-    "rf_distribution", "anomaly_rate", "stream_scored", "stream_trend",
+    "rf_predictions", "kmeans_clusters", "risk_drivers", "email_scores", "ip_scores", "ml_report", "ml_report_recent", "cluster_breakdown",
+    "rf_distribution", "anomaly_rate", "stream_scored", "stream_trend_model",
 }
 
 

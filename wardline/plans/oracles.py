@@ -169,6 +169,19 @@ scored AS (SELECT s.id, s.ts, d > 2.0 AS anomaly, 'centre ' || centre AS cluster
     FROM ranked JOIN signals s USING (id) WHERE rk = 1)"""
 
 
+def _split(rows: str) -> str:
+    """Exact two-way split of the frame `rows`: the cut with the greatest gain by prefix sums."""
+    return f"""{BASE}, kept AS (SELECT id, threat_score::DOUBLE AS score FROM {rows}),
+bins AS (SELECT score, count(*)::DOUBLE AS n FROM kept GROUP BY score),
+sums AS (SELECT score, sum(n) OVER w AS n1, sum(score * n) OVER w AS x1, sum(n) OVER () AS n, sum(score * n) OVER () AS x
+    FROM bins WINDOW w AS (ORDER BY score)),
+gains AS (SELECT score, (x1 * (n - n1) - (x - x1) * n1) * (x1 * (n - n1) - (x - x1) * n1) / (n1 * (n - n1)) AS gain
+    FROM sums WHERE n > n1),
+best AS (SELECT score AS cut FROM gains ORDER BY gain DESC, score LIMIT 1)
+SELECT coalesce(score > (SELECT cut FROM best), false)::INTEGER AS cluster, id, score FROM kept
+WHERE (SELECT count(*) FROM kept) >= 5"""
+
+
 _RATE = """count(*) AS total_events_analyzed, count(*) FILTER (anomaly) AS anomaly_count,
     round(count(*) FILTER (anomaly) / greatest(count(*), 1) * 100, 1) AS anomaly_rate_pct"""
 _RECORDS = "count(*) AS n, count(*) AS labelled, count(*) AS blended"
@@ -301,6 +314,8 @@ ORACLES = {
     "report_of_too_few": f"""{_fixed()}, few AS (SELECT * FROM scored ORDER BY ts DESC NULLS LAST, id DESC LIMIT 2)
     SELECT 'not enough events' AS status, count(*) AS total_events_analyzed,
     count(*) FILTER (anomaly) AS anomaly_count FROM few""",
+    "score_clusters": _split("signals"),
+    "score_clusters_recent": _split("(SELECT * FROM signals ORDER BY ts DESC NULLS LAST, id DESC LIMIT 100)"),
     "clusters_of_too_few": "SELECT 0 AS cluster, event_id AS id, 0.0::DOUBLE AS score FROM events WHERE false",
     "rf_checks": """SELECT count(*) AS n, count(*) AS labelled, count(*) AS whole, count(*) AS confident,
     count(*) AS blended FROM events""",
@@ -313,6 +328,9 @@ ORACLES = {
     count(*) AS in_labels FROM events""",
     "stream_push": BASE + "SELECT id, ts, threat_score, threat_level FROM signals",
     "stream_score_checks": f"SELECT {_RECORDS} FROM events",
+    "stream_trend": f"""{BASE}, kept AS (SELECT ts, greatest(0, least(100, trunc(0.6::DOUBLE * threat_score + 0.4::DOUBLE *
+    CASE threat_level WHEN 'critical' THEN 100 WHEN 'high' THEN 70 WHEN 'medium' THEN 45 ELSE 10 END))) AS y
+    FROM signals ORDER BY ts DESC, id DESC LIMIT 500){TREND}""",
     "stream_dedup": _DEDUP,
     "stream_minute_counts": _MINUTES,
     "stream_level_counts": _LEVEL_TOTALS,

@@ -696,4 +696,14 @@ def stream_scored(spark, sf_dir):
 
 @query
 def stream_trend(spark, sf_dir):
+    """The trend as it stands after the last of the disordered arrivals."""
+    arrived = event_stream(spark, sf_dir)
+    scored = arrived.withColumn("ml_adjusted_score", adjusted_score(F.col("threat_score"), F.col("threat_level")))
+    path, checkpoint = _paths(spark, "trend")
+    live.start_trend(scored, f"{path}-history", path, checkpoint, available_now=True).awaitTermination()
+    return live.last_trend(spark, path)
+
+
+@query
+def stream_trend_model(spark, sf_dir):
     return live.history_trend(_scored_store(spark, sf_dir))

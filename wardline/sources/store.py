@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,39 +94,53 @@ def forget(spark: SparkSession, path: str, kind: str, before: int) -> None:
             files.delete(place, True)
 
 
-def sum_writer(path: str, keys: list[str], fold: int = FOLD):
-    """`foreachBatch` function that adds a batch's counts to the sums in `path`.
+def fold_writer(path: str, merge: Callable[[DataFrame], DataFrame], fold: int = FOLD):
+    """`foreachBatch` function that adds a batch's rows to those in `path`.
 
-    A batch is the table `part-<id>`, which a replayed batch replaces. After `fold` of them the sums
-    so far are written as `upto-<id>`; what the sums before that one hold is removed then, so that
-    readers of the last sums are not disturbed and the number of tables stays bounded.
+    A batch is the table `part-<id>`, which a replayed batch replaces. After `fold` of them what
+    `merge` makes of all rows so far is written as `upto-<id>`; the tables that it holds are removed
+    then, so that readers of the last ones are not disturbed and the number of tables stays bounded.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        sums = numbered(spark, path, "upto")
-        last = sums[-1] if sums else -1
+        folded = numbered(spark, path, "upto")
+        last = folded[-1] if folded else -1
         if batch_id <= last:
             return
         batch.write.mode("overwrite").parquet(f"{path}/part-{batch_id}")
         if batch_id - last >= fold:
-            total = read_sums(spark, path, batch.schema, keys)
-            total.write.mode("overwrite").parquet(f"{path}/upto-{batch_id}")
+            merge(read_parts(spark, path, batch.schema)).write.mode("overwrite").parquet(f"{path}/upto-{batch_id}")
             forget(spark, path, "upto", last)
             forget(spark, path, "part", last + 1)
 
     return write
 
 
+def read_parts(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of the newest `upto` table and the parts after it."""
+    empty = spark.createDataFrame([], schema)
+    folded = numbered(spark, path, "upto")[-1:]
+    parts = [n for n in numbered(spark, path, "part") if not folded or n > folded[0]]
+    paths = [f"{path}/upto-{n}" for n in folded] + [f"{path}/part-{n}" for n in parts]
+    return spark.read.schema(empty.schema).parquet(*paths) if paths else empty
+
+
+def add_up(rows: DataFrame, keys: list[str], **others: Callable) -> DataFrame:
+    """Sums per key; `others` names the aggregates of columns that are not summed."""
+    values = [c for c in rows.columns if c not in keys]
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.groupBy(*keys).agg(*[others.get(v, F.sum)(v).cast(kinds[v]).alias(v) for v in values])
+
+
+def sum_writer(path: str, keys: list[str], fold: int = FOLD):
+    """`fold_writer` that adds a batch's counts to the sums in `path`."""
+    return fold_writer(path, lambda rows: add_up(rows, keys), fold)
+
+
 def read_sums(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
     """Sums per key over the newest `upto` table and the parts after it."""
-    empty = spark.createDataFrame([], schema)
-    sums = numbered(spark, path, "upto")[-1:]
-    parts = [n for n in numbered(spark, path, "part") if not sums or n > sums[0]]
-    paths = [f"{path}/upto-{n}" for n in sums] + [f"{path}/part-{n}" for n in parts]
-    rows = spark.read.schema(empty.schema).parquet(*paths) if paths else empty
-    values = [c for c in empty.columns if c not in keys]
-    return rows.groupBy(*keys).agg(*[F.sum(v).cast(empty.schema[v].dataType).alias(v) for v in values])
+    return add_up(read_parts(spark, path, schema), keys)
 
 
 def newest_writer(path: str, newest, keep: int = 2):

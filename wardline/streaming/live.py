@@ -12,8 +12,8 @@ from wardline.operators.recent import latest
 from wardline.operators.reputation import KEY, enrich_signals
 from wardline.operators.scoring import score_records
 from wardline.operators.training import ThreatModel
-from wardline.operators.trend import score_trend
-from wardline.sources.store import batch_writer, newest_writer
+from wardline.operators.trend import MOMENTS, bucket_moments, bucket_of, newest_buckets, score_trend, trend_of_moments
+from wardline.sources.store import FOLD, add_up, batch_writer, fold_writer, read_batches, read_parts
 from wardline.streaming.ingest import _start
 
 RESULTS = (
@@ -68,20 +68,65 @@ def history_trend(scored: DataFrame, n: int | None = fv.TREND_ROWS, asof=None) -
     return score_trend(latest(scored, n), "ml_adjusted_score", "ts", asof)
 
 
+def rolling_trend(moments: DataFrame, kept: DataFrame, n: int | None, asof=None) -> DataFrame:
+    """Trend of the newest `n` rows from bucket moments.
+
+    Whole buckets count by their moments. Only of the bucket that the window cuts are rows read:
+    `kept` holds at least those, with their `bucket`.
+    """
+    whole, edge, left = (moments, None, 0) if n is None else newest_buckets(moments, n)
+    if edge is None:
+        return trend_of_moments(whole, asof)
+    cut = latest(kept.filter(F.col("bucket") == edge), left)
+    return trend_of_moments(whole.unionByName(bucket_moments(cut, "ml_adjusted_score")), asof)
+
+
+def _added(moments: DataFrame) -> DataFrame:
+    return add_up(moments, ["bucket"], first_hour=F.min, last_hour=F.max)
+
+
 def start_trend(
-    scored: DataFrame, history: str, path: str, checkpoint: str, n: int = fv.TREND_ROWS, available_now: bool = False
+    scored: DataFrame, history: str, path: str, checkpoint: str, n: int = fv.TREND_ROWS, available_now: bool = False, fold: int = FOLD
 ) -> StreamingQuery:
     """After each batch of newly scored rows, write the trend of the newest `n` rows so far.
 
-    These are a small table in the folder `history` that every batch is merged into, so a batch
-    costs the same however long the stream has run.
+    The folder `history` keeps each hour's moments and the rows by hour. A batch adds its own to both;
+    the trend is worked out from moments and the rows of one hour, and hours that have left the
+    window go when tables are folded. Rows may arrive in any order; one without a time is in no trend.
     """
     write = batch_writer(path)
-    merge = newest_writer(history, lambda rows: latest(rows, n))
+
+    def from_edge(rows: DataFrame, moments: DataFrame) -> DataFrame:
+        edge = newest_buckets(moments, n)[1]
+        return rows if edge is None else rows.filter(F.col("bucket") >= edge)
+
+    def merged(moments: DataFrame) -> DataFrame:
+        return from_edge(_added(moments), _added(moments))
+
+    add = fold_writer(f"{history}/moments", merged, fold)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        write(history_trend(merge(batch, batch_id), None), batch_id)
+        add(bucket_moments(batch, "ml_adjusted_score"), batch_id)
+        moments = _added(read_parts(batch.sparkSession, f"{history}/moments", MOMENTS))
+        timed = batch.filter("ts is not null").withColumn("bucket", bucket_of(F.col("ts")))
+        timed = timed.withColumn("ml_adjusted_score", F.col("ml_adjusted_score").cast("double"))
+        keep = fold_writer(f"{history}/rows", lambda rows: from_edge(rows, moments), fold)
+        keep(timed.sortWithinPartitions("bucket"), batch_id)
+        kept = read_parts(batch.sparkSession, f"{history}/rows", timed.schema)
+        write(rolling_trend(moments, kept, n), batch_id)
 
     kept = scored.select("id", "ts", "ml_adjusted_score")
     writer = kept.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
+
+
+def read_trends(spark: SparkSession, path: str) -> DataFrame:
+    """The trend after each batch, with its `batch_id`."""
+    columns = "slope double, intercept double, next_predicted double, trend string, data_points bigint"
+    return read_batches(spark, path, columns)
+
+
+def last_trend(spark: SparkSession, path: str) -> DataFrame:
+    """The trend after the newest batch."""
+    trends = read_trends(spark, path)
+    return trends.filter(F.col("batch_id") == trends.agg(F.max("batch_id")).scalar()).drop("batch_id")
