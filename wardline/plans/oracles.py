@@ -192,6 +192,17 @@ _LEVEL_TOTALS = (
     FROM signals GROUP BY threat_level"""
 )
 _DEDUP = BASE + "SELECT DISTINCT id, ts, threat_score FROM signals"
+_FIRST_SEEN = (
+    BASE
+    + """SELECT ip, id, ts, threat_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY ip ORDER BY ts, id) AS rk FROM signals WHERE ip IS NOT NULL)
+    WHERE rk = 1"""
+)
+_PAGE = (
+    BASE
+    + """SELECT id, ts, threat_score, (SELECT count(*) FROM events) AS total
+    FROM signals ORDER BY ts DESC, id DESC LIMIT 20"""
+)
 _CATEGORIES = BASE + "SELECT ip, array_to_string(cats, ', ') AS categories FROM named"
 
 ORACLES = {
@@ -209,9 +220,7 @@ ORACLES = {
     "last_closed_minute": f"""WITH m AS ({_MINUTES}), r AS (
     SELECT n, row_number() OVER (ORDER BY minute DESC) AS rk FROM m)
     SELECT coalesce(max(n) FILTER (rk = 2), 0) AS n FROM r""",
-    "recent_events": BASE
-    + """SELECT id, ts, threat_score, (SELECT count(*) FROM events) AS total
-    FROM signals ORDER BY ts DESC, id DESC LIMIT 20""",
+    "recent_events": _PAGE,
     "replay_events": BASE
     + """SELECT id, ts, threat_score, true AS replay FROM signals ORDER BY ts DESC, id DESC LIMIT 10""",
     "recent_with_timestamp": BASE
@@ -221,10 +230,8 @@ ORACLES = {
     + """, batch AS (SELECT id, ts, threat_score FROM signals ORDER BY ts DESC, id DESC LIMIT 200)
     SELECT * FROM batch ORDER BY ts, id LIMIT 5""",
     "dedup_signals": _DEDUP,
-    "first_seen_ip": BASE
-    + """SELECT ip, id, ts, threat_score FROM (
-    SELECT *, row_number() OVER (PARTITION BY ip ORDER BY ts, id) AS rk FROM signals WHERE ip IS NOT NULL)
-    WHERE rk = 1""",
+    "dedup_against_store": _DEDUP,
+    "first_seen_ip": _FIRST_SEEN,
     "ip_report_rollup": BASE + "SELECT * FROM rollup",
     "ip_report_rollup_90d": BASE
     + """SELECT ip, count(DISTINCT report_id) AS total_reports,
@@ -296,6 +303,7 @@ ORACLES = {
     AS weight_sum FROM signals JOIN (VALUES ('critical', 0.15), ('high', 0.25), ('medium', 0.30),
     ('low', 0.30)) t(l, share) ON threat_level = l GROUP BY threat_level""",
     "scaled_features": _scaled(),
+    "scaled_features_daily": _scaled(),
     "fixed_center_anomaly": _distances(),
     "adjusted_scores": BASE
     + """SELECT id, greatest(0, least(100, trunc(0.6::DOUBLE * threat_score + 0.4::DOUBLE *
@@ -331,6 +339,9 @@ ORACLES = {
     "stream_trend": f"""{BASE}, kept AS (SELECT ts, greatest(0, least(100, trunc(0.6::DOUBLE * threat_score + 0.4::DOUBLE *
     CASE threat_level WHEN 'critical' THEN 100 WHEN 'high' THEN 70 WHEN 'medium' THEN 45 ELSE 10 END))) AS y
     FROM signals ORDER BY ts DESC, id DESC LIMIT 500){TREND}""",
+    "stream_first_seen": _FIRST_SEEN,
+    "stream_day_store": _PAGE,
+    "stream_segments": BASE + "SELECT id, ts, threat_score, threat_level FROM signals",
     "stream_dedup": _DEDUP,
     "stream_minute_counts": _MINUTES,
     "stream_level_counts": _LEVEL_TOTALS,

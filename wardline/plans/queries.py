@@ -16,6 +16,7 @@ from wardline.functions.rules import adjusted_score, category_name, score_to_lev
 from wardline.operators import (
     breach,
     clusters,
+    day_moments,
     dedup,
     events,
     geo,
@@ -27,9 +28,9 @@ from wardline.operators import (
     trend,
 )
 from wardline.plans import reports
-from wardline.sources import report_days, store, topic
+from wardline.sources import bucketed, day_store, report_days, segments, store, topic
 from wardline.sources import testdata as td
-from wardline.streaming import counters, ingest, live
+from wardline.streaming import counters, ingest, live, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,6 +185,15 @@ def dedup_signals(spark, sf_dir):
     return dedup.dedup_events(arrived.unionByName(arrived))
 
 
+@query
+def dedup_against_store(spark, sf_dir):
+    """Every event arrives twice; the even ones are in the store already."""
+    arrived = td.scored_events(spark, sf_dir).select("id", "ts", "threat_score")
+    stored = bucketed.save_bucketed(bucketed.keyed(arrived.filter("id % 2 = 0")), bucketed.KEY)
+    fresh = bucketed.new_events(arrived.unionByName(arrived), stored)
+    return spark.table(stored).unionByName(fresh).drop(bucketed.KEY)
+
+
 @query
 def first_seen_ip(spark, sf_dir):
     seen = td.signals(spark, sf_dir).select("ip", "id", "ts", "threat_score")
@@ -325,6 +335,23 @@ def scaled_features(spark, sf_dir):
     )
 
 
+@query
+def scaled_features_daily(spark, sf_dir):
+    """Features scaled by daily moments that were stored in two parts, the later days first."""
+    columns = enriched_signals(spark, sf_dir).select("id", "ts", *fv.FEATURES)
+    staged = store.stage(columns, "features")
+    middle = staged.agg(F.timestamp_seconds((F.unix_seconds(F.min("ts").cast("timestamp")) + F.unix_seconds(F.max("ts").cast("timestamp"))) / 2)).first()[0]
+    path = store.shared_dir(spark, "moments")
+    write = store.fold_writer(path, lambda rows: rows)
+    late = F.coalesce(F.col("ts").cast("timestamp") > F.lit(middle), F.lit(False))
+    parts = [day_moments.day_moments(staged.filter(part), list(fv.FEATURES)) for part in (late, ~late)]
+    for number, part in enumerate(parts):
+        write(part, number)
+    merged = day_moments.merge_moments(store.read_parts(spark, path, parts[0].schema))
+    scaled = day_moments.scale_by(staged, merged, list(fv.FEATURES), ["id"])
+    return scaled.select("id", *[(F.round(n, 6) + 0.0).alias(n) for n in fv.FEATURES])
+
+
 def fixed_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector = [F.col(name) for name in fv.FEATURES]
     nearest = scoring.nearest_centre(vector, FIXED_CENTRES).alias("nearest")
@@ -658,6 +685,51 @@ def stream_level_counts(spark, sf_dir):
     return counters.read_level_totals(spark, out)
 
 
+@query
+def stream_first_seen(spark, sf_dir):
+    """First observation of each ip, kept as state over the disordered arrivals."""
+    seen = event_stream(spark, sf_dir).select("ip", "id", "ts", "threat_score")
+    path, checkpoint = _paths(spark, "first-seen")
+    state.start_first_seen(seen, path, checkpoint, available_now=True).awaitTermination()
+    first = state.read_first_seen(spark, path, seen.schema)
+    return first.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query
+def stream_day_store(spark, sf_dir):
+    """The newest page from the store by day, into which every arrival was written twice."""
+    arrived = event_stream(spark, sf_dir).select("id", "ts", "threat_score")
+    path, checkpoint = _paths(spark, "days")
+    once = day_store.day_store_writer(path)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        once(batch, batch_id)
+        once(batch, batch_id)
+
+    writer = arrived.writeStream.foreachBatch(twice).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    page = day_store.newest(spark, path, arrived.schema, fv.PAGE_ROWS)
+    total = F.lit(day_store.stored_count(spark, path)).alias("total")
+    return page.select("id", F.col("ts").cast("timestamp_ntz").alias("ts"), "threat_score", total)
+
+
+@query
+def stream_segments(spark, sf_dir):
+    """Every event as a message of a stored topic, in two segments, read back by the stream source."""
+    path, checkpoint = _paths(spark, "segments")
+    level = score_to_level(F.col("threat_score"))
+    shown = td.signals(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("threat_level", level)
+    shown = shown.select(F.col("id").cast("string"), "ts", "threat_score", "threat_level")
+    for part in ("id % 2 = 0", "id % 2 = 1"):
+        segments.append_messages(topic.encode_signals(shown.filter(part)), f"{path}-topic")
+    stream = topic.decode_signals(segments.read_segments(spark, f"{path}-topic", "earliest"))
+    ingest.start_store(stream, path, checkpoint, available_now=True).awaitTermination()
+    back = ingest.read_store(spark, path, stream.schema)
+    return back.select(
+        F.col("id").cast("bigint"), F.col("ts").cast("timestamp_ntz").alias("ts"), "threat_score", "threat_level"
+    )
+
+
 def _scored_store(spark: SparkSession, sf_dir: str):
     model = model_for(spark, sf_dir)
     known = store.stage(reputations(spark, sf_dir), "reputation")
