@@ -17,8 +17,12 @@ from wardline.llm.common import documents_of, longs, texts
 # Fixed values of the file format: white space, and the words that the word pattern tells apart.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORDS = regex.compile(rf"\p{{L}}+|\p{{N}}|'(?:s|t|re|ve|m|ll|d)|[^{_SPACE}\p{{L}}\p{{N}}]+")
-# Words whose ids are remembered; forgotten all at once, so memory stays bounded.
+# Words whose ids are remembered, twice over: the older half goes when the younger one is full.
 REMEMBERED = 1 << 17
+# Words up to this many bytes are merged many at a time, and so many at once.
+SHORT_WORD, TOGETHER = 64, 8192
+# Characters of a piece of a text, and of the pieces that are encoded together.
+PIECE, LOOKED_AT = 1 << 16, 1 << 20
 # Symbols that a stream takes in beyond the lookahead before it looks for stable tokens.
 STEP = 128
 # Windows up to this length are merged by scanning, longer ones with a heap.
@@ -161,25 +165,131 @@ class WordEncoder:
         return merged([*(v.plain[b] for b in held[:-1]), v.last[held[-1]]], v.pairs)
 
 
-class Words(dict):
-    """Word to ids."""
+class PairTable:
+    """The merge list as an open-addressing table, to look up many pairs at once."""
+
+    NONE = np.int32(2**31 - 1)
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pairs: dict):
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.key = np.full(1 << bits, -1, np.int64)
+        self.rank = np.full(1 << bits, self.NONE, np.int32)
+        self.made = np.full(1 << bits, -1, np.int32)
+        for key, at in zip(pairs, self._home(np.fromiter(pairs, np.int64, len(pairs))).tolist()):
+            while self.key[at] >= 0:
+                at = (at + 1) & self.mask
+            self.key[at] = key
+            self.rank[at], self.made[at] = pairs[key]
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * self.FACTOR) >> self.shift).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and product of each pair; NONE where there is no merge. Negative symbols are padding."""
+        keys = np.where((left < 0) | (right < 0), np.int64(-2), left.astype(np.int64) << 32 | right)
+        at = self._home(keys)
+        todo = np.flatnonzero((self.key[at] != keys) & (self.key[at] >= 0) & (keys >= 0))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & self.mask
+            held = self.key[at[todo]]
+            todo = todo[(held != keys[todo]) & (held >= 0)]
+        hit = self.key[at] == keys
+        return np.where(hit, self.rank[at], self.NONE), np.where(hit, self.made[at], -1)
+
+
+def merged_together(words: list[list[int]], table: PairTable) -> list[tuple[int, ...]]:
+    """`merged` of many words: each round applies the earliest merge, from the left, in all of them."""
+    size = max(map(len, words)) + 1
+    symbols = np.full((len(words), size), -1, np.int32)
+    for row, word in zip(symbols, words):
+        row[: len(word)] = word
+    rank, made = (x.reshape(len(words), -1) for x in table.find(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()))
+    out = symbols.copy()
+    who, columns = np.arange(len(words)), np.arange(size - 1)
+    while len(who):
+        at = rank.argmin(axis=1)
+        rows = np.arange(len(who))
+        going = rank[rows, at] != table.NONE
+        if not going.all():
+            out[who[~going]] = symbols[~going]
+            who, symbols, rank, made, at = who[going], symbols[going], rank[going], made[going], at[going]
+            rows = np.arange(len(who))
+            if not len(who):
+                break
+        symbols[rows, at] = made[rows, at]
+        later = columns > at[:, None]
+        symbols[:, :-1] = np.where(later, symbols[:, 1:], symbols[:, :-1])
+        symbols[:, -1] = -1
+        for x, pad in ((rank, table.NONE), (made, -1)):
+            x[:, :-1] = np.where(later[:, :-1], x[:, 1:], x[:, :-1])
+            x[:, -1] = pad
+        for place in (at, at - 1):
+            own = rows[place >= 0]
+            there = place[own]
+            rank[own, there], made[own, there] = table.find(symbols[own, there], symbols[own, there + 1])
+    many = (out >= 0).sum(axis=1).tolist()
+    return [tuple(row[:n]) for row, n in zip(out.tolist(), many)]
+
+
+class Words:
+    """Ids of words; those seen lately are remembered in two generations."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        data, encoder, out = word.encode(), WordEncoder(self.vocabulary), []
-        if len(data) <= self.vocabulary.lookahead + STEP:
-            encoder.held = data
-        else:
-            for at in range(0, len(data), STEP):
-                out += encoder.feed(data[at : at + STEP])
-        out += encoder.finish()
-        if len(data) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = tuple(out)
-        return tuple(out)
+        self.vocabulary, self.table = vocabulary, PairTable(vocabulary.pairs)
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def _long(self, data: bytes) -> tuple[int, ...]:
+        """A long word through the transducer, a step at a time."""
+        encoder, out = WordEncoder(self.vocabulary), []
+        for at in range(0, len(data), STEP):
+            out += encoder.feed(data[at : at + STEP])
+        return tuple(out + encoder.finish())
+
+    def _encoded(self, words: list) -> dict:
+        found, short, v = {}, [], self.vocabulary
+        for word in words:
+            data = word.encode() if isinstance(word, str) else b""
+            if not data:
+                found[word] = (v.special[word[0]],)
+            elif len(data) > SHORT_WORD:
+                found[word] = self._long(data)
+            else:
+                short.append((len(data), word, data))
+        short.sort(key=lambda w: w[0])
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
+            symbols = [[*map(v.plain.__getitem__, data[:-1]), v.last[data[-1]]] for _, _, data in some]
+            found.update(zip((word for _, word, _ in some), merged_together(symbols, self.table)))
+        return found
+
+    def ids(self, words: list, cuts: list[int]) -> list[np.ndarray]:
+        """Ids of the words between each two cuts; each distinct word is looked up once."""
+        index: dict = dict.fromkeys(words)
+        known, missing = {}, []
+        for word in index:
+            ids = self.young.get(word) or self.old.get(word)
+            if ids is None:
+                missing.append(word)
+            else:
+                known[word] = ids
+        known.update(self._encoded(missing))
+        if len(self.young) + len(known) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        self.young.update((w, ids) for w, ids in known.items() if len(w) <= SHORT_WORD)
+        for i, word in enumerate(index):
+            index[word] = i
+        lists = [known[word] for word in index]
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))
+        which = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        many, first = size[which], (np.cumsum(size) - size)[which]
+        ends = np.cumsum(many)
+        ids = flat[np.arange(many.sum()) + np.repeat(first - (ends - many), many)]
+        bounds = np.concatenate([[0], ends])[cuts]
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 def lowered(text: str) -> str:
@@ -189,20 +299,61 @@ def lowered(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
-def encode(text: str, words: Words) -> np.ndarray:
-    """Ids of a text as the tokenizers library gives them without special tokens added."""
-    vocabulary, parts = words.vocabulary, [text]
-    if vocabulary.split is not None and any(t in text for t in vocabulary.special):
-        parts = vocabulary.split.split(text)
-
-    def ids():
-        for part in parts:
-            if part in vocabulary.special:
-                yield (vocabulary.special[part],)
-            else:
-                yield from map(words.__getitem__, WORDS.findall(lowered(part)))
+def pieces(text: str, limit: int = PIECE):
+    """A text in pieces of about `limit` characters that end before a space or line feed.
 
-    return np.fromiter(chain.from_iterable(ids()), np.int32)
+    No word, special token or composed character lies across such a place, so pieces may be encoded
+    apart. A word without end is cut by none; the transducer takes it in steps.
+    """
+    start = 0
+    while len(text) - start > limit:
+        cut = max(text.rfind(" ", start + 1, start + limit), text.rfind("\n", start + 1, start + limit))
+        if cut < 0:
+            ends = [at for c in " \n" if (at := text.find(c, start + limit)) >= 0]
+            if not ends:
+                break
+            cut = min(ends)
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
+
+
+def words_of(piece: str, vocabulary: Vocabulary) -> list:
+    """Words of a piece of text; a special token is a tuple of itself."""
+    if vocabulary.split is None or not any(t in piece for t in vocabulary.special):
+        return WORDS.findall(lowered(piece))
+    out: list = []
+    for part in vocabulary.split.split(piece):
+        if part in vocabulary.special:
+            out.append((part,))
+        else:
+            out += WORDS.findall(lowered(part))
+    return out
+
+
+def encode_all(texts_: list[str], words: Words) -> list[np.ndarray]:
+    """Ids of each text as the tokenizers library gives them without special tokens added.
+
+    Texts come piece by piece, and the pieces of about LOOKED_AT characters are encoded together: the
+    words and ids of no more than these are held beside the results.
+    """
+    out: list[list[np.ndarray]] = [[] for _ in texts_]
+    held, cuts, owners, size = [], [0], [], 0
+    for number, text in enumerate(texts_):
+        for piece in pieces(text):
+            held += words_of(piece, words.vocabulary)
+            cuts.append(len(held))
+            owners.append(number)
+            size += len(piece)
+            if size >= LOOKED_AT or number == len(texts_) - 1:
+                for owner, ids in zip(owners, words.ids(held, cuts)):
+                    out[owner].append(ids)
+                held, cuts, owners, size = [], [0], [], 0
+    return [np.concatenate(x) if len(x) > 1 else x[0] for x in out]
+
+
+def encode(text: str, words: Words) -> np.ndarray:
+    return encode_all([text], words)[0]
 
 
 class Decoder:
@@ -278,7 +429,7 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         words = _words(source.value)
         for keys, data, where in documents_of(batches, 4 << 20):
-            ids = [encode(data[a:b].decode(), words) for a, b in zip(where.tolist(), where[1:].tolist())]
+            ids = encode_all([data[a:b].decode() for a, b in zip(where.tolist(), where[1:].tolist())], words)
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
             yield pa.record_batch([pa.array(keys), lists], names=["doc_id", "ids"])
@@ -293,7 +444,7 @@ def code_texts(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         words = _words(source.value)
         for keys, data, where in documents_of(batches, 4 << 20):
-            ids = [encode(data[a:b].decode(), words) for a, b in zip(where.tolist(), where[1:].tolist())]
+            ids = encode_all([data[a:b].decode() for a, b in zip(where.tolist(), where[1:].tolist())], words)
             decoded = pa.array([_decoded(x, words.vocabulary) for x in ids], pa.string())
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
