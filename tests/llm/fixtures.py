@@ -11,6 +11,7 @@ def documents(spark, rows):
     full = [(i, t, g, s, len(t or "")) for i, t, g, s in rows]
     df = spark.createDataFrame(full, DOCS)
     extra = {"bucket": "1", "digest": "'x'", "rank": "2", "n": "3", "_m": "4", "keep_id": "5", "key": "6"}
+    extra |= {"_id": "7", "_text": "8", "_copies": "9", "_copy": "10", "row": "11", "copies": "12", "taken": "13", "h": "14"}
     return df.withColumns({name: F.expr(value) for name, value in extra.items()})
 
 

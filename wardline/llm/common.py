@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardline.sources.store import stage
 
-__all__ = ["stage", "table", "texts", "text_bytes", "buckets_for", "buffer", "unique_key_join"]
+__all__ = ["stage", "table", "texts", "packed", "text_bytes", "buckets_for", "buffer", "unique_key_join"]
 
 # Whitespace that separates words (space and the five controls from tab to carriage return).
 SPACES = b" \t\n\x0b\x0c\r"
@@ -32,6 +32,15 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     )
 
 
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """Whole rows as one column `row`, beside columns of our own: names of other columns cannot clash.
+
+    `select("row.*")` gives the rows back.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row"), *[column.alias(name) for name, column in more.items()])
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts: one aggregate over the text column."""
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import LEAST, documents_of, stage, texts, unique_key_join
+from wardline.llm.common import LEAST, documents_of, packed, stage, texts, unique_key_join
 
 SALTS = 16
 _LOCAL = "digest binary, salt int, norm binary, keep_id long, n long"
@@ -121,14 +121,17 @@ def _local_rows(size: int):
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, all columns; of rows that are equal in id and text, one stays."""
-    kept = exact_groups(docs).filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"))
-    kept = stage(kept.agg(F.count("*").alias("_rows")), "exact-kept")
+    """The rows of `docs` that stay, all columns; of rows that are equal in id and text, one stays.
+
+    A null text counts as empty, a null doc_id as the smallest long. Other columns may have any name
+    and value. An empty table gives an empty result.
+    """
+    kept = exact_groups(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("rows"))
+    kept = stage(kept, "exact-kept")
     norm = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    digest = F.sha2(norm.cast("binary"), 256)
-    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST)) == F.col("_id")) & (digest == F.col("_text"))
-    rows = docs.join(kept, same, "left_semi")
-    if kept.filter("_rows > 1").limit(1).count():
-        rows = rows.withColumns({"_id": F.coalesce("doc_id", F.lit(LEAST)), "_text": digest})
-        rows = rows.dropDuplicates(["_id", "_text"]).drop("_id", "_text")
-    return rows
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
+    rows = packed(docs, doc_id=doc_id, text_sha256=F.sha2(norm.cast("binary"), 256))
+    rows = rows.join(kept, ["doc_id", "text_sha256"], "left_semi")
+    if kept.filter("rows > 1").limit(1).count():
+        rows = rows.dropDuplicates(["doc_id", "text_sha256"])
+    return rows.select("row.*")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import LEAST, buckets_for, documents_of, longs, stage, text_bytes, texts, unique_key_join
+from wardline.llm.common import LEAST, buckets_for, documents_of, longs, packed, stage, text_bytes, texts, unique_key_join
 from wardline.llm.components import components
 from wardline.llm.suffix_dedup import _blob, _mixed, _unpacked, words_at
 
@@ -583,9 +583,15 @@ def link_documents(
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, of each component's smallest document."""
-    kept = link_documents(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST)) == F.col("_id"), "left_semi")
+    """The rows of `docs`, all columns, of each component's smallest document.
+
+    Texts without words are linked with nothing and stay, as do all rows of a doc_id that stays. A
+    null doc_id counts as the smallest long. Other columns may have any name and value. An empty
+    table gives an empty result.
+    """
+    kept = link_documents(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    rows = packed(docs, doc_id=F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)))
+    return rows.join(kept, "doc_id", "left_semi").select("row.*")
 
 
 def _shared_ids(members: DataFrame, entities: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import buckets_for, stage, unique_key_join
+from wardline.llm.common import buckets_for, packed, stage, unique_key_join
 
 WEIGHTS = (5, 2, 1)
 # A source's words are taken at most so many times.
@@ -208,11 +208,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     A document of which the mix takes x times its words comes floor(x) times, and once more if a
     number from its id, uniform over documents, is below the rest: so the words of whole documents
-    come near the words taken. Rows that share a doc_id are taken alike, by the words of all.
+    come near the words taken. Rows that share a doc_id are taken alike, by the words of all. Texts
+    without words have nothing to be taken. Other columns may have any name and value; a null doc_id
+    or source is one of its own. An empty table gives an empty result.
     """
-    taken = mix(docs).filter("size > 0").groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_times"))
+    taken = mix(docs).filter("size > 0").groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("times"))
     number = F.pmod(F.xxhash64("doc_id"), F.lit(DRAW[2])) / F.lit(float(DRAW[2]))
-    copies = F.floor("_times") + F.when(number < F.col("_times") - F.floor("_times"), 1).otherwise(0)
-    times = taken.select(F.col("doc_id").alias("_id"), copies.cast("int").alias("_copies")).filter("_copies > 0")
-    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[docs[c] for c in docs.columns])
+    copies = F.floor("times") + F.when(number < F.col("times") - F.floor("times"), 1).otherwise(0)
+    times = taken.select(F.col("doc_id").alias("taken_id"), copies.cast("int").alias("copies")).filter("copies > 0")
+    rows = packed(docs, doc_id=F.col("doc_id")).join(times, F.col("doc_id").eqNullSafe(F.col("taken_id")))
+    return rows.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("row.*")
