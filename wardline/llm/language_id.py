@@ -28,7 +28,7 @@ STRETCH = (5, 20)
 # Documents whose best language has a smaller part of the words than this are rejected.
 LEAST_SCORE = 0.3
 FLOOR = 1e-12
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 UNKNOWN = "und"
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LETTER = regex.compile(r"\p{L}")
@@ -313,7 +313,9 @@ def identify(docs: DataFrame, model: Field | None = None) -> DataFrame:
 def drop_unidentified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows of `docs` whose language is known: not "und", and most likely for enough words.
 
-    Each row is judged where it is read; nothing is shuffled.
+    Each row is judged where it is read; nothing is shuffled. Null and empty texts, and texts without
+    a letter, are "und" and go. Other columns may have any name and value. An empty table gives an
+    empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(fit(sample(docs)))
     return docs.mapInArrow(_keep(sent, "text", least_score), docs.schema)
