@@ -209,6 +209,10 @@ def test_a_key_column_is_probed_once(spark, monkeypatch):
     for _ in range(3):
         joins.known_hot_keys(spark.range(77).withColumnRenamed("id", "k"), "k", 5, 1.0)
     assert len(calls) == 1
+    # Batches of a stream are ever new plans: what is remembered stays bounded.
+    for i in range(joins.PROBES + 20):
+        joins.known_hot_keys(spark.range(1000 + i).withColumnRenamed("id", "k"), "k", 5, 1.0)
+    assert len(joins._probes) <= joins.PROBES
 
 
 def test_small_dims_are_broadcast(spark, tmp_path):

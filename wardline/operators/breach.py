@@ -70,3 +70,15 @@ def unbreached(requests: DataFrame, breaches: DataFrame) -> DataFrame:
     """Requested e-mails without any breach. Breach rows are reduced per e-mail first."""
     hit = breaches.select("email").distinct()
     return requests.select("email").distinct().join(hit, "email", "left_anti")
+
+
+def unbreached_by_kind(requests: DataFrame, leaks: DataFrame, kinds: list[str]) -> DataFrame:
+    """(kind, email): requested e-mails that no breach leaked that kind of data of.
+
+    `leaks` has (email, kind). Every e-mail is listed once per kind, and the pairs that leaked are
+    taken out by an anti join on both columns, reduced before the shuffle.
+    """
+    asked = requests.select("email").distinct()
+    every = asked.select(F.explode(F.array(*map(F.lit, kinds))).alias("kind"), "email")
+    hit = leaks.select("kind", "email").distinct()
+    return every.join(hit, ["kind", "email"], "left_anti")

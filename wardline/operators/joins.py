@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,15 +47,23 @@ def hot_keys(
     return [(row[0], int(row[1] / fraction / hot_rows) + 2) for row in top]
 
 
-_probes: dict[tuple, list[tuple]] = {}
+# Key columns whose hot keys are remembered; the one not asked for longest goes first.
+PROBES = 32
+_probes: OrderedDict[tuple, list[tuple]] = OrderedDict()
 
 
 def known_hot_keys(fact: DataFrame, key: str, hot_rows: int, fraction: float) -> list[tuple]:
-    """`hot_keys`, looked for once per session, plan of the key column and setting."""
+    """`hot_keys`, looked for once per session, plan of the key column and setting.
+
+    Each batch of a stream is a plan of its own, so only the last PROBES plans are remembered.
+    """
     column = fact.select(key)
     name = (fact.sparkSession.sparkContext.applicationId, column.semanticHash(), key, hot_rows, fraction)
     if name not in _probes:
         _probes[name] = hot_keys(column, key, hot_rows, fraction)
+        while len(_probes) > PROBES:
+            _probes.popitem(last=False)
+    _probes.move_to_end(name)
     return _probes[name]
 
 

@@ -277,6 +277,10 @@ ORACLES = {
     threat_level, names AS breaches, passwords, credit_cards, ssn FROM checks""",
     "unbreached_emails": BASE
     + "SELECT email FROM owners WHERE email NOT IN (SELECT email FROM breaches)",
+    "unbreached_by_kind": BASE
+    + """, kinds AS (SELECT * FROM (VALUES ('passwords', 'F'), ('credit_cards', 'O'), ('ssn', 'P')) t(kind, status))
+    SELECT kind, email FROM owners, kinds
+    WHERE (email, status) NOT IN (SELECT (email, leaked) FROM breaches)""",
     "geo_enriched": BASE
     + """SELECT ip, country, country_code,
     coalesce((SELECT max(f) FROM (VALUES ('CN','🇨🇳'),('RU','🇷🇺'),('US','🇺🇸'),('DE','🇩🇪'),('FR','🇫🇷'),
@@ -327,6 +331,8 @@ ORACLES = {
     "clusters_of_too_few": "SELECT 0 AS cluster, event_id AS id, 0.0::DOUBLE AS score FROM events WHERE false",
     "rf_checks": """SELECT count(*) AS n, count(*) AS labelled, count(*) AS whole, count(*) AS confident,
     count(*) AS blended FROM events""",
+    "driver_checks": """SELECT count(*) AS n, count(*) AS three, count(*) AS falling, count(*) AS strongest,
+    11 AS features, true AS positive, true AS whole FROM events""",
     "kmeans_checks": "SELECT count(*) AS n, count(*) AS nearest, count(*) AS named, count(*) AS far FROM events",
     "split_checks": """SELECT count(*) AS n, least(count(DISTINCT floor(value)), 2) AS parts,
     count(DISTINCT floor(value)) > 1 AS apart FROM events""",

@@ -287,6 +287,13 @@ def unbreached_emails(spark, sf_dir):
     return breach.unbreached(td.owners(spark, sf_dir), td.breached_emails(spark, sf_dir))
 
 
+@query
+def unbreached_by_kind(spark, sf_dir):
+    """E-mails without a breach that leaked passwords, cards or ids."""
+    kinds = list(td.LEAK_KINDS.values())
+    return breach.unbreached_by_kind(td.owners(spark, sf_dir), td.leaked_kinds(spark, sf_dir), kinds)
+
+
 # Geolocation
 
 
@@ -460,6 +467,28 @@ def risk_drivers(spark, sf_dir):
     return scoring.risk_driver_rows(spark, model_for(spark, sf_dir))
 
 
+@query
+def driver_checks(spark, sf_dir):
+    """Of the importances: how many, all non-negative, adding to 1; of the drivers in the scored rows:
+    how many, weights falling, named like the strongest features, and as many rows as events."""
+    model = model_for(spark, sf_dir)
+    weights = [weight for _, weight in model.importances]
+    drivers = F.col("risk_drivers")
+    falling = F.array_sort(drivers["weight"])
+    names = F.array(*[F.lit(name) for name, _ in model.importances[: fv.TOP_DRIVERS]])
+    return scored_signals(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n"),
+        *_holds(
+            three=F.size(drivers) == fv.TOP_DRIVERS,
+            falling=F.reverse(falling) == drivers["weight"],
+            strongest=drivers["factor"] == names,
+        ),
+        F.lit(len(weights)).alias("features"),
+        F.lit(all(w >= 0 for w in weights)).alias("positive"),
+        F.lit(abs(sum(weights) - 1) < 1e-6).alias("whole"),
+    )
+
+
 @query
 def email_scores(spark, sf_dir):
     scored = scoring.score_records(email_checks(spark, sf_dir), model_for(spark, sf_dir), "email")

@@ -177,6 +177,16 @@ def breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed values of the derived tables: what an order of a status leaked.
+LEAK_KINDS = {"F": "passwords", "O": "credit_cards", "P": "ssn"}
+
+
+def leaked_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(email, kind) of every breach hit."""
+    kind = literal_map(LEAK_KINDS)[F.col("leaked")]
+    return breaches(spark, sf_dir).select(email_of(F.col("c_custkey")).alias("email"), kind.alias("kind"))
+
+
 def breached_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breaches(spark, sf_dir).select(email_of(F.col("c_custkey")).alias("email"))
 
@@ -211,8 +221,8 @@ def breach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def breach_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON answer of the breach-analytics service per e-mail."""
-    kinds = {"passwords": "F", "credit_cards": "O", "ssn": "P"}
-    counts = [F.count_if(F.col("leaked") == code).alias(kind) for kind, code in kinds.items()]
+    kinds = LEAK_KINDS.values()
+    counts = [F.count_if(F.col("leaked") == code).alias(kind) for code, kind in LEAK_KINDS.items()]
     return _per_email(spark, sf_dir, *counts).select(
         "email", F.to_json(F.struct(F.struct(*kinds).alias("BreachMetrics"))).alias("payload")
     )
