@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators import day_moments, dedup, recent
 from wardline.sources import bucketed, day_store, segments, store
-from wardline.streaming import state
+from wardline.streaming import live, state
 
 T0 = datetime(2024, 1, 1)
 EVENTS = "id bigint, ts timestamp, ip string, threat_score int"
@@ -47,6 +47,27 @@ def test_first_seen_in_any_order_over_restarts(spark, tmp_path):
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
+# Known reputations
+
+
+def test_the_reputation_table_is_read_for_new_addresses_only(spark, tmp_path):
+    table, path = str(tmp_path / "reputation"), str(tmp_path / "known")
+    spark.createDataFrame([(f"ip{i}", i) for i in range(10)], "requested_ip string, score int").write.parquet(table)
+    read = lambda: spark.read.schema("requested_ip string, score int").parquet(table)
+    asked = lambda *names: spark.createDataFrame([(n,) for n in names], "requested_ip string")
+    look_up = live.known_reputations(path, read(), fold=2)
+    for _ in range(2):
+        assert rows(look_up(asked("ip1", "ip2", "stranger"), 0)) == [("ip1", 1), ("ip2", 2)]
+    assert rows(look_up(asked("ip2", "ip3"), 1)) == [("ip2", 2), ("ip3", 3)]
+    # All are known now: the table may be gone.
+    for file in (tmp_path / "reputation").iterdir():
+        file.rename(tmp_path / f"gone-{file.name.strip('.')}")
+    look_up = live.known_reputations(path, spark.createDataFrame([], read().schema), fold=2)
+    for number in range(2, 7):
+        assert rows(look_up(asked("ip3", "ip1", "stranger"), number)) == [("ip1", 1), ("ip3", 3)]
+    assert rows(look_up(asked(), 7)) == []
+
+
 # Day store
 
 

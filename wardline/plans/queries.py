@@ -764,8 +764,9 @@ def _scored_store(spark: SparkSession, sf_dir: str):
     known = store.stage(reputations(spark, sf_dir), "reputation")
     path, checkpoint = _paths(spark, "scored")
     live.start_scoring(
-        event_stream(spark, sf_dir), known, model, path, checkpoint, td.customers(spark, sf_dir), available_now=True
-    ).awaitTermination()
+        event_stream(spark, sf_dir), known, model, path, checkpoint, td.customers(spark, sf_dir),
+        available_now=True, known=f"{path}-known",
+    ).awaitTermination()
     sample = live.score_signals(
         td.signals(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), known, model
     )

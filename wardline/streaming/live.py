@@ -13,7 +13,7 @@ from wardline.operators.reputation import KEY, enrich_signals
 from wardline.operators.scoring import score_records
 from wardline.operators.training import ThreatModel
 from wardline.operators.trend import MOMENTS, bucket_moments, bucket_of, newest_buckets, score_trend, trend_of_moments
-from wardline.sources.store import FOLD, add_up, batch_writer, fold_writer, read_batches, read_parts
+from wardline.sources.store import FOLD, add_up, batch_writer, fold_writer, numbered, read_batches, read_parts
 from wardline.streaming.ingest import _start
 
 RESULTS = (
@@ -33,6 +33,30 @@ def score_signals(
     return score_records(described, model).select(*RESULTS)
 
 
+def known_reputations(path: str, reputation: DataFrame, fold: int = FOLD):
+    """Function (asked, batch id) that gives the reputations of a batch's addresses, from the folder `path`.
+
+    The folder keeps what was looked up before, and of addresses without a record that there is none. Only
+    for addresses that no batch asked for is `reputation` read; a batch without such leaves it alone. A
+    batch that is written again finds its addresses there already.
+    """
+    marked = reputation.withColumn("_found", F.lit(True))
+    schema = marked.schema
+
+    def look_up(asked: DataFrame, batch_id: int) -> DataFrame:
+        spark = asked.sparkSession
+        if batch_id not in numbered(spark, path, "part"):
+            fresh = asked.join(read_parts(spark, path, schema).select(KEY), KEY, "left_anti").persist()
+            try:
+                found = fresh.join(marked, KEY, "left") if fresh.limit(1).count() else spark.createDataFrame([], schema)
+                fold_writer(path, lambda rows: rows, fold)(found.select(*schema.names), batch_id)
+            finally:
+                fresh.unpersist()
+        return read_parts(spark, path, schema).filter("_found").drop("_found").join(asked, KEY, "left_semi")
+
+    return look_up
+
+
 def start_scoring(
     signals: DataFrame,
     reputation: DataFrame,
@@ -41,21 +65,23 @@ def start_scoring(
     checkpoint: str,
     bounded_by: DataFrame | None = None,
     available_now: bool = False,
+    known: str | None = None,
 ) -> StreamingQuery:
     """Score a stream of signals batch by batch.
 
     Each batch is a plain frame, so it gets the same hot-key handling as a batch job. It is held
     while it is scored, as the search for hot keys and the scoring both read it. `reputation` should
-    be a stored table: it is read again for every batch, reduced to the batch's addresses.
+    be a stored table: it is read again for every batch, reduced to the batch's addresses, or, with
+    a folder `known`, for addresses that come for the first time (`known_reputations`).
     """
     write = batch_writer(path)
+    look_up = known_reputations(known, reputation) if known else lambda asked, _: reputation.join(asked, KEY, "left_semi")
 
     def score(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
-            asked = held.select(F.col("ip").alias(KEY)).distinct()
-            known = reputation.join(asked, KEY, "left_semi")
-            write(score_signals(held, known, model, bounded_by), batch_id)
+            asked = held.filter("ip is not null").select(F.col("ip").alias(KEY)).distinct()
+            write(score_signals(held, look_up(asked, batch_id), model, bounded_by), batch_id)
         finally:
             held.unpersist()
 
