@@ -83,3 +83,16 @@ def test_shards_hold_the_blocks_of_words_that_the_mix_takes(spark):
             taken[doc] += 1
     assert sum(len(r.words) < mixing.BLOCK for r in blocks) <= 4 * mixing.REPEATS
     assert all(r.taken == taken[r.doc_id] for r in mixing.mix(docs, shard=64).collect())
+
+
+def test_sources_alternate_within_a_shard(spark):
+    rows = [(i, "w " * 100, None, f"s{i % 5}") for i in range(300)]
+    blocks = mixing.mixed_blocks(fixtures.documents(spark, rows), shard=256).orderBy("shard", "slot").collect()
+    shards = defaultdict(list)
+    for r in blocks:
+        shards[r.shard].append((r.slot, r.source))
+    for placed in shards.values():
+        assert [slot for slot, _ in placed] == list(range(len(placed)))
+        changes = sum(a[1] != b[1] for a, b in zip(placed, placed[1:]))
+        even = sum(1 - sum(s == t for _, t in placed) / len(placed) for _, s in placed)
+        assert len(placed) < 20 or changes > 0.7 * even

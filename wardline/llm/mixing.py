@@ -180,9 +180,13 @@ def mixed_blocks(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS, block
     """shard, slot, source, words: the mixed shards, a row per slot with its block's words in order.
 
     The draws and blocks are those of `mix`, whose `taken` counts these words by document. A slot
-    beyond `repeats` rounds of its source has no row; the last block of a source may be short.
+    beyond `repeats` rounds of its source has no row; the last block of a source may be short. The
+    slots of a shard are shuffled by a hash of their number, so its sources alternate.
     """
     placed, slots = _drawn(docs, weights, repeats, block, shard, "text")
+    # A shard has `shard` slots at most.
+    shuffled = Window.partitionBy("shard").orderBy(F.xxhash64("shard", "at"), "at")
+    slots = slots.withColumn("at", (F.row_number().over(shuffled) - 1).cast("long"))
     low = F.floor(F.col("start") / block).cast("long")
     high = F.floor((F.col("start") + F.col("size") - 1) / block).cast("long")
     # Words are found once per document, and cut at the block bounds.
