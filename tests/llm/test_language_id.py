@@ -68,6 +68,26 @@ def test_words_of_mixed_texts_are_told_apart(spark):
     assert found["de"] > 0.3 and found["es"] > 0.3
 
 
+def test_runs_of_words_in_code_switched_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(language_id.sample(docs))
+    by_lang = {r.lang: " ".join(r.text.split()[:60]) for r in docs.filter("n_chars > 800").collect()}
+    order = ["de", "es", "en", "de"]
+    mixed = " ".join(by_lang[g] for g in order)
+    rows = [(1, mixed, None, None), (2, by_lang["fr"], None, None), (3, None, None, None), (4, "12 !?", None, None)]
+    found = language_id.language_runs(fixtures.documents(spark, rows), model).orderBy("doc_id", "run").collect()
+    runs = [r for r in found if r.doc_id == 1]
+    assert {r.doc_id for r in found} == {1, 2} and [r.run for r in runs] == list(range(len(runs)))
+    assert all(b.first_word == a.first_word + a.words and a.lang != b.lang for a, b in zip(runs, runs[1:]))
+    labels = [r.lang for r in runs for _ in range(r.words)]
+    sizes = [len(by_lang[g].split()) for g in order]
+    assert len(labels) == sum(sizes)
+    gold = [g for g, n in zip(order, sizes) for _ in range(n)]
+    assert sum(a == b for a, b in zip(labels, gold)) > 0.8 * len(gold)
+    assert all(0 < r.score <= 1 for r in runs)
+    assert language_id.language_runs(fixtures.empty(spark)).count() == 0
+
+
 def test_odd_rows_and_no_labels(spark):
     rows = fixtures.odd_rows() + [(30, "123 !? 😀", "en", "s"), (None, "das ist gut", "de", "s")]
     docs = fixtures.documents(spark, rows)

@@ -276,23 +276,65 @@ def _keep(field, text: str, least_score: float):
     return run
 
 
-def language_shares(data: bytes, where: np.ndarray, model: Field) -> np.ndarray:
-    """Mean probability of each language over the words of each text (texts in lower case)."""
+def word_marginals(data: bytes, where: np.ndarray, model: Field):
+    """(first byte, end, offsets, probabilities of the languages) of the words of texts in lower case."""
     start, end, offsets = split_words(data, where)
-    out = np.zeros((len(where) - 1, model.weights.shape[1]))
     if not len(start):
-        return out
+        return start, end, offsets, np.zeros((0, model.weights.shape[1]), np.float32)
     # Equal words have equal scores: features are made once for each.
     _, first, back = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
     words = [data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
     score = emissions(words, model.weights).astype(np.float32)[back]
-    found = marginals(score, model.moves.astype(np.float32), offsets)
+    return start, end, offsets, marginals(score, model.moves.astype(np.float32), offsets)
+
+
+def language_shares(data: bytes, where: np.ndarray, model: Field) -> np.ndarray:
+    """Mean probability of each language over the words of each text (texts in lower case)."""
+    _, _, offsets, found = word_marginals(data, where, model)
+    out = np.zeros((len(where) - 1, model.weights.shape[1]))
     many = np.diff(offsets)
     some = many > 0
-    out[some] = np.add.reduceat(found, offsets[:-1][some], axis=0, dtype=np.float64) / many[some, None]
+    if some.any():
+        out[some] = np.add.reduceat(found, offsets[:-1][some], axis=0, dtype=np.float64) / many[some, None]
     return out
 
 
+_RUNS = "doc_id long, run int, first_word int, words int, lang string, score double"
+
+
+def _runs(field):
+    def run(batches):
+        for ids, data, where in documents_of(batches, BLOCK_BYTES):
+            model, rows = field.value, []
+            low = [data[a:b].decode().lower() for a, b in zip(where.tolist(), where[1:].tolist())]
+            parts = [t.encode() if model.names and _LETTER.search(t) else b"" for t in low]
+            _, _, offsets, found = word_marginals(b"".join(parts), np.cumsum([0, *map(len, parts)]), model)
+            best = found.argmax(axis=1) if len(found) else np.empty(0, np.int64)
+            sure = found.max(axis=1, initial=0)
+            for doc_id, a, b in zip(ids.tolist(), offsets.tolist(), offsets[1:].tolist()):
+                cuts = [a, *(a + 1 + np.flatnonzero(np.diff(best[a:b]))).tolist(), b] if b > a else []
+                for k, (x, y) in enumerate(zip(cuts, cuts[1:])):
+                    rows.append((doc_id, k, x - a, y - x, model.names[best[x]], float(sure[x:y].mean(dtype=np.float64))))
+            names = [c.split()[0] for c in _RUNS.split(", ")]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64())
+            columns = zip(*rows) if rows else [[] for _ in names]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return run
+
+
+def language_runs(docs: DataFrame, model: Field | None = None) -> DataFrame:
+    """doc_id, run, first_word, words, lang, score: the runs of words of one language in every whole text.
+
+    Each word gets the language that forward-backward finds most likely for it; words in a row with
+    the same one are a run, numbered from 0, and `score` is their mean probability. Texts that
+    `identify` calls "und" have no run. Nulls, repeats and empty tables as there.
+    """
+    model = fit(sample(docs)) if model is None else model
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return texts(docs).mapInArrow(_runs(sent), _RUNS)
+
+
 def identify(docs: DataFrame, model: Field | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every whole text.
 
