@@ -329,7 +329,7 @@ def _shared(window: int, gram: int, parts: int):
         owner[number[~again]] = doc[~again]
         start = np.cumsum(length) - length
         anchor = anchors_by_string(data, start, length, gram)
-        least = _owners_by_string(data, start, length, anchor, owner, window)
+        least = _owners_by_string(data, start, length, anchor, owner, window, gram)
         # Occurrences in documents whose group already has an earlier copy go as a whole.
         spans = [(doc[again], key[again], place[again], place[again] + length[number[again]])]
         if least is not None:
@@ -351,7 +351,46 @@ def _shared(window: int, gram: int, parts: int):
     return run
 
 
-def _owners_by_string(data, start, length, anchor, owner, window):
+def near_anchor(data: np.ndarray, begin, length, anchor, owner, window: int, gram: int) -> np.ndarray:
+    """Whether a string may share a window with one of another owner.
+
+    A shared window holds the anchor and `window - gram` bytes more, at least half of them on one
+    side of it: two such strings agree in that half before the anchor or behind it. So only strings
+    whose half is found in strings of different owners can share any. Hashes may call more strings
+    alike, never fewer. Where a string has its anchor more than once, all with that anchor may.
+    """
+    eights = words_at(data.tobytes())
+    hashes = gram_hashes(eights, gram)
+    many = length - gram + 1
+    row = np.repeat(np.arange(len(begin)), many)
+    at = np.arange(many.sum()) + np.repeat(begin - (np.cumsum(many) - many), many)
+    hit = np.flatnonzero(hashes[at] == anchor[row])
+    row, at = row[hit], at[hit]
+    times = np.bincount(row, minlength=len(begin))
+    place = np.zeros(len(begin), np.int64)
+    place[row[::-1]] = at[::-1]
+    out = np.isin(anchor, anchor[times != 1])
+    half = -(-(window - gram) // 2)
+    if half < 8:
+        return np.ones(len(begin), bool)
+    steps = [*range(0, half - 7, 8), half - 8]
+    for first, fits in ((place + gram, place + gram + half <= begin + length), (place - half, place - half >= begin)):
+        own = np.flatnonzero(fits & ~out)
+        key = anchor[own]
+        for step in steps:
+            key = _mixed(key + eights[first[own] + step] * _M3)
+        order = np.argsort(key, kind="stable")
+        own, key = own[order], key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        heads = np.flatnonzero(new)
+        if len(heads):
+            apart = np.minimum.reduceat(owner[own], heads) != np.maximum.reduceat(owner[own], heads)
+            out[own[apart[np.cumsum(new) - 1]]] = True
+    return out
+
+
+def _owners_by_string(data, start, length, anchor, owner, window, gram):
     """(string numbers, which of their windows an earlier document has), for strings with some."""
     order = np.argsort(anchor, kind="stable")
     new = np.ones(len(order), bool)
@@ -368,9 +407,13 @@ def _owners_by_string(data, start, length, anchor, owner, window):
     begin = np.cumsum(size) - size
     head = first_of_equal(words_at(flat.tobytes()), begin, size, who)
     heads, index = np.unique(head, return_inverse=True)
-    # A string that has its anchor to itself shares no window with another: its windows are its owner's.
+    # A string that shares no window with another stays out of the collection: its windows are its owner's.
     _, kind, many = np.unique(anchor[shared[heads]], return_inverse=True, return_counts=True)
-    met = many[kind] > 1
+    met = np.flatnonzero(many[kind] > 1)
+    if len(met):
+        own = heads[met]
+        met = met[near_anchor(flat, begin[own], size[own], anchor[shared[own]], who[own], window, gram)]
+    met = np.bincount(met, minlength=len(heads)) > 0
     least = np.full((len(heads), int(size.max()) - window + 1), _NONE, np.int64)
     inside = np.arange(least.shape[1]) < (size[heads] - window + 1)[:, None]
     least[~met] = np.where(inside[~met], who[heads[~met]][:, None], _NONE)
