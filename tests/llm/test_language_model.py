@@ -78,15 +78,48 @@ class Sent:
         self.value = value
 
 
-def test_rounds_train_on_every_training_text_once():
-    rows = [(i, f"text {i} of {i % 7} some words " * (1 + i % 5)) for i in range(200)]
-    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=["doc_id", "text"])
+def small_vocabulary():
     words, counts = np.array([0, 37, 69], np.uint64), np.array([10, 50, 20], np.int64)
     totals = np.bincount(lm.kinds_of(words), counts, lm.KINDS).astype(np.int64)
-    vocabulary = lm.Counts(totals, np.bincount(lm.kinds_of(words), minlength=lm.KINDS), words, counts).vocabulary(lm.CLASSES**2)
-    model = lm.Model(vocabulary.weights)
-    copies = [c for k in range(lm.ROUNDS) for c in lm._replica(Sent(model), Sent(vocabulary), k)(iter([batch]))]
-    assert sum(c.column("seen")[0].as_py() for c in copies) == sum(len(t.split()) + 1 for i, t in rows if not lm.held_out(i))
+    return lm.Counts(totals, np.bincount(lm.kinds_of(words), minlength=lm.KINDS), words, counts).vocabulary(lm.CLASSES**2)
+
+
+def test_rounds_train_on_every_training_text_once(spark):
+    rows = [(i, f"text {i} of {i % 7} some words " * (1 + i % 5), None, None) for i in range(200)]
+    docs, vocabulary = lm.texts(fixtures.documents(spark, rows)), small_vocabulary()
+    context = spark.sparkContext
+    sent = context.broadcast(lm.Model(vocabulary.weights)), context.broadcast(vocabulary)
+    copies = [r for k in range(lm.ROUNDS) for r in lm.copies_of(docs, *sent, 5, k).collect()]
+    assert len(copies) == 5 * lm.ROUNDS
+    assert sum(r.seen for r in copies) == sum(len(t.split()) + 1 for i, t, *_ in rows if not lm.held_out(i))
+
+
+def test_sums_of_copies_do_not_depend_on_how_they_are_added(spark, monkeypatch):
+    rows = [(i, f"text {i} of {i % 7} some words " * (1 + i % 5), None, None) for i in range(200)]
+    docs, vocabulary = lm.texts(fixtures.documents(spark, rows)), small_vocabulary()
+    monkeypatch.setattr(lm, "SHARD_BYTES", 1500)
+    flat = []
+    for groups, fan in ((1000, 64), (2, 3)):
+        monkeypatch.setattr(lm, "GROUPS", groups)
+        monkeypatch.setattr(lm, "FAN", fan)
+        flat.append(lm.train(docs, vocabulary, lm.text_bytes(docs)).flat())
+    assert flat[0] == pytest.approx(flat[1], rel=1e-5, abs=1e-6)
+
+
+def test_partitions_change_nothing(spark, monkeypatch):
+    """The same texts in any number of partitions give the same model, and it learns."""
+    monkeypatch.setattr(lm, "SHARD_BYTES", 1 << 18)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = []
+    for many in (1, 16, 64):
+        got = lm.score_documents(docs.repartition(many)).collect()
+        found.append({r.doc_id: (r.base_score, r.score) for r in got})
+        held = [r for r in got if r.held_out]
+        assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        for i, pair in found[0].items():
+            assert other[i] == pytest.approx(pair, rel=1e-6, abs=1e-6)
 
 
 def check(rows, want):

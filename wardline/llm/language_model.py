@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import buckets_for, documents_of, stage, text_bytes, texts
+from wardline.llm.common import buckets_for, crc_mod, documents_of, stage, text_bytes, texts
 from wardline.llm.jaccard_join import _by_bucket, word_hashes
 from wardline.llm.suffix_dedup import _TEXTS, _blob, _grouped, _mixed, _texts_of, _unpacked
 
@@ -19,19 +19,24 @@ FOLDS, HELD_FOLD = 7, 2
 # Words of the model's vocabulary, with the end and the unknown word: CLASSES * CLASSES entries.
 CLASSES = 32
 HIDDEN = 16
-# Words of a window of truncated backpropagation, and streams of texts side by side.
-WINDOW, BATCH = 32, 16
+# Words of a window of truncated backpropagation, and words that are scored at a time.
+WINDOW, SCORED = 16, 32
+# Streams of texts side by side: as many as leave UPDATES windows, within these bounds. The rate is that of
+# the fewest and grows with the root of their number.
+STREAMS, UPDATES = (16, 256), 200
 RATE, CLIP = 0.05, 5.0
 # Training rounds; each takes one in ROUNDS of the training texts, chosen by a hash of the text, so
 # that together they take every text once.
 ROUNDS = 2
+# Text behind a training shard, whose texts train one copy of the model.
+SHARD_BYTES = 16 << 20
 # Words with at least one in FREQUENT of all places are looked up in a table sent to the tasks.
 FREQUENT = 65_536
 # Text behind a bucket of words, texts that are split into words at a time, and a group of documents.
 BUCKET_BYTES = 48 << 20
 BLOCK_BYTES, SCORED_BYTES = 4 << 20, 16 << 20
-# Models of tasks are averaged in so many groups before the driver averages the rest.
-GROUPS = 16
+# Copies that are added up in one task, and sums that may reach the driver.
+FAN, GROUPS = 64, 16
 END, UNKNOWN = 0, 1
 # Kinds of words by their ending; a word outside the vocabulary is known by its kind. Low bits of a
 # word's hash hold it.
@@ -342,19 +347,21 @@ class Trainer:
     """Adagrad over windows of texts, states carried from window to window."""
 
     def __init__(self, model: Model):
-        self.model, self.seen = model, 0
+        self.model, self.seen, self.rate = model, 0, np.float32(RATE)
         self.sums = {name: np.full_like(getattr(model, name), 1e-3) for name in Model.NAMES}
 
     def texts(self, tokens: list[np.ndarray]) -> None:
-        """Trains on texts as word numbers, the end last, laid end to end in BATCH streams."""
+        """Trains on texts as word numbers, the end last, laid end to end in streams."""
         flat = np.concatenate(tokens)
-        size = -(-len(flat) // BATCH)
-        goal = np.full(BATCH * size, END, np.int32)
+        many = int(np.clip(len(flat) // (WINDOW * UPDATES), *STREAMS))
+        self.rate = np.float32(RATE * math.sqrt(many / STREAMS[0]))
+        size = -(-len(flat) // many)
+        goal = np.full(many * size, END, np.int32)
         goal[: len(flat)] = flat
-        live = (np.arange(BATCH * size) < len(flat)).reshape(BATCH, size).T
-        goal = goal.reshape(BATCH, size).T
-        ids = np.concatenate([np.full((1, BATCH), END, np.int32), goal[:-1]])
-        state = np.zeros((BATCH, self.model.back.shape[0]), np.float32)
+        live = (np.arange(many * size) < len(flat)).reshape(many, size).T
+        goal = goal.reshape(many, size).T
+        ids = np.concatenate([np.full((1, many), END, np.int32), goal[:-1]])
+        state = np.zeros((many, self.model.back.shape[0]), np.float32)
         for at in range(0, size, WINDOW):
             window = slice(at, at + WINDOW)
             d, state, count = gradients(self.model, ids[window], goal[window], live[window], state)
@@ -369,51 +376,76 @@ class Trainer:
                 continue
             g = g * np.float32(shrink)
             self.sums[name] += g**2
-            getattr(self.model, name)[...] -= RATE * g / np.sqrt(self.sums[name])
+            getattr(self.model, name)[...] -= self.rate * g / np.sqrt(self.sums[name])
 
 
-def _replica(model, vocabulary, number: int, rounds: int = ROUNDS):
-    """Trains a copy of the model on those of a task's training texts that belong to the round."""
+_COPY = "number long, weights binary, seen long"
 
-    def run(batches):
+
+def _copy_row(number: int, weights: np.ndarray, seen: int) -> pa.Table:
+    columns = [pa.array([number], pa.int64()), pa.array([_blob(weights)], pa.binary()), pa.array([seen], pa.int64())]
+    return pa.table(columns, names=[c.split()[0] for c in _COPY.split(", ")])
+
+
+def _replica(model, vocabulary):
+    """Trains a copy of the model on a shard's texts, in the order of their ids and contents."""
+
+    def run(table: pa.Table) -> pa.Table:
         trainer, words = Trainer(model.value.copied()), vocabulary.value
-        for ids, data, where in documents_of(batches, BLOCK_BYTES):
-            pick = [i for i, d in enumerate(ids.tolist()) if not held_out(d) and zlib.crc32(data[where[i] : where[i + 1]]) % rounds == number]
-            if not pick:
-                continue
-            parts = [data[where[i] : where[i + 1]] for i in pick]
-            tokens, ends = tokens_of(b"".join(parts), np.cumsum([0, *map(len, parts)]))
-            numbers = words.lookup(tokens)
-            trainer.texts([numbers[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())])
-        if trainer.seen:
-            group = zlib.crc32(trainer.model.flat().tobytes()) % GROUPS
-            weights = _blob(trainer.model.flat().astype(np.float64) * trainer.seen)
-            yield pa.record_batch(
-                [pa.array([group], pa.int32()), pa.array([weights], pa.binary()), pa.array([trainer.seen], pa.int64())],
-                names=["part", "weights", "seen"],
-            )
+        ids, data, where = _texts_of(table)
+        bounds = list(zip(where.tolist(), where[1:].tolist()))
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], data[bounds[i][0] : bounds[i][1]]))
+        numbers = [words.lookup(t) for t in _tokens(data, where)]
+        trainer.texts([numbers[i] for i in order])
+        flat = trainer.model.flat().astype(np.float64) * trainer.seen
+        return _copy_row(table.column("part")[0].as_py(), flat, trainer.seen)
 
     return run
 
 
-def _added(table: pa.Table) -> pa.Table:
-    total = sum(_unpacked(v, np.float64) for v in table.column("weights").to_pylist())
-    seen = sum(table.column("seen").to_pylist())
-    return pa.table({"weights": pa.array([_blob(total)], pa.binary()), "seen": pa.array([seen], pa.int64())})
+def _added(many: int):
+    """The sum of some copies, always in the same order."""
+
+    def run(table: pa.Table) -> pa.Table:
+        numbers = table.column("number").to_pylist()
+        order = np.argsort(numbers, kind="stable").tolist()
+        weights, seen = table.column("weights").to_pylist(), table.column("seen").to_pylist()
+        total = _unpacked(weights[order[0]], np.float64).copy()
+        for i in order[1:]:
+            total += _unpacked(weights[i], np.float64)
+        return _copy_row(numbers[0] % many, total, sum(seen))
+
+    return run
+
+
+def copies_of(docs: DataFrame, model, vocabulary, shards: int, number: int, rounds: int = ROUNDS) -> DataFrame:
+    """The copies that the shards' training texts of one round train: number, weights, seen.
+
+    A text's shard follows from its id and content, its round from its content alone.
+    """
+    own = docs.filter((crc_mod(F.col("doc_id"), FOLDS) != HELD_FOLD) & (F.crc32(F.col("text").cast("binary")) % rounds == number))
+    own = own.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+    dealt = own.mapInArrow(_grouped(shards, BLOCK_BYTES), _TEXTS).groupBy("part")
+    return dealt.applyInArrow(_replica(model, vocabulary), _COPY)
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Model:
+def train(docs: DataFrame, vocabulary: Vocabulary, size: int, rounds: int = ROUNDS) -> Model:
     """The model trained on every training text once, one in `rounds` of them per round.
 
-    In a round every task trains a copy on its texts by truncated backpropagation; the copies are
-    averaged, weighted by their words, within GROUPS groups and then on the driver, which so gets
-    GROUPS models of fixed size at any size of the input.
+    There are as many shards as `size` bytes of text ask for, and who is in which follows from the
+    texts: so the same texts train the same copies however they are partitioned. In a round each
+    shard's texts train a copy by truncated backpropagation; the copies are added up, weighted by
+    their words, FAN at a time until the driver gets GROUPS of fixed size at most, and averaged.
     """
     context = docs.sparkSession.sparkContext
     model, sent = Model(vocabulary.weights), context.broadcast(vocabulary)
+    shards = buckets_for(size, SHARD_BYTES, least=1)
     for number in range(rounds):
-        copies = docs.mapInArrow(_replica(context.broadcast(model), sent, number, rounds), "part int, weights binary, seen long")
-        rows = copies.groupBy("part").applyInArrow(_added, "weights binary, seen long").collect()
+        copies, many = copies_of(docs, context.broadcast(model), sent, shards, number, rounds), shards
+        while many > GROUPS:
+            many = math.ceil(many / FAN)
+            copies = copies.groupBy(F.pmod("number", F.lit(many))).applyInArrow(_added(many), _COPY)
+        rows = sorted(copies.collect(), key=lambda r: r.number)
         if rows:
             total = sum(_unpacked(bytes(r.weights), np.float64) for r in rows)
             model = model.filled(total / sum(r.seen for r in rows))
@@ -431,10 +463,10 @@ def text_scores(model: Model, numbers: list[np.ndarray]) -> np.ndarray:
     first = (np.cumsum(many) - many)[order]
     # The input of a place is the place before, of the first one the end.
     state = np.zeros((len(order), model.back.shape[0]), np.float32)
-    for start in range(0, int(ordered[0]) if len(ordered) else 0, WINDOW):
+    for start in range(0, int(ordered[0]) if len(ordered) else 0, SCORED):
         rows = int(np.searchsorted(-ordered, -start, "left"))
         state = state[:rows]
-        size = min(WINDOW, int(ordered[0]) - start)
+        size = min(SCORED, int(ordered[0]) - start)
         step = start + np.arange(size)
         live = step[:, None] < ordered[:rows]
         at = np.where(live, first[:rows] + step[:, None], 0)
@@ -558,7 +590,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     buckets, parts = buckets_for(size, BUCKET_BYTES, least=4), buckets_for(size, SCORED_BYTES)
     sums, counts = count_words(docs, buckets)
     vocabulary = counts.vocabulary(CLASSES * CLASSES)
-    model = train(docs, vocabulary)
+    model = train(docs, vocabulary, size)
     context = docs.sparkSession.sparkContext
     sent = [context.broadcast(x) for x in (model, vocabulary, counts)]
     groups = [docs.mapInArrow(_grouped(parts, BLOCK_BYTES), _TEXTS).groupBy("part") for _ in range(2)]
