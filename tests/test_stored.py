@@ -47,6 +47,16 @@ def test_first_seen_in_any_order_over_restarts(spark, tmp_path):
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
+def test_first_seen_passes_on_few_rows_of_a_hot_ip(spark, tmp_path):
+    source, path, checkpoint = (str(tmp_path / d) for d in ("in", "first", "c"))
+    hot = events(spark, range(900)).withColumn("ip", F.lit("hot"))
+    arrive(hot, source)
+    stream = spark.readStream.schema(EVENTS).parquet(source)
+    assert state.start_first_seen(stream, path, checkpoint, available_now=True).awaitTermination(100)
+    assert store.read_parts(spark, path, EVENTS).count() == 1
+    assert rows(state.read_first_seen(spark, path, EVENTS)) == rows(dedup.first_seen(hot))
+
+
 # Known reputations
 
 
