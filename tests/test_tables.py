@@ -154,6 +154,18 @@ def test_salted_lookup_equals_a_plain_join(spark, how, key_type):
     assert rows(salted, "id", "k", "v", "d") == rows(fact.join(dim, "k", how), "id", "k", "v", "d")
 
 
+def test_a_plain_join_has_more_tasks_on_more_rows(spark, monkeypatch):
+    fact = spark.range(0, 4000, 1, 8).select("id", (F.col("id") % 50).alias("k"))
+    fact = fact.withColumn("k", F.when(F.col("id") % 9 > 0, F.col("k")))
+    dim = spark.range(40).select(F.col("id").alias("k"), F.lit(1).alias("d"))
+    monkeypatch.setattr(joins, "TASK_BYTES", joins.estimated_bytes(fact) // 40)
+    for times in (1, 2):
+        monkeypatch.setattr(joins, "TASK_BYTES", joins.TASK_BYTES // times)
+        joined = joins.salted_lookup(fact, dim.hint("merge"), "k", "inner", [])
+        assert joined.rdd.getNumPartitions() >= 40 * times
+        assert rows(joined, "id", "k", "d") == rows(fact.join(dim, "k"), "id", "k", "d")
+
+
 def test_salt_spreads_a_hot_key_and_missing_keys(spark):
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -14,6 +14,9 @@ MAX_HOT_KEYS = 100_000
 HOT_ROWS = 1_000_000
 PROBE_FRACTION = 0.01
 WIDENING = 8
+# Estimated bytes of a fact in one task of a plain shuffled join. A session's partitions are merged up to 64 MB
+# of packed shuffle data, and the aggregates behind a join need twenty times that in memory.
+TASK_BYTES, MAX_TASKS = 1 << 20, 10_000
 # Rows without a key match nothing, so any number of salts will do for them.
 NULL_SALTS = 1 << 20
 
@@ -67,6 +70,15 @@ def known_hot_keys(fact: DataFrame, key: str, hot_rows: int, fraction: float) ->
     return _probes[name]
 
 
+def spread(fact: DataFrame, key: str) -> DataFrame:
+    """`fact` dealt by `key` to so many partitions that a task's share does not grow with the input.
+
+    A small one is left to the session's settings.
+    """
+    tasks = min(estimated_bytes(fact) // TASK_BYTES, MAX_TASKS)
+    return fact.repartition(tasks, key) if tasks > fact.sparkSession.sparkContext.defaultParallelism else fact
+
+
 def _hashable(df: DataFrame) -> list[str]:
     unhashable = (T.MapType, T.VariantType, T.ArrayType, T.StructType)
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, unhashable)]
@@ -82,7 +94,7 @@ def salted_lookup(
     row the same salt.
     """
     if not hot and how == "inner":
-        return fact.join(dim, key, how)
+        return spread(fact.filter(F.col(key).isNotNull()), key).join(dim, key, how)
     if hot:
         # At most MAX_HOT_KEYS rows.
         schema = f"`{key}` {fact.schema[key].dataType.simpleString()}, _salts int"
