@@ -179,3 +179,11 @@ def test_scaling_of_a_constant_column_is_zero(spark):
     out = [r["scaled"] for r in scoring.scale_features(df).orderBy("id").collect()]
     assert all(v == 0.0 for vector in out for v in vector[:-1])
     assert [round(v[-1], 6) for v in out] == [-1.161895, -0.387298, 0.387298, 1.161895]
+
+
+def test_fits_and_scores_look_up_one_stored_table_of_reputations(spark, sf_dir):
+    read = queries.enriched_signals(spark, sf_dir).inputFiles()
+    assert not any("lineitem" in file or "orders" in file for file in read)
+    assert rows(queries.stored_reputations(spark, sf_dir).drop("last_reported")) == rows(
+        queries.reputations(spark, sf_dir).drop("last_reported")
+    )

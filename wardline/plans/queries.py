@@ -37,6 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 _models: dict[tuple[str, str], training.ThreatModel] = {}
 _days: dict[tuple[str, str], str] = {}
+_reputations: dict[tuple[str, str], DataFrame] = {}
 
 # Fixed centres for the distance query, over unscaled features.
 FIXED_CENTRES = (
@@ -67,6 +68,18 @@ def reputations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.check_ips(requested_ips(spark, sf_dir), payloads)
 
 
+def stored_reputations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`reputations` as a stored table, for the life of the session.
+
+    A fit, the rows it scores and a stream look up the same records: the reports behind them are read
+    and shuffled once.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _reputations:
+        _reputations[key] = store.stage(reputations(spark, sf_dir), "reputation")
+    return _reputations[key]
+
+
 def email_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breach.check_emails(
         td.owners(spark, sf_dir).select("email"),
@@ -86,7 +99,7 @@ def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.enrich_signals(
         td.signals(spark, sf_dir),
-        reputations(spark, sf_dir),
+        stored_reputations(spark, sf_dir),
         bounded_by=td.customers(spark, sf_dir),
         probe=td.signal_ips(spark, sf_dir),
     )
@@ -761,7 +774,7 @@ def stream_segments(spark, sf_dir):
 
 def _scored_store(spark: SparkSession, sf_dir: str):
     model = model_for(spark, sf_dir)
-    known = store.stage(reputations(spark, sf_dir), "reputation")
+    known = stored_reputations(spark, sf_dir)
     path, checkpoint = _paths(spark, "scored")
     live.start_scoring(
         event_stream(spark, sf_dir), known, model, path, checkpoint, td.customers(spark, sf_dir),
