@@ -233,3 +233,20 @@ def test_a_cluster_must_name_its_shared_folder(spark):
     with pytest.raises(ValueError, match="checkpoint"):
         store.shared_dir(Session(), "x")
     assert store.shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_large_file_is_scored_by_many_tasks(spark):
+    held = spark.range(0, 1000, 1, 1).persist()
+    spread = live.dealt(held, task_rows=100)
+    assert spread.rdd.getNumPartitions() == 10 and rows(spread) == rows(held)
+    assert live.dealt(held, task_rows=2000).rdd.getNumPartitions() == 1
+    held.unpersist()
+
+
+def test_arrivals_come_in_files_of_bounded_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(queries, "ARRIVAL_ROWS", 50)
+    path, files = queries.arrivals(spark, sf_dir)
+    table = spark.read.parquet(path)
+    of_file = table.groupBy(F.input_file_name().alias("file")).count()
+    assert of_file.agg(F.max("count")).first()[0] <= 50
+    assert files >= 2 and table.count() == queries.td.events(spark, sf_dir).count()

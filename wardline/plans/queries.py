@@ -652,6 +652,8 @@ def report_checks(spark, sf_dir):
 
 
 ARRIVALS = 6
+# Rows of a file that arrives: a reader's task takes at least one file.
+ARRIVAL_ROWS = 100_000
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
@@ -667,7 +669,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
         # Events without a time come with the last arrival.
         late = F.coalesce(F.col("ts") >= F.lit(bounds[i - 1]), F.lit(False)) if i else F.lit(True)
         early = F.coalesce(F.col("ts") < F.lit(bounds[i]), F.lit(i == 0)) if i < ARRIVALS - 1 else F.lit(True)
-        table.filter(late & early).write.mode("append").parquet(path)
+        table.filter(late & early).write.mode("append").option("maxRecordsPerFile", ARRIVAL_ROWS).parquet(path)
     files = len(spark.read.schema(table.schema).parquet(path).inputFiles())
     return path, max(1, files // ARRIVALS)
 

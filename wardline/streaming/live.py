@@ -16,6 +16,10 @@ from wardline.operators.trend import MOMENTS, bucket_moments, bucket_of, newest_
 from wardline.sources.store import FOLD, add_up, batch_writer, fold_writer, numbered, read_batches, read_parts
 from wardline.streaming.ingest import _start
 
+# Rows of a batch that one task scores, and the most tasks of a batch. A file or a merged partition may hold
+# millions of them, and a row costs far more to score than to read.
+TASK_ROWS, MAX_TASKS = 20_000, 10_000
+
 RESULTS = (
     "id", "ts", "ip", "threat_score", "threat_level", "source", "message", "anomaly",
     "anomaly_score", "rf_prediction", "rf_confidence", "cluster_name", "ml_adjusted_score",
@@ -33,6 +37,12 @@ def score_signals(
     return score_records(described, model).select(*RESULTS)
 
 
+def dealt(rows: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """A held frame dealt to a task per `task_rows` rows, however few partitions it came in."""
+    tasks = min(rows.count() // task_rows, MAX_TASKS)
+    return rows.repartition(tasks) if tasks > 1 else rows
+
+
 def known_reputations(path: str, reputation: DataFrame, fold: int = FOLD):
     """Function (asked, batch id) that gives the reputations of a batch's addresses, from the folder `path`.
 
@@ -70,7 +80,8 @@ def start_scoring(
     """Score a stream of signals batch by batch.
 
     Each batch is a plain frame, so it gets the same hot-key handling as a batch job. It is held
-    while it is scored, as the search for hot keys and the scoring both read it. `reputation` should
+    while it is scored, as the search for hot keys and the scoring both read it, and is scored by as many
+    tasks as its rows ask for, whatever files they came in. `reputation` should
     be a stored table: it is read again for every batch, reduced to the batch's addresses, or, with
     a folder `known`, for addresses that come for the first time (`known_reputations`).
     """
@@ -81,7 +92,7 @@ def start_scoring(
         held = batch.persist()
         try:
             asked = held.filter("ip is not null").select(F.col("ip").alias(KEY)).distinct()
-            write(score_signals(held, look_up(asked, batch_id), model, bounded_by), batch_id)
+            write(score_signals(dealt(held), look_up(asked, batch_id), model, bounded_by), batch_id)
         finally:
             held.unpersist()
 
