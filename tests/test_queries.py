@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from wardline.operators import report_sets
 from wardline.plans import oracles, queries
 from wardline.sources import testdata as td
 
@@ -81,3 +82,24 @@ def test_first_seen_reduces_before_the_shuffle(spark, sf_dir):
 def test_category_ranking_cuts_before_the_shuffle(spark, sf_dir):
     plan = plan_of(queries.ip_report_categories(spark, sf_dir))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_lines_of_few_asked_ips_are_not_shuffled(spark, sf_dir):
+    """Their orders are few, however many orders there are."""
+    asked = td.signals(spark, sf_dir).select("ip").distinct().orderBy("ip").limit(3)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        payloads = td.reputation_payloads(spark, sf_dir, asked)
+        assert "hashpartitioning(report_id" not in plan_of(payloads)
+        found = {r.ip: r.payload for r in payloads.collect()}
+        every = {r.ip: r.payload for r in td.reputation_payloads(spark, sf_dir).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(found) == 3 and found.items() <= every.items()
+
+
+def test_report_words_carry_the_time_of_a_report_once(spark, sf_dir):
+    words = report_sets.report_words(td.reports(spark, sf_dir))
+    assert words.filter("kind > 0 and last_reported is not null").count() == 0
+    assert words.filter("kind = 0 and last_reported is null").count() == 0

@@ -26,17 +26,19 @@ def bit_of(value: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), low)
 
 
-def report_words(reports: DataFrame, *by: str) -> DataFrame:
-    """(ip, *by, kind, word, bits, last_reported): the sets of each ip, `kind` numbering COUNTED.
+def report_words(reports: DataFrame, *by: str, key: str = "ip") -> DataFrame:
+    """(key, *by, kind, word, bits, last_reported): the sets of each ip, `kind` numbering COUNTED.
 
     Ids must be whole numbers; a null one is in no set, but its report keeps its ip and time. Tasks
-    combine the words of their reports before the shuffle.
+    combine the words of their reports before the shuffle. `key` may name another column than the ip.
     """
     listed = [F.struct(F.lit(i).alias("kind"), F.col(c).cast("bigint").alias("value")) for i, c in enumerate(COUNTED.values())]
-    values = reports.select("ip", *by, "reported_at", F.inline(F.array(*listed)))
-    keys = ("ip", *by, "kind", word_of(F.col("value")).alias("word"))
+    values = reports.select(key, *by, "reported_at", F.inline(F.array(*listed)))
+    keys = (key, *by, "kind", word_of(F.col("value")).alias("word"))
     bits = F.coalesce(F.bit_or(bit_of(F.col("value"))), F.lit(0).cast("bigint"))
-    return values.groupBy(*keys).agg(bits.alias("bits"), F.max("reported_at").alias("last_reported"))
+    # Each report is in the first kind of set, so its time travels there alone.
+    newest = F.max(F.when(F.col("kind") == 0, F.col("reported_at")))
+    return values.groupBy(*keys).agg(bits.alias("bits"), newest.alias("last_reported"))
 
 
 def merge_words(words: DataFrame) -> DataFrame:
@@ -44,12 +46,12 @@ def merge_words(words: DataFrame) -> DataFrame:
     return words.groupBy("ip", "kind", "word").agg(F.bit_or("bits").alias("bits"), F.max("last_reported").alias("last_reported"))
 
 
-def rollup_words(words: DataFrame, *more: Column) -> DataFrame:
+def rollup_words(words: DataFrame, *more: Column, key: str = "ip") -> DataFrame:
     """Sizes of an ip's sets and its newest report; `more` aggregates are added."""
     size = lambda i: F.sum(F.when(F.col("kind") == i, F.bit_count("bits")).otherwise(0))
     first, *rest = [size(i).cast("bigint").alias(name) for i, name in enumerate(COUNTED)]
     counts = [first, *rest[:-1], F.max("last_reported").alias("last_reported"), *rest[-1:]]
-    return words.groupBy("ip").agg(*counts, *more)
+    return words.groupBy(key).agg(*counts, *more)
 
 
 def category_set(limit: int) -> Column:
