@@ -88,3 +88,23 @@ def test_odd_rows(spark, library):
     apart = bpe.decode_ids(bpe.encode_texts(docs, PATH), PATH).collect()
     assert sorted((r.ids, r.decoded) for r in coded) == sorted((r.ids, r.decoded) for r in apart)
     assert bpe.encode_texts(fixtures.empty(spark), PATH).count() == 0
+
+
+def test_words_seen_lately_keep_their_numbers_and_others_go(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 4)
+    monkeypatch.setattr(bpe, "SHORT_WORD", 12)
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    words, encoded = bpe.Words(vocabulary), []
+    inner = words._encoded
+    words._encoded = lambda some: encoded.extend(some) or inner(some)
+    texts = ["alpha beta gamma", "alpha delta epsilon zeta", "alpha eta theta iota kappa", "alpha iota kappa", "x" * 40 + " alpha", ""]
+    for text in texts:
+        assert bpe.encode(text, words).tolist() == bpe.encode(text, bpe.Words(vocabulary)).tolist()
+        assert len(words.slots) <= 8 and all(len(w) <= 12 for w in words.slots)
+    assert encoded.count("alpha") == 1 and encoded.count("x" * 40) == 1
+    with pytest.raises(KeyError):
+        words._encoded = lambda some: {}
+        words.ids(["fresh"], [0, 1])
+    words._encoded = inner
+    assert bpe.encode("fresh alpha", words).tolist() == bpe.encode("fresh alpha", bpe.Words(vocabulary)).tolist()

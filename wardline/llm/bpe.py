@@ -17,8 +17,9 @@ from wardline.llm.common import documents_of, longs, texts
 # Fixed values of the file format: white space, and the words that the word pattern tells apart.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORDS = regex.compile(rf"\p{{L}}+|\p{{N}}|'(?:s|t|re|ve|m|ll|d)|[^{_SPACE}\p{{L}}\p{{N}}]+")
-# Words whose ids are remembered, twice over: the older half goes when the younger one is full.
-REMEMBERED = 1 << 17
+# Words whose ids are remembered; the words seen longest ago go when there are twice as many.
+# So do words that stand behind so many ids, those of long words, which are not remembered, included.
+REMEMBERED, MOST_IDS = 1 << 17, 1 << 22
 # Words up to this many bytes are merged many at a time, and so many at once.
 SHORT_WORD, TOGETHER = 64, 8192
 # Characters of a piece of a text, and of the pieces that are encoded together.
@@ -233,13 +234,36 @@ def merged_together(words: list[list[int]], table: PairTable) -> list[tuple[int,
     return [tuple(row[:n]) for row, n in zip(out.tolist(), many)]
 
 
+class Slots(dict):
+    """Number of each word; a word that is asked for the first time gets the next one."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+        self.count = 0
+
+    def __missing__(self, word) -> int:
+        self[word] = slot = self.count
+        self.count += 1
+        self.new.append(word)
+        return slot
+
+
 class Words:
-    """Ids of words; those seen lately are remembered in two generations."""
+    """Ids of words; those seen lately are remembered, at least REMEMBERED of them.
+
+    Words are numbered, and the ids of all stand one after the other in one array: a word of a text
+    costs one look-up, whether it is new or not.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.table = vocabulary, PairTable(vocabulary.pairs)
-        self.young: dict = {}
-        self.old: dict = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slots, self.round = Slots(), 0
+        self.size = self.first = self.seen = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
 
     def _long(self, data: bytes) -> tuple[int, ...]:
         """A long word through the transducer, a step at a time."""
@@ -265,29 +289,55 @@ class Words:
             found.update(zip((word for _, word, _ in some), merged_together(symbols, self.table)))
         return found
 
-    def ids(self, words: list, cuts: list[int]) -> list[np.ndarray]:
-        """Ids of the words between each two cuts; each distinct word is looked up once."""
-        index: dict = dict.fromkeys(words)
-        known, missing = {}, []
-        for word in index:
-            ids = self.young.get(word) or self.old.get(word)
-            if ids is None:
-                missing.append(word)
-            else:
-                known[word] = ids
-        known.update(self._encoded(missing))
-        if len(self.young) + len(known) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        self.young.update((w, ids) for w, ids in known.items() if len(w) <= SHORT_WORD)
-        for i, word in enumerate(index):
-            index[word] = i
-        lists = [known[word] for word in index]
+    def _add(self, words: list) -> None:
+        """Ids of words that have just got their numbers, behind those of the others."""
+        found = self._encoded(words)
+        lists = [found[word] for word in words]
         size = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))
-        which = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        many, first = size[which], (np.cumsum(size) - size)[which]
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.seen = np.concatenate([self.seen, np.full(len(size), self.round)])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words with these numbers, one after the other, and where each word's end."""
+        many = self.size[which]
         ends = np.cumsum(many)
-        ids = flat[np.arange(many.sum()) + np.repeat(first - (ends - many), many)]
+        return self.flat[np.arange(many.sum()) + np.repeat(self.first[which] - (ends - many), many)], ends
+
+    def _forget(self) -> None:
+        """Keeps the REMEMBERED words seen last, numbered anew."""
+        words, numbers = list(self.slots), np.fromiter(self.slots.values(), np.int64, len(self.slots))
+        last = np.argsort(-self.seen[numbers], kind="stable")[:REMEMBERED]
+        kept = numbers[last]
+        flat, ends = self._gathered(kept)
+        self.slots = Slots()
+        for i in last.tolist():
+            self.slots[words[i]]
+        self.slots.new = []
+        self.size, self.seen = self.size[kept], self.seen[kept]
+        self.first, self.flat = ends - self.size, flat
+
+    def ids(self, words: list, cuts: list[int]) -> list[np.ndarray]:
+        """Ids of the words between each two cuts; each word is looked up once."""
+        try:
+            which = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+            new, self.slots.new = self.slots.new, []
+            self.round += 1
+            if new:
+                self._add(new)
+        except BaseException:
+            # Workers live on: no word may keep a number without ids.
+            self._clear()
+            raise
+        self.seen[which] = self.round
+        ids, ends = self._gathered(which)
+        for word in new:
+            if len(word) > SHORT_WORD:
+                del self.slots[word]
+        if self.slots.count > 2 * REMEMBERED or len(self.flat) > MOST_IDS:
+            self._forget()
         bounds = np.concatenate([[0], ends])[cuts]
         return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
