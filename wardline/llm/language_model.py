@@ -36,6 +36,8 @@ FREQUENT = 65_536
 # Text behind a bucket of words, texts that are split into words at a time, and a group of documents.
 BUCKET_BYTES = 48 << 20
 BLOCK_BYTES, SCORED_BYTES = 4 << 20, 16 << 20
+# Text that is hashed at a time, which a processor's cache holds.
+SLICE_BYTES = 1 << 17
 # Copies that are added up in one task, and sums that may reach the driver.
 FAN, GROUPS = 64, 16
 END, UNKNOWN = 0, 1
@@ -83,9 +85,8 @@ def _counts(buckets: int):
 
     def run(batches):
         for ids, data, where in documents_of(batches, BLOCK_BYTES * 2):
-            tokens, ends = tokens_of(data, where)
-            train = np.array([not held_out(i) for i in ids.tolist()])
-            word, count = np.unique(tokens[np.repeat(train, np.diff(ends))], return_counts=True)
+            train = [t for i, t in zip(ids.tolist(), _tokens(data, where)) if not held_out(i)]
+            word, count = np.unique(np.concatenate([np.empty(0, np.uint64), *train]), return_counts=True)
             for b, at in _by_bucket(word, buckets):
                 columns = [pa.array([_blob(x)], pa.binary()) for x in (word[at], count[at].astype(np.int64))]
                 yield pa.record_batch([pa.array([b], pa.int32()), *columns], names=["bucket", "words", "counts"])
@@ -168,15 +169,36 @@ class Vocabulary:
     outside: np.ndarray
 
     def lookup(self, tokens: np.ndarray) -> np.ndarray:
-        out = (UNKNOWN + kinds_of(tokens)).astype(np.int32)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-            hit = self.words[at] == tokens
-            out[hit] = self.numbers[at[hit]]
+        at = _places(self.words, tokens)
+        out = np.append(self.numbers, np.int32(0)).take(at)
+        other = np.flatnonzero(at < 0)
+        out[other] = UNKNOWN + kinds_of(tokens[other])
         out[tokens == _END_HASH] = END
         return out
 
 
+def _places(words: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Place of each token in `words` (ascending, distinct), -1 where it is not among them.
+
+    A table of the words' high bits, of which there are more than words, leaves a token one or two
+    places to look at.
+    """
+    high = np.uint64(64 - min(max(len(words).bit_length() + 2, 8), 24))
+    first = np.searchsorted(words >> high, np.arange((1 << (64 - int(high))) + 1, dtype=np.uint64)).astype(np.int32)
+    slot, out = (tokens >> high).astype(np.int64), np.full(len(tokens), -1, np.int32)
+    at, stop, left = first.take(slot), first.take(slot + 1), None
+    while True:
+        live = np.flatnonzero(at < stop)
+        left = live if left is None else left.take(live)
+        if not len(left):
+            return out
+        at, stop, own = at.take(live), stop.take(live), tokens.take(left)
+        hit = words.take(at) == own
+        out[left[hit]] = at[hit]
+        miss = np.flatnonzero(~hit)
+        left, at, stop = left.take(miss), at.take(miss) + 1, stop.take(miss)
+
+
 def outside(numbers: np.ndarray) -> np.ndarray:
     return (numbers >= UNKNOWN) & (numbers < UNKNOWN + KINDS)
 
@@ -247,7 +269,11 @@ class Model:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+    x = 0.5 * x
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
+    return x
 
 
 def run_cell(model: Model, table: np.ndarray, ids: np.ndarray, state: np.ndarray, inside: bool = False):
@@ -257,32 +283,49 @@ def run_cell(model: Model, table: np.ndarray, ids: np.ndarray, state: np.ndarray
     no way back.
     """
     n = state.shape[1]
-    states, kept = [], []
-    for row in ids:
+    states = np.empty((*ids.shape, n), state.dtype)
+    kept = None if inside else np.empty((5, *states.shape), state.dtype)
+    for t, row in enumerate(ids):
         if not inside:
-            state = state * (row != END)[:, None]
-        entered, turned = table[row], state @ model.back
-        gates = _sigmoid(entered[:, : 2 * n] + turned[:, : 2 * n])
+            state = np.multiply(state, (row != END)[:, None], out=kept[0, t])
+        entered, turned = table.take(row, axis=0), state @ model.back
+        gates = _sigmoid((entered + turned)[:, : 2 * n])
         update, reset = gates[:, :n], gates[:, n:]
-        new = np.tanh(entered[:, 2 * n :] + reset * turned[:, 2 * n :])
+        new = reset * turned[:, 2 * n :]
+        new += entered[:, 2 * n :]
+        np.tanh(new, out=new)
         if not inside:
-            kept.append((state, update, reset, new, turned[:, 2 * n :]))
-        state = new + update * (state - new)
-        states.append(state)
+            kept[1, t], kept[2, t], kept[3, t], kept[4, t] = update, reset, new, turned[:, 2 * n :]
+        moved = np.subtract(state, new, out=states[t])
+        moved *= update
+        moved += new
+        state = moved
     return states, kept
 
 
-def _softmax_log(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums of the columns: eight running sums, then pairs of them, as numpy adds up a row."""
+    if len(x) % 8:
+        return x.sum(axis=0)
+    x = x.reshape(-1, 8, x.shape[1]).sum(axis=0)
+    while len(x) > 1:
+        x = x[::2] + x[1::2]
+    return x[0]
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each column; `x` is used up."""
+    x -= x.max(axis=0)
+    x -= np.log(_sums(np.exp(x)))
+    return np.exp(x, out=x)
 
 
 def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax of each row at one place; `x` is used up."""
-    most = x.max(axis=1)
-    own = x[np.arange(len(x)), at] - most
-    x -= most[:, None]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
+    """Logarithm of the softmax of each column at one place; `x` is used up."""
+    most = x.max(axis=0)
+    own = x[at, np.arange(len(at))] - most
+    x -= most
+    return own - np.log(_sums(np.exp(x, out=x)))
 
 
 def log_probabilities(model: Model, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -295,15 +338,15 @@ def log_probabilities(model: Model, states: np.ndarray, targets: np.ndarray) ->
     for start in range(0, len(targets), PLACES):
         some, goal = states[start : start + PLACES], targets[start : start + PLACES]
         group, word = goal // classes, goal % classes
-        found = _log_share(some @ model.to_class + model.class_bias, group)
+        found = _log_share(np.ascontiguousarray((some @ model.to_class + model.class_bias).T), group)
         order = np.argsort(group.astype(np.int16), kind="stable")
-        group, entry = group[order], some[order]
+        group, entry = group[order], some.take(order, axis=0)
         cuts = np.searchsorted(group, np.arange(classes + 1))
-        inside = model.word_bias[group]
+        inside = model.word_bias.take(group, axis=0)
         for c in np.flatnonzero(np.diff(cuts)).tolist():
             at = slice(cuts[c], cuts[c + 1])
             inside[at] += entry[at] @ model.to_word[c]
-        found[order] += _log_share(inside, word[order])
+        found[order] += _log_share(np.ascontiguousarray(inside.T), word[order])
         out[start : start + PLACES] = found
     return out
 
@@ -313,35 +356,36 @@ def gradients(model: Model, ids, targets, live, state):
     n, (steps, many) = state.shape[1], ids.shape
     table = model.embed @ model.enter + model.bias
     states, kept = run_cell(model, table, ids, state)
-    h = np.stack(states)
-    flat, goal, ok = h.reshape(-1, n), targets.ravel(), live.ravel()
+    flat, goal, ok = states.reshape(-1, n), targets.ravel(), live.ravel()
     count = max(1, int(ok.sum()))
     classes = len(model.class_bias)
     group, word = goal // classes, goal % classes
     d = {name: np.zeros_like(getattr(model, name)) for name in Model.NAMES}
-    error = np.exp(_softmax_log(flat @ model.to_class + model.class_bias))
-    error[np.arange(len(goal)), group] -= 1
-    error *= ok[:, None] / np.float32(count)
-    d["to_class"], d["class_bias"] = flat.T @ error, error.sum(axis=0)
-    back = error @ model.to_class.T
+    # Shares by entry and place, so that sums over the entries run along the places.
+    error = _softmax(np.ascontiguousarray((flat @ model.to_class + model.class_bias).T))
+    error[group, np.arange(len(goal))] -= 1
+    error *= ok / np.float32(count)
+    d["to_class"], d["class_bias"] = flat.T @ error.T, error.sum(axis=1)
+    back = error.T @ model.to_class.T
     # Live places in the order of their classes.
     order = np.argsort(np.where(ok, group, classes).astype(np.int16), kind="stable")[: int(ok.sum())]
     cuts = np.searchsorted(group[order], np.arange(classes + 1)).tolist()
     some = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-    entry = flat[order]
-    inside = model.word_bias[group[order]]
+    entry = flat.take(order, axis=0)
+    inside = model.word_bias.take(group[order], axis=0)
     for c, at in some:
         inside[at] += entry[at] @ model.to_word[c]
-    inside = np.exp(_softmax_log(inside))
-    inside[np.arange(len(order)), word[order]] -= 1
+    inside = _softmax(np.ascontiguousarray(inside.T))
+    inside[word[order], np.arange(len(order))] -= 1
     inside /= np.float32(count)
     returned = np.empty_like(entry)
     for c, at in some:
-        d["to_word"][c], d["word_bias"][c] = entry[at].T @ inside[at], inside[at].sum(axis=0)
-        returned[at] = inside[at] @ model.to_word[c].T
+        part = inside[:, at]
+        d["to_word"][c], d["word_bias"][c] = entry[at].T @ part.T, part.sum(axis=1)
+        returned[at] = part.T @ model.to_word[c].T
     back[order] += returned
     back, later = back.reshape(steps, many, n), np.zeros_like(state)
-    before, update, reset, new, turned = (np.stack(x) for x in zip(*kept))
+    before, update, reset, new, turned = kept
     # What the error of a state is multiplied by, for all steps at once; only its way back is a loop.
     to_new, to_update = (1 - update) * (1 - new**2), (before - new) * update * (1 - update)
     to_reset = to_new * turned * reset * (1 - reset)
@@ -355,9 +399,9 @@ def gradients(model: Model, ids, targets, live, state):
     gates = back[:, :, None] * to_gates
     d["back"] = before.reshape(-1, n).T @ gates.reshape(-1, 3 * n)
     gates[:, :, 2] = back * to_new
-    order = np.argsort(ids.ravel(), kind="stable")
+    order = np.argsort(ids.ravel().astype(np.int16), kind="stable")
     used, first = np.unique(ids.ravel()[order], return_index=True)
-    entered = np.add.reduceat(gates.reshape(-1, 3 * n)[order], first, axis=0)
+    entered = np.add.reduceat(gates.reshape(-1, 3 * n).take(order, axis=0), first, axis=0)
     d["enter"] = model.embed[used].T @ entered
     d["bias"] = entered.sum(axis=0)
     d["embed"][used] = entered @ model.enter.T
@@ -416,8 +460,8 @@ def _replica(model, vocabulary):
         ids, data, where = _texts_of(table)
         bounds = list(zip(where.tolist(), where[1:].tolist()))
         order = sorted(range(len(ids)), key=lambda i: (ids[i], data[bounds[i][0] : bounds[i][1]]))
-        numbers = [words.lookup(t) for t in _tokens(data, where)]
-        trainer.texts([numbers[i] for i in order])
+        tokens = _tokens(data, where)
+        trainer.texts([words.lookup(np.concatenate([tokens[i] for i in order]))])
         flat = trainer.model.flat().astype(np.float64) * trainer.seen
         return _copy_row(table.column("part")[0].as_py(), flat, trainer.seen)
 
@@ -491,12 +535,13 @@ def text_scores(model: Model, numbers: list[np.ndarray]) -> np.ndarray:
         step = start + np.arange(size)
         live = step[:, None] < ordered[:rows]
         at = np.where(live, first[:rows] + step[:, None], 0)
-        goal = flat[at]
-        ids = np.where(step[:, None] > 0, flat[np.maximum(at - 1, 0)], END)
+        goal = flat.take(at)
+        ids = np.where(step[:, None] > 0, flat.take(np.maximum(at - 1, 0)), END)
         states, _ = run_cell(model, table, ids, state, inside=not (live & (ids == END)).any())
         state = states[-1]
-        row = np.broadcast_to(np.arange(rows), live.shape)[live]
-        found = log_probabilities(model, np.stack(states)[live], goal[live])
+        place = np.flatnonzero(live)
+        row = place % rows
+        found = log_probabilities(model, states.reshape(-1, states.shape[2]).take(place, axis=0), goal.ravel().take(place))
         out[order[:rows]] += np.bincount(row, found, minlength=rows)
     return out / math.log(10)
 
@@ -507,7 +552,7 @@ def text_scores(model: Model, numbers: list[np.ndarray]) -> np.ndarray:
 def _slices(where: np.ndarray):
     start = 0
     while start < len(where) - 1:
-        stop = int(np.searchsorted(where, where[start] + BLOCK_BYTES, "right")) - 1
+        stop = int(np.searchsorted(where, where[start] + SLICE_BYTES, "right")) - 1
         stop = min(max(stop, start + 1), len(where) - 1)
         yield slice(start, stop)
         start = stop
@@ -521,9 +566,14 @@ def _tokens(data: bytes, where: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _rare(tokens: np.ndarray, known: Counts) -> np.ndarray:
-    """Distinct words that are not among the frequent ones, ascending."""
-    words = np.unique(tokens)
+def _distinct(tokens: np.ndarray) -> np.ndarray:
+    """Ascending; plain sorting is far quicker here than numpy's hashing of values."""
+    words = np.sort(tokens)
+    return words[np.flatnonzero(np.concatenate([words[:1] == words[:1], words[1:] != words[:-1]]))]
+
+
+def _rare(words: np.ndarray, known: Counts) -> np.ndarray:
+    """Of distinct ascending words those that are not among the frequent ones."""
     if not len(known.words):
         return words
     at = np.minimum(np.searchsorted(known.words, words), len(known.words) - 1)
@@ -535,7 +585,7 @@ def _asked(counts, buckets: int):
 
     def run(table: pa.Table) -> pa.Table:
         _, data, where = _texts_of(table)
-        words = _rare(np.concatenate(_tokens(data, where)), counts.value)
+        words = _rare(_distinct(np.concatenate(_tokens(data, where))), counts.value)
         dealt = [(b, _blob(words[at])) for b, at in _by_bucket(words, buckets)]
         part = table.column("part")[0].as_py()
         columns = [pa.array([b for b, _ in dealt], pa.int32()), pa.array([part] * len(dealt), pa.int32())]
@@ -573,19 +623,22 @@ def _scored(model, vocabulary, counts, buckets: int):
         texts_ = _tokens(data, where)
         size = np.array([len(t) for t in texts_], np.int64)
         tokens = np.concatenate(texts_)
-        rare = _rare(tokens, known)
+        distinct = _distinct(tokens)
+        rare = _rare(distinct, known)
         given = dict(zip(right.column("bucket").to_pylist(), right.column("counts").to_pylist()))
         found = np.zeros(len(rare), np.int64)
         for b, at in _by_bucket(rare, buckets):
             found[at] = _unpacked(given[b], np.int64)
         every, count = np.concatenate([known.words, rare]), np.concatenate([known.counts, found])
+        # What is known of a word is worked out once for each distinct one.
         order = np.argsort(every)
-        count = count[order][np.searchsorted(every[order], tokens)]
-        number, text = words.lookup(tokens), np.repeat(np.arange(len(ids)), size)
-        value = np.log10(count + 1.0)
-        mass = np.log10(words.outside)[kinds_of(tokens)]
-        score = text_scores(model.value, np.split(number, np.cumsum(size)[:-1]))
-        score += np.bincount(text, (value - mass) * outside(number), len(ids))
+        count = count[order][np.searchsorted(every[order], distinct)]
+        number, value = words.lookup(distinct), np.log10(count + 1.0)
+        part = (value - np.log10(words.outside)[kinds_of(distinct)]) * outside(number)
+        at, text = _places(distinct, tokens), np.repeat(np.arange(len(ids)), size)
+        count, value = count.take(at), value.take(at)
+        score = text_scores(model.value, np.split(number.take(at), np.cumsum(size)[:-1]))
+        score += np.bincount(text, part.take(at), len(ids))
         columns = [ids, size, np.bincount(text, count > 0, len(ids)).astype(np.int64), np.bincount(text, value, len(ids)), score]
         return pa.table([pa.array(c) for c in columns], names=[c.split()[0] for c in _SCORES.split(", ")])
 
