@@ -166,6 +166,24 @@ def test_a_plain_join_has_more_tasks_on_more_rows(spark, monkeypatch):
         assert rows(joined, "id", "k", "d") == rows(fact.join(dim, "k"), "id", "k", "d")
 
 
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_scored_facts_go_to_as_many_tasks_as_asked(spark, limit):
+    """A few bytes in one task may be hours of scoring."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        fact = spark.range(3000).selectExpr("id", "if(id % 3 = 0, null, id % 50) AS k").coalesce(1)
+        dim = spark.range(40).selectExpr("id AS k", "id * 2 AS d")
+        want = rows(fact.join(dim, "k", "left"), "id", "k", "d")
+        for hot_rows in (1_000_000, 30):
+            joined = joins.lookup_join(fact, dim, "k", hot_rows=hot_rows, fraction=1.0, tasks=20)
+            assert rows(joined, "id", "k", "d") == want
+            used = joined.groupBy(F.spark_partition_id()).count().collect()
+            assert len(used) > 12 and max(r["count"] for r in used) < 600
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_salt_spreads_a_hot_key_and_missing_keys(spark):
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

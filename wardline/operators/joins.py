@@ -85,7 +85,7 @@ def _hashable(df: DataFrame) -> list[str]:
 
 
 def salted_lookup(
-    fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list[tuple]
+    fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list[tuple], tasks: int = 0
 ) -> DataFrame:
     """Join in which each hot key's fact rows are spread over its salts.
 
@@ -107,6 +107,8 @@ def salted_lookup(
     share = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(salts)
     salted = fact.withColumn("_salt", F.pmod(row, share).cast("int")).drop("_salts")
     copied = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    if tasks > 1:
+        salted = salted.repartition(tasks, key, "_salt")
     return salted.join(copied, [key, "_salt"], how).drop("_salt")
 
 
@@ -119,6 +121,7 @@ def lookup_join(
     probe: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     fraction: float = PROBE_FRACTION,
+    tasks: int = 0,
 ) -> DataFrame:
     """Join `fact` to `dim`, which has at most one row per key.
 
@@ -129,13 +132,14 @@ def lookup_join(
 
     `bounded_by`: a scan with at least one row per row of `dim`, for dims whose own estimate
     is useless (joins and aggregates); its size counts WIDENING times. `probe`: a cheaper
-    frame with the same keys as `fact`, to look for hot keys in.
+    frame with the same keys as `fact`, to look for hot keys in. `tasks`: so many tasks get the facts of a
+    left join, and not as few as their bytes ask for, where a row costs far more later.
     """
     limit = broadcast_limit(fact)
     size = estimated_bytes(dim) if bounded_by is None else WIDENING * estimated_bytes(bounded_by)
     if size <= limit:
-        return fact.join(F.broadcast(dim), key, how)
+        return (fact.repartition(tasks) if tasks > 1 else fact).join(F.broadcast(dim), key, how)
     if fact.isStreaming:
         raise ValueError("a stream needs a dim below the broadcast limit; join its batches instead")
     hot = known_hot_keys(fact if probe is None else probe, key, hot_rows, fraction)
-    return salted_lookup(fact, dim, key, how, hot)
+    return salted_lookup(fact, dim, key, how, hot, tasks)

@@ -117,12 +117,13 @@ def enrich_signals(
     reputation: DataFrame,
     bounded_by: DataFrame | None = None,
     probe: DataFrame | None = None,
+    tasks: int = 0,
 ) -> DataFrame:
     """Signals with the reputation of their ip, their model features and `category_kind`.
 
     A signal keeps its own score. `reputation` has one row per requested ip, as `check_ips`
     gives it; whatever follows from it alone is worked out here, once per ip and not once
-    per signal.
+    per signal. `tasks`: see `lookup_join`, for signals that a model scores.
     """
     kept = ("country", "is_tor", "is_vpn", "total_reports", "distinct_users", "recent_categories")
     own, *of_ip = ip_features()
@@ -133,7 +134,7 @@ def enrich_signals(
         rules.category_kind(F.col("recent_categories")).alias("category_kind"),
         *of_ip,
     )
-    joined = lookup_join(signals.drop(*kept), looked_up, "ip", "left", bounded_by, probe)
+    joined = lookup_join(signals.drop(*kept), looked_up, "ip", "left", bounded_by, probe, tasks=tasks)
     absent = dict.fromkeys(fv.FEATURES[1:], 0.0) | {
         fv.FEATURES[-1]: fv.MODEL_COUNTRY_WEIGHTS["other"]
     }

@@ -97,11 +97,17 @@ def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All signals with the reputation of their ip, in a task per `live.TASK_ROWS` of them.
+
+    A model's work on a row is far more than its bytes tell, and the table's row count is in its footers.
+    """
+    tasks = min(td.events(spark, sf_dir).count() // live.TASK_ROWS, live.MAX_TASKS)
     return reputation.enrich_signals(
         td.signals(spark, sf_dir),
         stored_reputations(spark, sf_dir),
         bounded_by=td.customers(spark, sf_dir),
         probe=td.signal_ips(spark, sf_dir),
+        tasks=tasks if tasks > spark.sparkContext.defaultParallelism else 0,
     )
 
 
