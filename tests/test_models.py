@@ -99,6 +99,35 @@ def test_email_records_are_scored_by_the_same_model(spark, sf_dir, model):
     assert out.filter(~F.col("rf_prediction").isin(*fv.LEVELS)).count() == 0
 
 
+def many_rows(spark):
+    """50,000 rows, four of five with a low score; the features tell nothing of it."""
+    score = F.when(F.col("id") % 50 < 10, 70).otherwise(10).alias("threat_score")
+    vector = [((F.col("id") % 10) / 10 * (i + 1)).alias(name) for i, name in enumerate(fv.FEATURES)]
+    return spark.range(50_000).select("id", score, *vector)
+
+
+def shares_of_low(model, features):
+    index = model.labels.index("low")
+    found = model.pipeline.transform(features.select(*fv.FEATURES).distinct())
+    return [r[0] for r in found.select(vector_to_array("rf_probability")[index]).collect()]
+
+
+def test_the_forest_is_trained_on_all_rows(spark):
+    """No label is thinned out: the leaves have the labels' shares among all rows."""
+    features = many_rows(spark)
+    model = training.fit_model(training.training_set(features))
+    shares = shares_of_low(model, features)
+    assert len(shares) == 10 and shares == pytest.approx([0.8] * 10, abs=0.03)
+
+
+def test_the_model_of_the_queries_is_fitted_on_all_signals(spark, monkeypatch):
+    features = many_rows(spark)
+    monkeypatch.setattr(queries, "featured_signals", lambda spark, sf_dir: features)
+    monkeypatch.setattr(queries, "_models", {})
+    model = queries.model_for(spark, "many")
+    assert shares_of_low(model, features) == pytest.approx([0.8] * 10, abs=0.03)
+
+
 def test_class_weights_give_the_mix(spark):
     labels = ["critical"] * 5 + ["high"] * 10 + ["medium"] * 20 + ["low"] * 65
     labelled = spark.createDataFrame([(label,) for label in labels], "label_str string")

@@ -19,8 +19,6 @@ from wardline.sources.store import stage
 # Fit partitions: small ones up to SMALL_FIT of them, then large ones, so that a small fit
 # is spread over cores and a huge one does not drown in tasks.
 SMALL_PARTITION, SMALL_FIT, LARGE_PARTITION = 10_000, 64, 1_000_000
-# Rows of each label that the forest is trained on. Scaler, labels and clusters see all rows.
-FOREST_ROWS = 10_000
 
 
 def assembler() -> VectorAssembler:
@@ -135,19 +133,6 @@ class ThreatModel:
         return cls(PipelineModel.read().session(spark).load(path), naming)
 
 
-def forest_rows(labelled: DataFrame, id_column: str = "id", per_label: int = FOREST_ROWS) -> DataFrame:
-    """About `per_label` rows of each label, all of a smaller one, by a hash of the id.
-
-    The bound of the forest's training rows; which rows are taken depends on their ids alone.
-    """
-    # One row per label.
-    counts = {row[0]: row[1] for row in labelled.groupBy("label_str").count().collect()}
-    spread = 1 << 30
-    parts = {label: min(spread, 1 + per_label * spread // n) for label, n in counts.items()}
-    limit = literal_map(parts)[F.col("label_str")] if parts else F.lit(0)
-    return labelled.filter(F.pmod(F.xxhash64(F.col(id_column)), F.lit(spread)) < limit)
-
-
 def fit_model(
     labelled: DataFrame,
     id_column: str = "id",
@@ -157,8 +142,8 @@ def fit_model(
     """Fit scaler, forest and clusters on labelled feature rows.
 
     The rows are staged once on shared storage: every fit passes over them several times,
-    and a lost executor then costs a re-read, not the joins behind the features. The forest is
-    trained on the bounded `forest_rows`.
+    and a lost executor then costs a re-read, not the joins behind the features. The forest, too, is
+    trained on all of them.
     """
     extra = [weight] if weight else []
     kept = labelled.select(id_column, *fv.FEATURES, "label_str", *extra)
@@ -167,8 +152,7 @@ def fit_model(
     scale = scaler().fit(assembled)
     index = label_indexer().fit(staged)
 
-    chosen = stage(forest_rows(staged, id_column), "forest")
-    ordered = in_stable_order(chosen, [id_column], chosen.count())
+    ordered = in_stable_order(staged, [id_column], staged.count())
     prepared = index.transform(scale.transform(assembler().transform(ordered)))
     forest = RandomForestClassifier(
         featuresCol="features",
