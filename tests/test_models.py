@@ -128,6 +128,40 @@ def test_the_model_of_the_queries_is_fitted_on_all_signals(spark, monkeypatch):
     assert shares_of_low(model, features) == pytest.approx([0.8] * 10, abs=0.03)
 
 
+@pytest.fixture(scope="module")
+def many_events(spark, tmp_path_factory):
+    """Tables with 25,000 events, 20,000 of them with a low score."""
+    path = str(tmp_path_factory.mktemp("many"))
+    row, day = F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz")
+    tables = {
+        "customer": (20, [row.alias("c_custkey"), (row % 25).cast("int").alias("c_nationkey")]),
+        "orders": (40, [row.alias("o_orderkey"), (row % 20).alias("o_custkey"), day.alias("o_orderdate")]),
+        "lineitem": (80, [(row % 40).alias("l_orderkey"), row.alias("l_partkey"), (row % 7).alias("l_suppkey")]),
+        "events": (25_000, [
+            row.alias("event_id"), (day + F.make_dt_interval(secs=row)).alias("ts"), (row % 20).alias("user_id"),
+            F.lit("view").alias("event_type"), F.when(row % 5 == 0, 70.0).otherwise(10.0).alias("value"),
+        ]),
+    }
+    for name, (n, columns) in tables.items():
+        spark.range(n).select(*columns).write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+@pytest.mark.parametrize("name", ["stream_scored"])
+def test_streams_are_scored_by_a_forest_of_all_events(spark, many_events, monkeypatch, name):
+    seen, fit = [], training.RandomForestClassifier.fit
+
+    def counted(self, rows):
+        seen.append(rows.count())
+        return fit(self, rows)
+
+    monkeypatch.setattr(queries, "_models", {})
+    monkeypatch.setattr(training.RandomForestClassifier, "fit", counted)
+    out = queries.REGISTRY[name](spark, many_events)
+    assert out.count() == (25_000 if name == "stream_scored" else 1)
+    assert seen == [25_000]
+
+
 def test_class_weights_give_the_mix(spark):
     labels = ["critical"] * 5 + ["high"] * 10 + ["medium"] * 20 + ["low"] * 65
     labelled = spark.createDataFrame([(label,) for label in labels], "label_str string")
