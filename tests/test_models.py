@@ -147,7 +147,7 @@ def many_events(spark, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", ["stream_scored"])
+@pytest.mark.parametrize("name", ["stream_scored", "stream_trend_model"])
 def test_streams_are_scored_by_a_forest_of_all_events(spark, many_events, monkeypatch, name):
     seen, fit = [], training.RandomForestClassifier.fit
 
